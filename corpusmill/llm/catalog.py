@@ -6,8 +6,10 @@ import importlib
 
 #: query -> module of this subpackage
 _WHERE = {
+    "op5_ngram_jaccard": "jaccard",
     "op7_token_files": "token_files",
     "op8_packing": "packing",
+    "op9_substring_dedup": "substring",
 }
 
 
