@@ -6,6 +6,8 @@ import importlib
 
 #: query -> module of this subpackage
 _WHERE = {
+    "op2_near_vectors": "near_vectors",
+    "op3_decontamination": "decontaminate",
     "op5_ngram_jaccard": "jaccard",
     "op7_token_files": "token_files",
     "op8_packing": "packing",
@@ -18,4 +20,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from corpusmill.llm.near_vectors import OP2_SQL
+
+    return {"op2_near_vectors": OP2_SQL}
