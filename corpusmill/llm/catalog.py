@@ -6,6 +6,7 @@ import importlib
 
 #: query -> module of this subpackage
 _WHERE = {
+    "op1_toxicity": "toxicity",
     "op2_near_vectors": "near_vectors",
     "op3_decontamination": "decontaminate",
     "op5_ngram_jaccard": "jaccard",
