@@ -25,15 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import ASCII_LOWER, WORD, WordHashes, documents, id_text, mix, shingle_hashes, small_batches, written
+from corpusmill.llm.common import ASCII_LOWER, WORD, WordHashes, documents, id_text, mix, partitions, shingle_hashes, small_batches, written
 from corpusmill.llm.components import components
 
 CELL_BITS = 20  # of the sketch: 2**20 counters whatever the input's size
 CHUNKS = 16
 BITMAP = 128  # bytes
-FIRST = "doc_id long, n long, s long, chunk int, payload binary"
-INDEX = "token long, s long, n int, need int"
-SETS = "s long, n int, bits binary, text string"
+FIRST = "doc_id long, n long, s long, bits binary, chunk int, payload binary"
+INDEX = "token long, s long, need int"
+SHARED = "token long, s long, need int, least long"
+BLOOM_BITS = 23
 
 _hashes = WordHashes(5)
 
@@ -54,16 +55,16 @@ def first_pass(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELL_BITS, np.int64)
         names = [c.split()[0] for c in FIRST.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
         for batch in batches:
             sets = [shingle_set(t, k) for t in batch.column(1).to_pylist()]
             if any(len(x) for x in sets):
                 counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
-            cols = [batch.column(0), [len(x) for x in sets], [signature(x) for x in sets], [None] * len(sets), [None] * len(sets)]
+            cols = [batch.column(0), [len(x) for x in sets], [signature(x) for x in sets], [bitmap(x).tobytes() for x in sets], [None] * len(sets), [None] * len(sets)]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
         if counts.any():
             parts = counts.astype("<u4").reshape(CHUNKS, -1)
-            cols = [[None] * CHUNKS, [None] * CHUNKS, [None] * CHUNKS, range(CHUNKS), [zlib.compress(p.tobytes(), 1) for p in parts]]
+            cols = [[None] * CHUNKS, [None] * CHUNKS, [None] * CHUNKS, [None] * CHUNKS, range(CHUNKS), [zlib.compress(p.tobytes(), 1) for p in parts]]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
     return run
@@ -117,34 +118,89 @@ def index(ranks, k: int, percent: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, cost = ranks.value
         for batch in batches:
-            seen: dict[int, tuple[np.ndarray, int, int]] = {}
+            seen: dict[int, tuple[np.ndarray, int]] = {}
             for text in batch.column(1).to_pylist():
                 x = shingle_set(text, k)
                 if len(x) and (s := signature(x)) not in seen:
-                    seen[s] = (*prefix(x, level, cost, percent, most), len(x))
-            sizes = [len(p) for p, _, _ in seen.values()]
+                    seen[s] = prefix(x, level, cost, percent, most)
+            sizes = [len(p) for p, _ in seen.values()]
             cols = [
-                np.concatenate([p for p, _, _ in seen.values()]).view(np.int64) if seen else np.empty(0, np.int64),
+                np.concatenate([p for p, _ in seen.values()]).view(np.int64) if seen else np.empty(0, np.int64),
                 np.repeat(np.array(list(seen), np.int64), sizes),
-                np.repeat(np.array([n for _, _, n in seen.values()], np.int32), sizes),
-                np.repeat(np.array([x for _, x, _ in seen.values()], np.int32), sizes),
+                np.repeat(np.array([x for _, x in seen.values()], np.int32), sizes),
             ]
             yield pa.record_batch([pa.array(c) for c in cols], names=[c.split()[0] for c in INDEX.split(", ")])
 
     return run
 
 
+def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings, sorted by token and set, of tokens that several sets have, once each, with the least set of the list.
+
+    Lists stream by: one row is held back, however long a list is."""
+    held: tuple[int, int, int] | None = None  # the last row, if it is the first of its list
+    token, least, last = None, None, None
+    for batch in batches:
+        t, s, need = (batch.column(i).to_numpy() for i in range(3))
+        if not len(t):
+            continue
+        new = np.r_[token is None or t[0] != token, t[1:] != t[:-1]]
+        repeat = ~new & np.r_[last is not None and s[0] == last, s[1:] == s[:-1]]
+        t, s, need, new = t[~repeat], s[~repeat], need[~repeat], new[~repeat]
+        if not len(t):
+            continue
+        starts = np.flatnonzero(new)
+        leasts = np.empty(len(t), np.int64)
+        before = starts[0] if len(starts) else len(t)
+        leasts[:before] = least if least is not None else 0
+        if len(starts):
+            leasts[before:] = np.repeat(s[starts], np.diff(np.r_[starts, len(t)]))
+        alone = new & np.r_[new[1:], False]
+        rows = [t, s, need, leasts]
+        keep = ~alone
+        if new[-1]:  # whether its list goes on is not known yet
+            keep[-1] = False
+        out = [x[keep] for x in rows]
+        if held and before:
+            out = [np.r_[np.int64(h), x] for h, x in zip((*held, held[1]), out, strict=True)]
+        held = (int(t[-1]), int(s[-1]), int(need[-1])) if new[-1] else None if before or len(starts) else held
+        token, last, least = t[-1], s[-1], leasts[-1]
+        yield pa.record_batch([pa.array(x.astype(np.int32 if i == 2 else np.int64)) for i, x in enumerate(out)], names=[c.split()[0] for c in SHARED.split(", ")])
+
+
 def bitmap(shingles: np.ndarray) -> np.ndarray:
     """Parity of the set's members in each of 8 * BITMAP classes."""
     return np.packbits((np.bincount((shingles % np.uint64(8 * BITMAP)).astype(np.int64), minlength=8 * BITMAP) & 1).astype(bool))
 
 
-def set_rows(k: int):
+def cells(ids: np.ndarray) -> np.ndarray:
+    """Three cells of the filter for each id."""
+    x = mix(ids.astype(np.int64).view(np.uint64))
+    return np.stack([(x >> np.uint64(i * 21)) & np.uint64((1 << BLOOM_BITS) - 1) for i in range(3)]).astype(np.int64)
+
+
+def filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(1 << BLOOM_BITS, bool)
+    for batch in batches:
+        bits[cells(batch.column(0).to_numpy()).reshape(-1)] = True
+    yield pa.record_batch([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
+
+
+def bloom(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of keys: 2**BLOOM_BITS bits, however many there are."""
+    out = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
+    for r in keys.coalesce(8).mapInArrow(filter_bits, "bits binary").toLocalIterator():
+        out |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
+    return np.unpackbits(out).astype(bool)
+
+
+def texts_of(wanted, k: int):
+    """s, text of the rows whose key may be wanted."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, k) for t in batch.column(0).to_pylist()]
-            cols = [pa.array([signature(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([bitmap(x).tobytes() for x in sets], pa.binary())]
-            yield pa.record_batch([*cols, batch.column(0)], names=["s", "n", "bits", "text"])
+            batch = batch.filter(pa.array(wanted.value[cells(batch.column(0).to_numpy())].all(0)))
+            yield pa.record_batch([pa.array([signature(shingle_set(t, k)) for t in batch.column(1).to_pylist()], pa.int64()), batch.column(1)], names=["s", "text"])
 
     return run
 
@@ -198,33 +254,34 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     usual = float(np.median(counts))
     cost = np.maximum(1.0, 2 ** (np.arange(256) / 6) - 2 * usual)
     ranks = spark.sparkContext.broadcast((level, cost))
-    whole = docs.select("doc_id", "text")
-    postings = whole.mapInArrow(index(ranks, k, percent, most), INDEX).distinct()
-    lists = postings.groupBy("token").agg(F.count("*").alias("sets"), F.min("s").alias("least")).filter("sets > 1").select("token", "least")
-    shared = written(postings.join(lists, "token").select("token", "s", "n", "need", "least"), "postings")
-
-    # the sets that share anything, once each, with text and bitmap
-    wanted = shared.select("s").distinct()
-    reps = rows.join(wanted, "s").groupBy("s").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("key"))
-    texts = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(reps.select("key").distinct(), "key").select("text")
-    # an id that repeats brings other texts too, so the signature comes from the text
-    sets = written(texts.mapInArrow(set_rows(k), SETS).dropDuplicates(["s"]), "texts")
+    postings = docs.mapInArrow(index(ranks, k, percent, most), INDEX)
+    shared = postings.repartition(partitions(spark), "token").sortWithinPartitions("token", "s").mapInArrow(shared_only, SHARED)
+    shared = written(shared, "postings")
+    no_id = F.lit(-(1 << 63))
+    sets = first.filter("n > 0").join(shared.select("s").distinct(), "s").groupBy("s").agg(F.min(F.coalesce("doc_id", no_id)).alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    sets = written(sets, "bitmaps")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         a, b = (sets.select(F.col("s").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("bits" + x)) for x in "ab")
         return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(within(percent), "a long, b long, differ long")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        a, b = (sets.select(F.col("s").alias(x), F.col("text").alias("text" + x)) for x in "ab")
-        return pairs.select("a", "b").join(b, "b").join(a, "a").select("a", "b", "texta", "textb").mapInArrow(linked(k, percent), "u long, v long")
+        pairs = pairs.select("a", "b").checkpoint()
+        # texts of the pairs' sets, found by the id of one row of each; the filter keeps other texts out of the shuffle
+        ends = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s"))).distinct()
+        keys = sets.join(ends, "s").select("key")
+        texts = docs.select(F.coalesce("doc_id", no_id).alias("key"), "text").mapInArrow(texts_of(spark.sparkContext.broadcast(bloom(keys)), k), "s long, text string")
+        texts = written(texts.join(ends, "s").dropDuplicates(["s"]), "texts")
+        a, b = (texts.select(F.col("s").alias(x), F.col("text").alias("text" + x)) for x in "ab")
+        return pairs.join(b, "b").join(a, "a").select("a", "b", "texta", "textb").mapInArrow(linked(k, percent), "u long, v long")
 
     stars = shared.filter("s != least").select(F.col("least").alias("a"), F.col("s").alias("b")).distinct()
     nearest = bounded(stars).groupBy("b").agg(F.min(F.struct("differ", "a")).alias("x")).select("x.a", "b")
     links = written(verified(nearest), "stars")
     roots = components(links)
-    grouped = shared.join(roots.withColumnRenamed("u", "s"), "s", "left").select("token", "s", "n", "need", F.coalesce("root", "s").alias("root"))
+    grouped = shared.join(roots.withColumnRenamed("u", "s"), "s", "left").select("token", "s", "need", F.coalesce("root", "s").alias("root"))
     mixed = grouped.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-    grouped = written(grouped.join(mixed, "token"), "mixed")
+    grouped = written(grouped.join(mixed, "token").join(sets.select("s", "n"), "s"), "mixed")
     left, right = (grouped.select("token", *(F.col(c).alias(c + x) for c in ("s", "n", "need", "root"))) for x in "ab")
     close = (F.col("roota") != F.col("rootb")) & (F.col("sa") < F.col("sb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     crossing = left.join(right, "token").filter(close).groupBy(F.col("sa").alias("a"), F.col("sb").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("needa", "needb")).alias("need")).filter("c >= need")
