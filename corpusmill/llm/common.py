@@ -104,6 +104,56 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_BASE = 0x9FB21C651E98DF25  # odd: it has an inverse modulo 2**64
+_CHUNK = 1 << 18
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_BASE ** i and _BASE ** -i modulo 2**64 for i < n."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, _CHUNK + 1)
+        _powers[:] = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            x = np.full(size, base, np.uint64)
+            x[0] = 1
+            _powers.append(np.multiply.accumulate(x))
+    return _powers[0][:n], _powers[1][:n]
+
+
+def word_hashes(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all texts' words (WORD), one text behind the other, and where each text ends among them.
+
+    Works on UTF-8 bytes: white space and A-Z are single bytes.  Polynomials of the bytes come from running sums, chunk by
+    chunk; a chunk ends at white space."""
+    raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    stop = np.cumsum([len(r) + 1 for r in raw]) if raw else np.empty(0, np.int64)
+    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8) if raw else np.empty(0, np.uint8)
+    if lower:
+        data = data + (((data - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5))
+    blank = (data == 32) | ((data - np.uint8(9)) < 5)
+    hashes, starts = [], []
+    at = 0
+    while at < len(data):
+        end = min(at + _CHUNK, len(data))
+        if end < len(data):
+            back = np.flatnonzero(blank[at:end])
+            end = at + int(back[-1]) + 1 if len(back) else end + int(np.argmax(blank[end:])) + 1
+        b = blank[at:end]
+        edge = np.flatnonzero(b[1:] != b[:-1]) + 1
+        edge = np.r_[0, edge] if not b[0] else edge
+        begin, close = edge[::2], edge[1::2]  # the last byte is white space, so words end
+        up, down = powers(end - at + 1)
+        sums = np.zeros(end - at + 1, np.uint64)
+        np.cumsum((data[at:end].astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        hashes.append(mix((sums[close] - sums[begin]) * down[begin]))
+        starts.append(begin + at)
+        at = end
+    if not hashes:
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), stop)
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k words (or of the whole shorter sequence; none for no words), not made distinct."""
     n = len(words)

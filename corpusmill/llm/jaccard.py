@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import ASCII_LOWER, WORD, WordHashes, documents, id_text, mix, partitions, shingle_hashes, small_batches, written
+from corpusmill.llm.common import documents, id_text, mix, partitions, small_batches, word_hashes, written
 from corpusmill.llm.components import components
 
 CELL_BITS = 20  # of the sketch: 2**20 counters whatever the input's size
@@ -35,20 +35,59 @@ FIRST = "doc_id long, n long, s long, bits binary, chunk int, payload binary"
 INDEX = "token long, s long, need int"
 SHARED = "token long, s long, need int, least long"
 BLOOM_BITS = 23
-
-_hashes = WordHashes(5)
+_MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+def shingle_sets(texts: list[str | None], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of each text's shingles, one text behind the other, and where each text ends."""
+    words, ends = word_hashes(texts, lower=True)
+    n = np.diff(np.r_[0, ends])
+    short = np.flatnonzero((n > 0) & (n < k))
+    many = np.maximum(n - k + 1, 0)
+    many[short] = 1
+    stop = np.cumsum(many)
+    begin, first = stop - many, ends - n
+    out = np.empty(int(stop[-1]) if len(stop) else 0, np.uint64)
+    if len(words) >= k:
+        h = np.zeros(len(words) - k + 1, np.uint64)
+        for i in range(k):
+            h += words[i : len(words) - k + 1 + i] * _MULTIPLIERS[i]
+        h = mix(h)
+        doc = np.repeat(np.arange(len(n)), n)[: len(h)]
+        inside = np.arange(len(h)) + k <= ends[doc]
+        place = np.ones(len(out), bool)
+        place[begin[short]] = False
+        out[place] = h[inside]
+    for i in short.tolist():
+        out[begin[i]] = mix((words[first[i] : ends[i]] * _MULTIPLIERS[: n[i]]).sum(keepdims=True) + np.uint64(n[i]))[0]
+    for a, b in zip(begin.tolist(), stop.tolist(), strict=True):
+        out[a:b].sort()
+    doc = np.repeat(np.arange(len(n)), many)
+    new = np.ones(len(out), bool)
+    new[1:] = (out[1:] != out[:-1]) | (doc[1:] != doc[:-1])
+    return out[new], np.cumsum(np.bincount(doc[new], minlength=len(n)))
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles."""
-    words = WORD.findall(text.translate(ASCII_LOWER) if not text.isascii() else text.lower()) if text else []
-    return np.unique(shingle_hashes(_hashes.of(words), k))
+    return shingle_sets([text], k)[0]
+
+
+def signatures(shingles: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each set; equal sets have equal ones."""
+    sums = np.r_[np.uint64(0), np.cumsum(mix(shingles), dtype=np.uint64)]
+    begin = np.r_[0, ends[:-1]] if len(ends) else ends
+    return mix(sums[ends] - sums[begin] + (ends - begin).astype(np.uint64)).view(np.int64)
 
 
-def signature(shingles: np.ndarray) -> int:
-    with np.errstate(over="ignore"):
-        total = mix(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))
-    return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
+def bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Parity of each set's members in each of 8 * BITMAP classes."""
+    width, out = 8 * BITMAP, []
+    for a in range(0, len(ends), 256):
+        e = ends[a : a + 256]
+        lo = int(ends[a - 1]) if a else 0
+        doc = np.repeat(np.arange(len(e)), np.diff(np.r_[lo, e]))
+        odd = np.bincount(doc * width + (shingles[lo : e[-1]] % np.uint64(width)).astype(np.int64), minlength=len(e) * width) & 1
+        out += [r.tobytes() for r in np.packbits(odd.astype(bool).reshape(len(e), width), axis=1)]
+    return out
 
 
 def first_pass(k: int):
@@ -57,10 +96,10 @@ def first_pass(k: int):
         names = [c.split()[0] for c in FIRST.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
         for batch in batches:
-            sets = [shingle_set(t, k) for t in batch.column(1).to_pylist()]
-            if any(len(x) for x in sets):
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
-            cols = [batch.column(0), [len(x) for x in sets], [signature(x) for x in sets], [bitmap(x).tobytes() for x in sets], [None] * len(sets), [None] * len(sets)]
+            sets, ends = shingle_sets(batch.column(1).to_pylist(), k)
+            counts += np.bincount((sets >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
+            none = [None] * len(ends)
+            cols = [batch.column(0), np.diff(np.r_[0, ends]), signatures(sets, ends), bitmaps(sets, ends), none, none]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
         if counts.any():
             parts = counts.astype("<u4").reshape(CHUNKS, -1)
@@ -99,14 +138,13 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def prefix(shingles: np.ndarray, ranks: np.ndarray, cost: np.ndarray, percent: int, most: int) -> tuple[np.ndarray, int]:
-    """The shingles to index and the L chosen for one set.  ranks, cost: of each level."""
+def prefix(shingles: np.ndarray, level: np.ndarray, cost: np.ndarray, percent: int, most: int) -> tuple[np.ndarray, int]:
+    """The shingles to index and the L chosen for one sorted set.  level: of each shingle; cost: of each level."""
     n = len(shingles)
-    level = ranks[(shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-    order = np.lexsort((shingles, level))
+    order = np.argsort(level, kind="stable")
     base = n - least_overlap(n, percent)  # prefix length less L
+    lists = np.cumsum(cost[level[order[: base + most]]]).tolist()
     best, need = None, 1
-    lists = np.cumsum(cost[level[order[: base + most]]])
     for x in range(1, min(most, n - base) + 1):
         total = lists[base + x - 1] * (1 + 8 / x)
         if best is None or total < best:
@@ -118,11 +156,14 @@ def index(ranks, k: int, percent: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, cost = ranks.value
         for batch in batches:
+            sets, ends = shingle_sets(batch.column(1).to_pylist(), k)
+            marks = level[(sets >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
             seen: dict[int, tuple[np.ndarray, int]] = {}
-            for text in batch.column(1).to_pylist():
-                x = shingle_set(text, k)
-                if len(x) and (s := signature(x)) not in seen:
-                    seen[s] = prefix(x, level, cost, percent, most)
+            begin = 0
+            for s, end in zip(signatures(sets, ends).tolist(), ends.tolist(), strict=True):
+                if end > begin and s not in seen:
+                    seen[s] = prefix(sets[begin:end], marks[begin:end], cost, percent, most)
+                begin = end
             sizes = [len(p) for p, _ in seen.values()]
             cols = [
                 np.concatenate([p for p, _ in seen.values()]).view(np.int64) if seen else np.empty(0, np.int64),
@@ -168,11 +209,6 @@ def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(x.astype(np.int32 if i == 2 else np.int64)) for i, x in enumerate(out)], names=[c.split()[0] for c in SHARED.split(", ")])
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Parity of the set's members in each of 8 * BITMAP classes."""
-    return np.packbits((np.bincount((shingles % np.uint64(8 * BITMAP)).astype(np.int64), minlength=8 * BITMAP) & 1).astype(bool))
-
-
 def cells(ids: np.ndarray) -> np.ndarray:
     """Three cells of the filter for each id."""
     x = mix(ids.astype(np.int64).view(np.uint64))
@@ -200,7 +236,7 @@ def texts_of(wanted, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(wanted.value[cells(batch.column(0).to_numpy())].all(0)))
-            yield pa.record_batch([pa.array([signature(shingle_set(t, k)) for t in batch.column(1).to_pylist()], pa.int64()), batch.column(1)], names=["s", "text"])
+            yield pa.record_batch([pa.array(signatures(*shingle_sets(batch.column(1).to_pylist(), k))), batch.column(1)], names=["s", "text"])
 
     return run
 
@@ -225,12 +261,15 @@ def linked(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, held = [], None, None
-            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            others, ends = shingle_sets(batch.column(3).to_pylist(), k)
+            begin = 0
+            for a, x, end in zip(batch.column(0).to_pylist(), batch.column(2), ends.tolist(), strict=True):
                 if a != last:
-                    last, held = a, shingle_set(x, k)
-                other = shingle_set(y, k)
+                    last, held = a, shingle_set(x.as_py(), k)
+                other = others[begin:end]
                 both = len(np.intersect1d(held, other, assume_unique=True))
                 keep.append(100 * both >= percent * (len(held) + len(other) - both))
+                begin = end
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return run
