@@ -1,9 +1,13 @@
-"""name -> query and name -> SQL, for the operators outside llm/."""
+"""The registered queries outside llm/ and their SQL."""
+
+from __future__ import annotations
+
+from corpusmill.plans import clean, crawl, dedup, jobs, metrics, registry  # noqa: F401  (they register)
 
 
 def queries() -> dict:
-    return {}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.SQL)
