@@ -45,16 +45,29 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(f"({WORD})"), F.lit(1))
 
 
+def let(c: Column, f) -> Column:
+    """f(c) with c evaluated once: a lambda's variable stays one where the optimiser copies expressions."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
+def _pieces(tokens_: Column, n: int, step: int, last: int) -> Column:
+    none = F.array().cast("array<int>")
+
+    def cut(t: Column) -> Column:
+        spots = F.when(F.size(t) >= last, F.sequence(F.lit(0), F.size(t) - last, F.lit(step))).otherwise(none)
+        return F.transform(spots, lambda i: F.array_join(F.slice(t, i + 1, n), " "))
+
+    return let(tokens_, cut)
+
+
 def runs(tokens_: Column, n: int) -> Column:
     """All runs of n tokens, joined by a space; none where there are fewer."""
-    spots = F.when(F.size(tokens_) >= n, F.sequence(F.lit(0), F.size(tokens_) - n)).otherwise(F.array().cast("array<int>"))
-    return F.transform(spots, lambda i: F.array_join(F.slice(tokens_, i + 1, n), " "))
+    return _pieces(tokens_, n, 1, n)
 
 
 def chunks(tokens_: Column, n: int) -> Column:
     """Consecutive groups of n tokens, the last one shorter."""
-    spots = F.when(F.size(tokens_) > 0, F.sequence(F.lit(0), F.size(tokens_) - 1, F.lit(n))).otherwise(F.array().cast("array<int>"))
-    return F.transform(spots, lambda i: F.array_join(F.slice(tokens_, i + 1, n), " "))
+    return _pieces(tokens_, n, n, 1)
 
 
 def half_even(c: Column, digits: int) -> Column:
