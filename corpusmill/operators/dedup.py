@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import text as T
-from corpusmill.operators.graph import components
+from corpusmill.operators.graph import components, cut
 
 
 def exact_report(docs: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def exact_survivors(docs: DataFrame) -> DataFrame:
 def shingles_of(docs: DataFrame, n: int = 5) -> DataFrame:
     """doc_id, doc_pos, n_tokens, shingles (distinct 64-bit hashes)."""
     tokens = T.tokens(T.near_form(F.col("text")))
-    return docs.select("doc_id", "doc_pos", tokens.alias("t")).select("doc_id", "doc_pos", F.size("t").alias("n_tokens"), F.array_distinct(F.transform(T.runs(F.col("t"), n), lambda s: F.xxhash64(s))).alias("shingles"))
+    out = docs.select("doc_id", "doc_pos", tokens.alias("t")).select("doc_id", "doc_pos", F.size("t").alias("n_tokens"), F.array_distinct(F.transform(T.runs(F.col("t"), n), lambda s: F.xxhash64(s))).alias("shingles"))
+    return cut(out)  # what follows reads it several times
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float) -> DataFrame:

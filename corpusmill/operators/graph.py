@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by checkpoint() in the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusmill-"))
@@ -19,7 +20,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, root: each node of edges (u, v) with its component's least node.
 
     Large-star and small-star steps in turn, each a join and an aggregation; lineage is cut by checkpoint()."""
-    here = _cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
+    here = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
     seen = None
     for _ in range(most_rounds):
         mark = here.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF))).first()
@@ -32,5 +33,5 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = sides.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        here = _cut(small.select("u", F.col("m").alias("v")).union(small.select("v", "m")).filter("u <> v").distinct())
+        here = cut(small.select("u", F.col("m").alias("v")).union(small.select("v", "m")).filter("u <> v").distinct())
     raise RuntimeError("components: more rounds are needed")
