@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import partitions, small_batches
+from corpusmill.llm.common import partitions, shared_dir, small_batches
 
 RESULT = "page_id long, url string, text string, n_chars long"
 
@@ -196,7 +196,7 @@ def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = 64) -> DataFrame:
+def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = 64, most_broadcast: int = 100_000) -> DataFrame:
     """page_id, url, text, n_chars per row of pages; text is empty if there is none.
 
     Null and empty pages give an empty text.  Pages with a null url share a host of no name; rows that repeat are pages like others
@@ -204,10 +204,13 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     break is white space."""
     spark = pages.sparkSession
     small_batches(spark)
+    shared_dir(spark)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     rows = rows.withColumn("host", F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1)), F.lit("")))
-    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / group).alias("parts"))
-    dealt = rows.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
+    # smaller hosts are one group each; the list of the others is broadcast if it is short, so that pages are shuffled once
+    sizes = rows.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * group).select("host", F.ceil(F.col("n") / group).alias("parts")).checkpoint()
+    sizes = F.broadcast(sizes) if sizes.count() <= most_broadcast else sizes
+    dealt = rows.join(sizes, "host", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("parts")), F.lit(0)))
     dealt = dealt.select("host", "part", "page_id", "url", "html").repartition(partitions(spark), "host", "part").sortWithinPartitions("host", "part", "page_id", "url")
     return dealt.mapInArrow(by_group, RESULT)
 
