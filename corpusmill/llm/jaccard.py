@@ -9,9 +9,10 @@ lesser of its two Ls.
 1. one pass: set sizes, 64-bit set signatures, the sketch; equal sets become one node;
 2. prefix index of distinct sets, with a parity bitmap of each set: the bits that differ are a lower bound of the
    symmetric difference, so it discards pairs without losing any;
-3. in each posting list every set is compared with the least one; what is verified joins components.  So a large group of
-   near copies contracts without its pairs being listed;
-4. pairs of sets that share prefix shingles and are in different components are counted, filtered and verified.
+3. a few rounds contract large groups of near copies without listing their pairs: each set is verified against two of the
+   sets that lead its posting lists, and what links joins components;
+4. pairs of sets that share prefix shingles and are in different components are filtered, counted and verified, all of
+   them.
 
 Verification is exact, over the shingle sets of the whole texts (64-bit hashes of shingles)."""
 
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import documents, id_text, mix, partitions, small_batches, word_hashes, written
@@ -31,7 +32,7 @@ from corpusmill.llm.components import components
 CELL_BITS = 20  # of the sketch: 2**20 counters whatever the input's size
 CHUNKS = 16
 BITMAP = 128  # bytes
-FIRST = "doc_id long, n long, s long, bits binary, chunk int, payload binary"
+FIRST = "doc_id long, n long, s long, bits array<long>, chunk int, payload binary"
 INDEX = "token long, s long, need int"
 SHARED = "token long, s long, need int, least long"
 BLOOM_BITS = 23
@@ -78,7 +79,7 @@ def signatures(shingles: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mix(sums[ends] - sums[begin] + (ends - begin).astype(np.uint64)).view(np.int64)
 
 
-def bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[bytes]:
+def bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[list[int]]:
     """Parity of each set's members in each of 8 * BITMAP classes."""
     width, out = 8 * BITMAP, []
     for a in range(0, len(ends), 256):
@@ -86,7 +87,7 @@ def bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[bytes]:
         lo = int(ends[a - 1]) if a else 0
         doc = np.repeat(np.arange(len(e)), np.diff(np.r_[lo, e]))
         odd = np.bincount(doc * width + (shingles[lo : e[-1]] % np.uint64(width)).astype(np.int64), minlength=len(e) * width) & 1
-        out += [r.tobytes() for r in np.packbits(odd.astype(bool).reshape(len(e), width), axis=1)]
+        out += np.packbits(odd.astype(bool).reshape(len(e), width), axis=1).view(np.int64).tolist()
     return out
 
 
@@ -94,7 +95,7 @@ def first_pass(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELL_BITS, np.int64)
         names = [c.split()[0] for c in FIRST.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
         for batch in batches:
             sets, ends = shingle_sets(batch.column(1).to_pylist(), k)
             counts += np.bincount((sets >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
@@ -241,20 +242,12 @@ def texts_of(wanted, k: int):
     return run
 
 
-def within(percent: int):
-    """Discard pairs whose bitmaps show that they can't be linked."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BITMAP) for i in (4, 5))
-                differ = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
-                total = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
-                # intersection <= (total - differ) / 2 and union = total - intersection
-                keep = 100 * (total - differ) >= percent * (total + differ)
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(differ)], names=["a", "b", "differ"]).filter(pa.array(keep))
-
-    return run
+def possible(percent: int) -> Column:
+    """Whether bitmaps and sizes (bitsa, bitsb, na, nb) let two sets link: with at least d members in one of them only, the
+    intersection is at most (na + nb - d) / 2 and the union the rest."""
+    d = sum((F.bit_count(F.col("bitsa")[i].bitwiseXOR(F.col("bitsb")[i])) for i in range(1, BITMAP // 8)), F.bit_count(F.col("bitsa")[0].bitwiseXOR(F.col("bitsb")[0])))
+    total = F.col("na") + F.col("nb")
+    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (100 * (total - d) >= percent * (total + d))
 
 
 def linked(k: int, percent: int):
@@ -275,7 +268,7 @@ def linked(k: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, most: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, most: int = 4, contractions: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id per row of docs.
 
     Links: 100 * |intersection| >= percent * |union| of the sets of k-word shingles (a text of fewer words is one shingle).
@@ -302,7 +295,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     def bounded(pairs: DataFrame) -> DataFrame:
         a, b = (sets.select(F.col("s").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("bits" + x)) for x in "ab")
-        return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(within(percent), "a long, b long, differ long")
+        return pairs.select("a", "b").join(a, "a").join(b, "b").filter(possible(percent)).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select("a", "b").checkpoint()
@@ -314,18 +307,31 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         a, b = (texts.select(F.col("s").alias(x), F.col("text").alias("text" + x)) for x in "ab")
         return pairs.join(b, "b").join(a, "a").select("a", "b", "texta", "textb").mapInArrow(linked(k, percent), "u long, v long")
 
-    stars = shared.filter("s != least").select(F.col("least").alias("a"), F.col("s").alias("b")).distinct()
-    nearest = bounded(stars).groupBy("b").agg(F.min(F.struct("differ", "a")).alias("x")).select("x.a", "b")
-    links = written(verified(nearest), "stars")
-    roots = components(links)
-    grouped = shared.join(roots.withColumnRenamed("u", "s"), "s", "left").select("token", "s", "need", F.coalesce("root", "s").alias("root"))
-    mixed = grouped.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-    grouped = written(grouped.join(mixed, "token").join(sets.select("s", "n"), "s"), "mixed")
-    left, right = (grouped.select("token", *(F.col(c).alias(c + x) for c in ("s", "n", "need", "root"))) for x in "ab")
-    close = (F.col("roota") != F.col("rootb")) & (F.col("sa") < F.col("sb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    crossing = left.join(right, "token").filter(close).groupBy(F.col("sa").alias("a"), F.col("sb").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("needa", "needb")).alias("need")).filter("c >= need")
-    more = verified(bounded(crossing))
-    roots = components(links.union(more)).withColumnRenamed("u", "s")
+    def by_component(roots: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """Postings with their component, and the lists that hold several with the least set of the least one."""
+        root = shared.withColumn("root", F.col("s")) if roots is None else shared.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
+        several = root.groupBy("token").agg(F.min(F.struct("root", "s")).alias("lo"), F.max("root").alias("hi")).filter("lo.root != hi")
+        return root, several.select("token", F.col("lo.root").alias("lead_root"), F.col("lo.s").alias("a"))
+
+    links = tried = roots = None
+    for _ in range(contractions):
+        grouped, several = by_component(roots)
+        led = grouped.join(several, "token").filter("root != lead_root").groupBy(F.col("s").alias("b"), "a").agg(F.count("*").alias("c"))
+        pick = led.groupBy("b").agg(F.array_distinct(F.array(F.max_by("a", F.struct("c", "a")), F.min("a"))).alias("a"))
+        pick = pick.select(F.explode("a").alias("a"), "b")
+        pick = (pick if tried is None else pick.join(tried, ["a", "b"], "left_anti")).checkpoint()
+        tried = pick if tried is None else tried.union(pick)
+        found = written(verified(bounded(pick)), "links")
+        links = found if links is None else links.union(found)
+        roots = components(links).withColumnRenamed("u", "s")
+        if found.isEmpty():
+            break
+    grouped, several = by_component(roots)
+    mixed = written(grouped.join(several.select("token"), "token").select("token", "s", "need", "root").join(sets.select("s", "n", "bits"), "s"), "mixed")
+    left, right = (mixed.select("token", *(F.col(c).alias(c + x) for c in ("s", "n", "bits", "need", "root"))) for x in "ab")
+    crossing = left.join(right, (left.token == right.token) & (F.col("roota") != F.col("rootb")) & (F.col("sa") < F.col("sb")) & possible(percent))
+    crossing = crossing.groupBy(F.col("sa").alias("a"), F.col("sb").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("needa", "needb")).alias("need")).filter("c >= need")
+    roots = components(links.union(verified(crossing))).withColumnRenamed("u", "s")
 
     known = rows.filter("n > 0").join(roots, "s", "left").select("s", "doc_id", F.coalesce("root", "s").alias("root"))
     least = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))
