@@ -91,6 +91,7 @@ def near_components(order: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def pair_report(order: DataFrame, skipped: Column, pairs: DataFrame, match_type: str, score: str, threshold: float) -> DataFrame:
     """Report of a stage that ends in pairs; order: (doc_id, doc_pos and what `skipped` reads)."""
+    pairs = cut(pairs)
     comp, best = near_components(order, pairs), best_matches(pairs, order)
     out = order.withColumn("skipped", skipped).join(comp, "doc_id").join(best, "doc_id", "left")
     return out.select(
