@@ -1,107 +1,120 @@
 """LM scoring: cross-entropy difference of a target and a background n-gram model over one vocabulary.
 
-Both are interpolated bigram models over words (lower-cased A-Z) with the same vocabulary, smoothing and tables; the
-background is all documents, the target those that the labels mark as good.  The vocabulary and the bigrams are hashed
-into 2**UNIGRAM_BITS and 2**BIGRAM_BITS cells, so that the models are of the same size whatever the input's; counts are exact
-sums over all documents.  Each task counts what it reads and passes on the cells; only their sums reach the driver.
+Both are interpolated bigram models over words (lower-cased A-Z) with the same vocabulary and smoothing; the background is
+all documents, the target those that the labels mark as good.  The vocabulary and the bigrams are all of the corpus, in
+tables that grow with it; words are told apart by 64-bit hashes.
+
+1. one pass counts bigrams, in all documents and in good ones: counts of batches, then of tasks, then of all;
+2. words and contexts are counted from bigrams, and each bigram gets its two losses, once, however often it occurs;
+3. each document's losses are added up.  Bigrams of at least 1 / 2**FREQUENT_BITS of all tokens (there can't be more than
+   2**FREQUENT_BITS) are broadcast and added in place; the others meet their losses in a join, in which no key is hot.
 
 A document's score is the mean over its tokens of the target's loss less the background's, in bits: lower is more like
-the target."""
+the target.  Losses are whole multiples of 2**-FRACTION_BITS, so that sums don't depend on their order."""
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import documents, id_text, mix, small_batches, word_hashes
+from corpusmill.llm.common import documents, id_text, mix, small_batches, word_hashes, written
 
-UNIGRAM_BITS, BIGRAM_BITS, CHUNK_BITS = 20, 22, 16
-CELLS = (1 << UNIGRAM_BITS) + (1 << BIGRAM_BITS)
-COUNTED = "chunk int, payload binary"
-SCORED = "doc_id long, n_tokens long, target_bits double, background_bits double, difference double"
+FREQUENT_BITS, HOT_BITS, FRACTION_BITS = 17, 12, 20
+COUNTED = "pair long, before long, word long, n long, good long"
+ROWS = "row long, pair long, times long, doc_id long, n_tokens long, target long, background long"
+WEIGHT, ADD = 0.6, 0.1
 _START = np.uint64(0x243F6A8885A308D3)  # stands before a document's first word
 
 
-def cells_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Cells of each token, of the one before it and of the two together, and where each text ends."""
+def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each token, of the one before it and of the two together, and how many tokens each text has."""
     words, ends = word_hashes(texts, lower=True)
+    n = np.diff(np.r_[0, ends])
     before = np.r_[_START, words[:-1]] if len(words) else words
-    firsts = np.r_[0, ends[:-1]][np.diff(np.r_[0, ends]) > 0] if len(ends) else ends
-    before[firsts] = _START
-    low = np.uint64((1 << UNIGRAM_BITS) - 1)
-    pair = mix(before * np.uint64(0x9E3779B97F4A7C15) + words) >> np.uint64(64 - BIGRAM_BITS)
-    return (words & low).astype(np.int64), (before & low).astype(np.int64), pair.astype(np.int64), ends
+    before[(ends - n)[n > 0]] = _START
+    return words, before, mix(before * np.uint64(0x9E3779B97F4A7C15) + words), n
+
 
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in COUNTED.split(", ")]
+    for batch in batches:
+        word, before, pair, n = tokens_of(batch.column(0).to_pylist())
+        good = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), n)
+        key, at, back = np.unique(pair, return_index=True, return_inverse=True)
+        cols = [key.view(np.int64), before[at].view(np.int64), word[at].view(np.int64), np.bincount(back, minlength=len(key)), np.bincount(back[good], minlength=len(key))]
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=names)
 
-def counted(place: int):
+
+def scored(frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(CELLS, np.uint32)
+        """A row per document with what frequent bigrams add, then a row for each other bigram of it."""
+        names = [c.split()[0] for c in ROWS.split(", ")]
+        keys, losses = frequent.value
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            word, _, pair, _ = cells_of(batch.column(place).to_pylist())
-            sums[: 1 << UNIGRAM_BITS] += np.bincount(word, minlength=1 << UNIGRAM_BITS).astype(np.uint32)
-            sums[1 << UNIGRAM_BITS :] += np.bincount(pair, minlength=1 << BIGRAM_BITS).astype(np.uint32)
-        parts = sums.reshape(-1, 1 << CHUNK_BITS)
-        at = np.flatnonzero(parts.any(1))
-        yield pa.record_batch([pa.array(at, pa.int32()), pa.array([zlib.compress(parts[i].astype("<i8").tobytes(), 1) for i in at.tolist()], pa.binary())], names=["chunk", "payload"])
+            _, _, pair, n = tokens_of(batch.column(1).to_pylist())
+            doc = np.repeat(np.arange(len(n)), n)
+            pair = pair.view(np.int64)
+            at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
+            known = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
+            # float64 holds these sums exactly: they stay below 2**53
+            sums = [np.bincount(doc[known], weights=x[at[known]], minlength=len(n)).astype(np.int64) for x in losses]
+            rows = row + np.arange(len(n))
+            row += len(n)
+            base = [rows, mix(rows.view(np.uint64)).view(np.int64), np.ones(len(n), np.int64), batch.column(0), n, *sums]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in base], names=names)
+            doc, pair = doc[~known], pair[~known]
+            order = np.lexsort((pair, doc))
+            doc, pair = doc[order], pair[order]
+            first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])][: len(doc)])
+            times = np.diff(np.r_[first, len(doc)])
+            rest = [rows[doc[first]], pair[first], times, *[pa.nulls(len(first), pa.int64())] * 4]
+            yield pa.record_batch([pa.array(c, pa.int64()) if isinstance(c, np.ndarray) else c for c in rest], names=names)
 
     return run
 
 
-def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(payload), "<i8")
-    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in sums.values()], pa.binary())], names=["chunk", "payload"])
-
+def with_sums(pairs: DataFrame, sums: DataFrame, key: str, total: int, tag: str) -> DataFrame:
+    """pairs with n and good of sums (key, n, good), as tag_n and tag_good.
 
-def counts(docs: DataFrame) -> np.ndarray:
-    """Counts of all cells over the texts of docs (column text)."""
-    out = np.zeros((CELLS >> CHUNK_BITS, 1 << CHUNK_BITS), np.int64)
-    parts = docs.select("text").mapInArrow(counted(0), COUNTED)
-    for r in parts.repartition(len(out), "chunk").mapInArrow(added, COUNTED).toLocalIterator():
-        out[r.chunk] += np.frombuffer(zlib.decompress(bytes(r.payload)), "<i8")
-    return out.reshape(-1)
+    Keys of at least 1 / 2**HOT_BITS of all tokens, of which there are at most 2**HOT_BITS, are broadcast."""
+    hot = F.col("n") * (1 << HOT_BITS) >= total
 
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(F.col(key).alias("key_" + name), F.col("n").alias("n_" + name), F.col("good").alias("good_" + name))
 
-class NgramModel:
-    """Interpolated bigrams: weight of the bigram's share, the rest for an additively smoothed unigram."""
+    out = pairs.join(F.broadcast(side(sums.filter(hot), "hot")), F.col(key) == F.col("key_hot"), "left")
+    out = out.withColumn("key", F.when(F.col("key_hot").isNull(), F.col(key)).otherwise(F.col("pair")))  # spread what has its counts
+    out = out.join(side(sums.filter(~hot), "cold"), F.col("key") == F.col("key_cold"), "left")
+    found = [F.coalesce(x + "_hot", x + "_cold").alias(f"{tag}_{x}") for x in ("n", "good")]
+    return out.select(*pairs.columns, *found)
 
-    def __init__(self, cells: np.ndarray, weight: float = 0.6, add: float = 0.1) -> None:
-        self.word, self.pair = cells[: 1 << UNIGRAM_BITS].astype(np.float32), cells[1 << UNIGRAM_BITS :].astype(np.float32)
-        self.weight, self.add, self.total = weight, add, float(cells[: 1 << UNIGRAM_BITS].sum())
 
-    def bits(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Loss of each token.  A context of no counts, a document's start included, leaves the unigram."""
-        one = (self.word[word].astype(np.float64) + self.add) / (self.total + self.add * (1 << UNIGRAM_BITS))
-        context = self.word[before].astype(np.float64)
-        two = np.minimum(self.pair[pair], context) / np.maximum(context, 1)
-        return -np.log2(np.where(context > 0, self.weight * two + (1 - self.weight) * one, one))
+def loss(pair: str, context: str, word: str, total: int, vocabulary: int) -> Column:
+    """Bits of a bigram in fixed point.  A context of no counts leaves the additively smoothed unigram."""
+    one = (F.col(word) + ADD) / F.lit(total + ADD * vocabulary)
+    both = F.when(F.col(context) > 0, WEIGHT * F.col(pair) / F.col(context) + (1 - WEIGHT) * one).otherwise(one)
+    return F.round(-F.log2(both) * float(1 << FRACTION_BITS)).cast("long")
 
 
-def scored(models):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background = models.value
-        for batch in batches:
-            word, before, pair, ends = cells_of(batch.column(1).to_pylist())
-            n = np.diff(np.r_[0, ends])
-            some = n > 0
-            means = []
-            for m in (target, background):
-                mean = np.zeros(len(n))
-                if some.any():
-                    mean[some] = np.add.reduceat(m.bits(word, before, pair), (ends - n)[some]) / n[some]
-                means.append(mean)
-            none = ~some
-            cols = [pa.array(np.round(x, 6), mask=none) for x in (*means, means[0] - means[1])]
-            yield pa.record_batch([batch.column(0), pa.array(n), *cols], names=[c.split()[0] for c in SCORED.split(", ")])
-
-    return run
+def losses(docs: DataFrame, target_ids: DataFrame) -> tuple[DataFrame, int]:
+    """pair, n, target, background of every bigram of docs (doc_id, text), and the number of tokens."""
+    ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct().withColumn("good", F.lit(True))
+    flagged = docs.filter("doc_id is not null").join(ids, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    flagged = flagged.union(docs.filter("doc_id is null").select("text", F.lit(False)))
+    pairs = flagged.mapInArrow(counted, COUNTED).groupBy("pair").agg(F.first("before").alias("before"), F.first("word").alias("word"), F.sum("n").alias("n"), F.sum("good").alias("good"))
+    pairs = written(pairs, "bigrams")
+    words, contexts = (written(pairs.groupBy(key).agg(F.sum("n").alias("n"), F.sum("good").alias("good")), key) for key in ("word", "before"))
+    sums = words.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.count("*").alias("words")).first()
+    total, good, vocabulary = sums.n or 0, sums.good or 0, max(sums.words, 1)
+    known = with_sums(with_sums(pairs, words, "word", total, "w"), contexts, "before", total, "c")
+    found = known.select("pair", "n", loss("good", "c_good", "w_good", good, vocabulary).alias("target"), loss("n", "c_n", "w_n", total, vocabulary).alias("background"))
+    return written(found, "losses"), total
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -109,13 +122,24 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, *, id_col:
 
     Texts without words (null, empty) have n_tokens 0 and null figures.  Rows that repeat count and are scored like
     others; rows with a null id are background only; without any target row the target is uniform; an empty table gives
-    no rows; other columns are ignored."""
+    no rows; other columns are ignored.  A lost task is run again, so docs must give a partition's rows in the same order
+    each time, as files do."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = id_text(docs, id_col, text_col)
-    good = docs.join(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    models = spark.sparkContext.broadcast((NgramModel(counts(good)), NgramModel(counts(docs))))
-    return docs.mapInArrow(scored(models), SCORED)
+    known, total = losses(docs, target_ids)
+    often = F.col("n") * (1 << FREQUENT_BITS) >= total
+    frequent = known.filter(often).select("pair", "target", "background").toArrow()
+    keys, *bits = (frequent.column(c).to_numpy() for c in range(3))
+    order = np.argsort(keys)
+    shared = spark.sparkContext.broadcast((keys[order], [x[order] for x in bits]))
+    rare = known.filter(~often).select("pair", F.col("target").alias("t"), F.col("background").alias("b"))
+    rows = docs.mapInArrow(scored(shared), ROWS).join(rare, "pair", "left")
+    added = [F.sum(F.coalesce(x, F.col("times") * F.col(y))).alias(x) for x, y in (("target", "t"), ("background", "b"))]
+    found = rows.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *added)
+    scale = F.when(F.col("n_tokens") > 0, F.col("n_tokens") * float(1 << FRACTION_BITS))
+    means = {"target_bits": F.col("target"), "background_bits": F.col("background"), "difference": F.col("target") - F.col("background")}
+    return found.select("doc_id", "n_tokens", *(F.round(x / scale, 6).alias(name) for name, x in means.items()))
 
 
 def op6_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -309,28 +309,45 @@ def test_permutation_is_one():
         assert len({tuple(pii.permuted(b"k", "t", s, radix)) for s in strings}) == radix**n
 
 
-def test_cross_entropy_difference(spark):
-    texts = [*["alpha beta gamma delta"] * 5, *["one two three four five"] * 5, None, "", "alpha beta one two"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in range(5)], "doc_id long")).collect()}
+@pytest.mark.parametrize("bits", [17, 2, 0])
+def test_cross_entropy_difference(spark, monkeypatch, bits):
+    """With fewer bits, bigrams and words take the paths of rare ones."""
+    monkeypatch.setattr(lm_score, "FREQUENT_BITS", bits)
+    monkeypatch.setattr(lm_score, "HOT_BITS", min(bits, 12))
+    texts = [*["alpha beta gamma Delta alpha beta"] * 5, *["one two three four five"] * 5, None, "", "alpha beta one two", *ODD]
+    rows = [(i, t, 1, "x") for i, t in enumerate(texts)] + [(None, "alpha one", 1, "x"), (0, texts[0], 1, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pair int, good string")
+    found = lm_score.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in (0, 1, 2, 3, 4, 4, None)], "doc_id long")).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in rows)
+    got = {r.doc_id: r for r in found}
     assert got[10].n_tokens == got[11].n_tokens == 0 and got[10].difference is None
     assert got[0].difference < got[12].difference < got[5].difference
+    words_of = lambda t: [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(t or "")]
+    vocabulary = len({w for r in rows for w in words_of(r[1])})
 
-    def bits(sample, text):
-        pairs, words = Counter(), Counter()
+    def bits_of(sample, text):
+        pairs, words, contexts = Counter(), Counter(), Counter()
         for t in sample:
-            w = (t or "").split()
+            w = words_of(t)
             words.update(w)
+            contexts.update(["^", *w][: len(w)])
             pairs.update(zip(["^", *w], w, strict=False))
-        total, out = sum(words.values()), []
-        for a, b in zip(["^", *text.split()], text.split(), strict=False):
-            one = (words[b] + 0.1) / (total + 0.1 * (1 << lm_score.UNIGRAM_BITS))
-            out.append(-np.log2(0.6 * min(pairs[a, b], words[a]) / words[a] + 0.4 * one if words[a] else one))
+        total, out, w = sum(words.values()), [], words_of(text)
+        for a, b in zip(["^", *w], w, strict=False):
+            one = (words[b] + 0.1) / (total + 0.1 * vocabulary)
+            out.append(-np.log2(0.6 * pairs[a, b] / contexts[a] + 0.4 * one if contexts[a] else one))
         return np.mean(out)
 
-    for i in (0, 5, 12):
-        assert got[i].target_bits == pytest.approx(bits(texts[:5], texts[i]), abs=1e-4)
-        assert got[i].background_bits == pytest.approx(bits(texts, texts[i]), abs=1e-4)
+    everything, good = [r[1] for r in rows], [texts[0], *texts[:5]]
+    for r in found:
+        text = "alpha one" if r.doc_id is None else texts[r.doc_id]
+        assert r.n_tokens == len(words_of(text))
+        if r.n_tokens:
+            assert r.target_bits == pytest.approx(bits_of(good, text), abs=1e-5)
+            assert r.background_bits == pytest.approx(bits_of(everything, text), abs=1e-5)
+            assert r.difference == pytest.approx(r.target_bits - r.background_bits, abs=1e-5)
+    empty = df.limit(0)
+    assert lm_score.cross_entropy_difference(empty, empty).collect() == []
 
 
 def test_html_main(spark):
