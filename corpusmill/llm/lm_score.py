@@ -1,120 +1,234 @@
 """LM scoring: cross-entropy difference of a target and a background n-gram model over one vocabulary.
 
 Both are interpolated bigram models over words (lower-cased A-Z) with the same vocabulary and smoothing; the background is
-all documents, the target those that the labels mark as good.  The vocabulary and the bigrams are all of the corpus, in
-tables that grow with it; words are told apart by 64-bit hashes.
+all documents, the target those that the labels mark as good.  The shared vocabulary has 2**VOCABULARY_BITS classes, into
+which words are hashed; every bigram of classes is counted exactly, in a table that grows with the corpus and is never in
+one place: a hash of the bigram deals it to a slice, and the number of slices grows with the tokens.
 
-1. one pass counts bigrams, in all documents and in good ones: counts of batches, then of tasks, then of all;
-2. words and contexts are counted from bigrams, and each bigram gets its two losses, once, however often it occurs;
-3. each document's losses are added up.  Bigrams of at least 1 / 2**FREQUENT_BITS of all tokens (there can't be more than
-   2**FREQUENT_BITS) are broadcast and added in place; the others meet their losses in a join, in which no key is hot.
+1. one pass counts classes in all documents and in good ones; the sums are of fixed size and broadcast;
+2. one pass sends each slice its bigrams with their counts, packed and counted per batch beforehand; a task adds up one
+   slice at a time;
+3. one pass sends each slice the bigrams of each document; beside its counts it adds up their losses per document, and
+   the slices' sums of a document are added.
 
 A document's score is the mean over its tokens of the target's loss less the background's, in bits: lower is more like
 the target.  Losses are whole multiples of 2**-FRACTION_BITS, so that sums don't depend on their order."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import documents, id_text, mix, small_batches, word_hashes, written
+from corpusmill.llm.common import documents, id_text, mix, partitions, small_batches, word_hashes, written
 
-FREQUENT_BITS, HOT_BITS, FRACTION_BITS = 17, 12, 20
-COUNTED = "pair long, before long, word long, n long, good long"
-ROWS = "row long, pair long, times long, doc_id long, n_tokens long, target long, background long"
+VOCABULARY_BITS, CHUNK_BITS, FRACTION_BITS, SLICE_BITS = 20, 16, 20, 15
+CLASSES = 1 << VOCABULARY_BITS
+START = CLASSES  # stands before a document's first word
+KEY_BYTES = 6
+COUNTED, SLICED = "chunk int, payload binary", "slice int, row long, payload binary"
+ADDED = "row long, doc_id long, n_tokens long, target long, background long"
 WEIGHT, ADD = 0.6, 0.1
-_START = np.uint64(0x243F6A8885A308D3)  # stands before a document's first word
 
 
-def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of each token, of the one before it and of the two together, and how many tokens each text has."""
+def names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def classes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each token, and how many tokens each text has."""
     words, ends = word_hashes(texts, lower=True)
-    n = np.diff(np.r_[0, ends])
-    before = np.r_[_START, words[:-1]] if len(words) else words
-    before[(ends - n)[n > 0]] = _START
-    return words, before, mix(before * np.uint64(0x9E3779B97F4A7C15) + words), n
+    return (words & np.uint64(CLASSES - 1)).astype(np.int64), np.diff(np.r_[0, ends])
+
+
+def bigrams(word: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Class before * 2**VOCABULARY_BITS + class of each token."""
+    before = np.r_[START, word[:-1]] if len(word) else word
+    before[(np.cumsum(n) - n)[n > 0]] = START
+    return before << VOCABULARY_BITS | word
+
+
+def packed(numbers: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of numbers, byte by byte, so that like bytes lie together."""
+    return np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpacked(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    return out.view("<i8").reshape(-1)
+
+
+def payload(keys: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Keys and columns of numbers from 0, each column in as many bytes as its largest number needs."""
+    widths = [max(1, (int(c.max()).bit_length() + 7) // 8) for c in columns]
+    return bytes(widths) + zlib.compress(packed(keys, KEY_BYTES) + b"".join(packed(c, w) for c, w in zip(columns, widths, strict=True)), 1)
+
+
+def columns_of(blob: bytes, count: int) -> list[np.ndarray]:
+    widths, raw = [KEY_BYTES, *blob[:count]], zlib.decompress(blob[count:])
+    rows, at, out = len(raw) // sum(widths), 0, []
+    for w in widths:
+        out.append(unpacked(raw[at : at + rows * w], w))
+        at += rows * w
+    return out
 
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in COUNTED.split(", ")]
+    """Counts of classes in one task's documents (even chunks: all; odd ones: good), chunk by chunk."""
+    sums = np.zeros((2, CLASSES), np.int64)
     for batch in batches:
-        word, before, pair, n = tokens_of(batch.column(0).to_pylist())
+        word, n = classes(batch.column(0).to_pylist())
         good = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), n)
-        key, at, back = np.unique(pair, return_index=True, return_inverse=True)
-        cols = [key.view(np.int64), before[at].view(np.int64), word[at].view(np.int64), np.bincount(back, minlength=len(key)), np.bincount(back[good], minlength=len(key))]
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=names)
+        for out, w in zip(sums, (word, word[good]), strict=True):
+            out += np.bincount(w, minlength=CLASSES)
+    parts = sums.reshape(-1, 1 << CHUNK_BITS)
+    at = np.flatnonzero(parts.any(1))
+    yield pa.record_batch([pa.array(at, pa.int32()), pa.array([zlib.compress(parts[i].tobytes(), 1) for i in at.tolist()], pa.binary())], names=names(COUNTED))
+
+
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(blob), np.int64)
+    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in sums.values()], pa.binary())], names=names(COUNTED))
+
+
+def class_counts(flagged: DataFrame) -> np.ndarray:
+    """Counts of all classes in all documents and in good ones: 2 * CLASSES numbers, whatever the input."""
+    out = np.zeros((2 * CLASSES >> CHUNK_BITS, 1 << CHUNK_BITS), np.int64)
+    for r in flagged.mapInArrow(counted, COUNTED).repartition(len(out), "chunk").mapInArrow(added, COUNTED).toLocalIterator():
+        out[r.chunk] += np.frombuffer(zlib.decompress(bytes(r.payload)), np.int64)
+    return out.reshape(2, CLASSES)
+
+
+def slices(total: int) -> int:
+    """Slices for a corpus of so many tokens: small ones first, then of up to 2**22 tokens."""
+    return 1 << max(total >> 22, min(total >> SLICE_BITS, 1 << 14)).bit_length()
+
+
+def by_slice(key: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of keys by slice that keeps their own, and each slice with the place of its first."""
+    part = (mix(key.view(np.uint64)) & np.uint64(count - 1)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
+    return order, part[first], first
 
 
-def scored(frequent):
+def counts_sent(count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per document with what frequent bigrams add, then a row for each other bigram of it."""
-        names = [c.split()[0] for c in ROWS.split(", ")]
-        keys, losses = frequent.value
-        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            _, _, pair, n = tokens_of(batch.column(1).to_pylist())
-            doc = np.repeat(np.arange(len(n)), n)
-            pair = pair.view(np.int64)
-            at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
-            known = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
-            # float64 holds these sums exactly: they stay below 2**53
-            sums = [np.bincount(doc[known], weights=x[at[known]], minlength=len(n)).astype(np.int64) for x in losses]
-            rows = row + np.arange(len(n))
-            row += len(n)
-            base = [rows, mix(rows.view(np.uint64)).view(np.int64), np.ones(len(n), np.int64), batch.column(0), n, *sums]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in base], names=names)
-            doc, pair = doc[~known], pair[~known]
-            order = np.lexsort((pair, doc))
-            doc, pair = doc[order], pair[order]
-            first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])][: len(doc)])
-            times = np.diff(np.r_[first, len(doc)])
-            rest = [rows[doc[first]], pair[first], times, *[pa.nulls(len(first), pa.int64())] * 4]
-            yield pa.record_batch([pa.array(c, pa.int64()) if isinstance(c, np.ndarray) else c for c in rest], names=names)
+            word, n = classes(batch.column(0).to_pylist())
+            good = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), n)
+            key, back = np.unique(bigrams(word, n), return_inverse=True)
+            cols = [key, np.bincount(back, minlength=len(key)), np.bincount(back[good], minlength=len(key))]
+            order, part, first = by_slice(key, count)
+            cols = [c[order] for c in cols]
+            blobs = [payload(*(c[a:b] for c in cols)) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=False)]
+            yield pa.record_batch([pa.array(part, pa.int32()), pa.nulls(len(part), pa.int64()), pa.array(blobs, pa.binary())], names=names(SLICED))
 
     return run
 
 
-def with_sums(pairs: DataFrame, sums: DataFrame, key: str, total: int, tag: str) -> DataFrame:
-    """pairs with n and good of sums (key, n, good), as tag_n and tag_good.
+def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Sums of counts by key."""
+    key, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    out = [np.zeros(len(key), np.int64) for _ in range(2)]
+    for i, x in enumerate(out, 1):
+        np.add.at(x, back, np.concatenate([p[i] for p in parts]))
+    return [key, *out]
 
-    Keys of at least 1 / 2**HOT_BITS of all tokens, of which there are at most 2**HOT_BITS, are broadcast."""
-    hot = F.col("n") * (1 << HOT_BITS) >= total
 
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(F.col(key).alias("key_" + name), F.col("n").alias("n_" + name), F.col("good").alias("good_" + name))
+def slices_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per slice; rows come by slice.  What a slice has gathered is added up whenever it has doubled."""
+    now, parts, size, least = None, [], 0, 1 << 18
 
-    out = pairs.join(F.broadcast(side(sums.filter(hot), "hot")), F.col(key) == F.col("key_hot"), "left")
-    out = out.withColumn("key", F.when(F.col("key_hot").isNull(), F.col(key)).otherwise(F.col("pair")))  # spread what has its counts
-    out = out.join(side(sums.filter(~hot), "cold"), F.col("key") == F.col("key_cold"), "left")
-    found = [F.coalesce(x + "_hot", x + "_cold").alias(f"{tag}_{x}") for x in ("n", "good")]
-    return out.select(*pairs.columns, *found)
+    def row() -> pa.RecordBatch:
+        return pa.record_batch([pa.array([now], pa.int32()), pa.nulls(1, pa.int64()), pa.array([payload(*merged(parts))], pa.binary())], names=names(SLICED))
 
+    for batch in batches:
+        for part, blob in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+            if part != now:
+                if parts:
+                    yield row()
+                now, parts, size, least = part, [], 0, 1 << 18
+            parts.append(columns_of(blob.as_py(), 2))
+            size += len(parts[-1][0])
+            if size > least:
+                parts = [merged(parts)]
+                size = len(parts[0][0])
+                least = max(least, 2 * size)
+    if parts:
+        yield row()
 
-def loss(pair: str, context: str, word: str, total: int, vocabulary: int) -> Column:
-    """Bits of a bigram in fixed point.  A context of no counts leaves the additively smoothed unigram."""
-    one = (F.col(word) + ADD) / F.lit(total + ADD * vocabulary)
-    both = F.when(F.col(context) > 0, WEIGHT * F.col(pair) / F.col(context) + (1 - WEIGHT) * one).otherwise(one)
-    return F.round(-F.log2(both) * float(1 << FRACTION_BITS)).cast("long")
 
+def documents_sent(count: int):
+    """A row per document (slice -1, its id and token count as payload), then its bigrams, packed by slice.  The rows of a
+    batch share one number; a document is the number and its place."""
 
-def losses(docs: DataFrame, target_ids: DataFrame) -> tuple[DataFrame, int]:
-    """pair, n, target, background of every bigram of docs (doc_id, text), and the number of tokens."""
-    ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct().withColumn("good", F.lit(True))
-    flagged = docs.filter("doc_id is not null").join(ids, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    flagged = flagged.union(docs.filter("doc_id is null").select("text", F.lit(False)))
-    pairs = flagged.mapInArrow(counted, COUNTED).groupBy("pair").agg(F.first("before").alias("before"), F.first("word").alias("word"), F.sum("n").alias("n"), F.sum("good").alias("good"))
-    pairs = written(pairs, "bigrams")
-    words, contexts = (written(pairs.groupBy(key).agg(F.sum("n").alias("n"), F.sum("good").alias("good")), key) for key in ("word", "before"))
-    sums = words.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.count("*").alias("words")).first()
-    total, good, vocabulary = sums.n or 0, sums.good or 0, max(sums.words, 1)
-    known = with_sums(with_sums(pairs, words, "word", total, "w"), contexts, "before", total, "c")
-    found = known.select("pair", "n", loss("good", "c_good", "w_good", good, vocabulary).alias("target"), loss("n", "c_n", "w_n", total, vocabulary).alias("background"))
-    return written(found, "losses"), total
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            word, n = classes(batch.column(1).to_pylist())
+            ids = [b"" if i is None else int(i).to_bytes(8, "little", signed=True) for i in batch.column(0).to_pylist()]
+            heads = [int(x).to_bytes(8, "little") + i for x, i in zip(n.tolist(), ids, strict=True)]
+            yield pa.record_batch([pa.array(np.full(len(n), -1), pa.int32()), pa.array(number + np.arange(len(n)), pa.int64()), pa.array(heads, pa.binary())], names=names(SLICED))
+            key, doc = bigrams(word, n), np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((key, doc))
+            key, doc = key[order], doc[order]
+            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])][: len(key)])
+            key, doc, times = key[new], doc[new], np.diff(np.r_[new, len(key)])
+            order, part, first = by_slice(key, count)
+            cols = [x[order] for x in (key, doc, times)]
+            blobs = [payload(*(c[a:b] for c in cols)) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=False)]
+            yield pa.record_batch([pa.array(part, pa.int32()), pa.array(np.full(len(part), number), pa.int64()), pa.array(blobs, pa.binary())], names=names(SLICED))
+            number += len(n)
+
+    return run
+
+
+def loss(pair: np.ndarray, before: np.ndarray, word: np.ndarray, context: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Bits of bigrams in fixed point.  A context of no counts leaves the additively smoothed unigram."""
+    c = context[before]
+    p = np.where(c > 0, WEIGHT * pair / np.maximum(c, 1) + (1 - WEIGHT) * one[word], one[word])
+    return np.round(-np.log2(p) * (1 << FRACTION_BITS)).astype(np.int64)
+
+
+def losses_added(models):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by slice, its counts before the documents' bigrams."""
+        sums, used = models.value
+        contexts = [np.r_[s, u] for s, u in zip(sums, used, strict=True)]
+        ones = [(s + ADD) / (s.sum() + ADD * CLASSES) for s in sums]
+        table: list[np.ndarray] = []
+        for batch in batches:
+            for part, number, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                blob = blob.as_py()
+                if part < 0:
+                    i = int.from_bytes(blob[8:], "little", signed=True) if len(blob) > 8 else None
+                    cols = [[number], [i], [int.from_bytes(blob[:8], "little")], [0], [0]]
+                elif number is None:
+                    key, n, good = columns_of(blob, 2)
+                    before, word = key >> VOCABULARY_BITS, key & (CLASSES - 1)
+                    table = [key, loss(n, before, word, contexts[0], ones[0]), loss(good, before, word, contexts[1], ones[1])]
+                    continue
+                else:
+                    key, doc, times = columns_of(blob, 2)
+                    at = np.searchsorted(table[0], key)
+                    some, back = np.unique(doc, return_inverse=True)
+                    # float64 holds these sums exactly: they stay below 2**53
+                    background, target = (np.bincount(back, weights=x[at] * times).astype(np.int64) for x in table[1:])
+                    cols = [number + some, pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), target, background]
+                yield pa.record_batch([pa.array(c, pa.int64()) if not isinstance(c, pa.Array) else c for c in cols], names=names(ADDED))
+
+    return run
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,16 +241,21 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, *, id_col:
     spark = docs.sparkSession
     small_batches(spark)
     docs = id_text(docs, id_col, text_col)
-    known, total = losses(docs, target_ids)
-    often = F.col("n") * (1 << FREQUENT_BITS) >= total
-    frequent = known.filter(often).select("pair", "target", "background").toArrow()
-    keys, *bits = (frequent.column(c).to_numpy() for c in range(3))
-    order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((keys[order], [x[order] for x in bits]))
-    rare = known.filter(~often).select("pair", F.col("target").alias("t"), F.col("background").alias("b"))
-    rows = docs.mapInArrow(scored(shared), ROWS).join(rare, "pair", "left")
-    added = [F.sum(F.coalesce(x, F.col("times") * F.col(y))).alias(x) for x, y in (("target", "t"), ("background", "b"))]
-    found = rows.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *added)
+    ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct().withColumn("good", F.lit(True))
+    flagged = docs.filter("doc_id is not null").join(ids, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    flagged = flagged.union(docs.filter("doc_id is null").select("text", F.lit(False)))
+    sums = class_counts(flagged)
+    starts = flagged.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).agg(F.count("*").alias("n"), F.count_if("good").alias("good")).first()
+    models = spark.sparkContext.broadcast((sums, (starts.n, starts.good)))
+    count = slices(int(sums[0].sum()))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        # documents' own rows (slice -1) are dealt by their number
+        return rows.repartition(partitions(spark), F.when(F.col("slice") < 0, F.col("row")).otherwise(F.col("slice").cast("long"))).sortWithinPartitions("slice", F.col("row").asc_nulls_first())
+
+    known = written(dealt(flagged.mapInArrow(counts_sent(count), SLICED)).mapInArrow(slices_added, SLICED), "bigrams")
+    rows = dealt(known.union(docs.mapInArrow(documents_sent(count), SLICED))).mapInArrow(losses_added(models), ADDED)
+    found = rows.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("target"), F.sum("background").alias("background"))
     scale = F.when(F.col("n_tokens") > 0, F.col("n_tokens") * float(1 << FRACTION_BITS))
     means = {"target_bits": F.col("target"), "background_bits": F.col("background"), "difference": F.col("target") - F.col("background")}
     return found.select("doc_id", "n_tokens", *(F.round(x / scale, 6).alias(name) for name, x in means.items()))
