@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import documents, id_text, mix, partitions, small_batches, word_hashes, written
 
-VOCABULARY_BITS, CHUNK_BITS, FRACTION_BITS, SLICE_BITS = 20, 16, 20, 15
+VOCABULARY_BITS, CHUNK_BITS, FRACTION_BITS, FIRST_SLICES, SLICE_BITS = 20, 16, 20, 10, 22
 CLASSES = 1 << VOCABULARY_BITS
 START = CLASSES  # stands before a document's first word
 KEY_BYTES = 6
@@ -109,8 +109,8 @@ def class_counts(flagged: DataFrame) -> np.ndarray:
 
 
 def slices(total: int) -> int:
-    """Slices for a corpus of so many tokens: small ones first, then of up to 2**22 tokens."""
-    return 1 << max(total >> 22, min(total >> SLICE_BITS, 1 << 14)).bit_length()
+    """Slices for a corpus of so many tokens: 2**FIRST_SLICES at first, then one for every 2**SLICE_BITS tokens or fewer."""
+    return 1 << max(FIRST_SLICES, (total >> SLICE_BITS).bit_length())
 
 
 def by_slice(key: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
