@@ -1,12 +1,17 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
-Every window of as many words as an item (rounded down to a grid of sizes, so that windows of near sizes are computed
-once) gets a 64-bit SimHash of its weighted k-word shingles, by sums that roll over the document.  An item stands in the
-index with the first and the last window of its size class, and of half its size, so that an edit leaves one of them
-alone.  Fingerprints are cut into radius + 1 blocks; two that differ in at most `radius` bits agree in a block, so block
-tables give all items within the radius.  These candidates are verified by the weighted Jaccard similarity of the
-item's shingles and those of the item-sized window around the hit: a shingle weighs as many as its letters, once for
-each occurrence.
+Windows come in size classes; each gets a 64-bit SimHash of its weighted k-word shingles, by sums that roll over the
+document.  The smallest class has windows of one shingle, whose SimHash is the shingle's hash: of every item, shingles of
+more than 1 - threshold of its weight are indexed, the rarest first.  A window that has none of them holds less than the
+threshold of the item's weight, so no window of the threshold's similarity is missed, whatever was edited; documents without
+any of them are done.  In the others windows of as many words as an item (rounded down to a grid of sizes) are looked up
+too: an item stands in the index with the first and the last window of its size class, and of half its size.  These
+fingerprints are cut into radius + 1 blocks; two that differ in at most `radius` bits agree in a block, so block tables
+give all items within the radius.  They add no match that the smallest class lacks.
+
+Candidates are verified by the weighted Jaccard similarity of the item's shingles and those of each item-sized window of the
+document that can reach the threshold (windows over a document's edge are cut there): a shingle weighs as many as its
+letters, once for each occurrence.
 
 The items go to the executors in blocks of at most `block_bytes` of text; each block is one pass over the documents."""
 
@@ -71,14 +76,15 @@ def similarity(a: Counter, b: Counter, weight: dict[int, int]) -> float:
 class Index:
     """Items of one block, of one shingle size."""
 
-    def __init__(self, items: list[tuple[int | None, list[str]]], k: int, radius: int) -> None:
+    def __init__(self, items: list[tuple[int | None, list[str]]], k: int, radius: int, threshold: float = 0.8) -> None:
         self.k, self.radius = k, radius
         self.items = items
-        self.bags, self.weight = [], {}
+        self.bags, self.first, self.weight = [], [], {}
         found: dict[int, list[tuple[int, int, int]]] = {}  # class -> (print, item, place in it)
         for i, (_, words) in enumerate(items):
             h, w = shingle_hashes(_hashes.of(words), k), weights(words, k)
             self.bags.append(Counter(h.tolist()))
+            self.first.append(np.unique(h, return_index=True)[1])
             self.weight.update(zip(h.tolist(), w.tolist(), strict=True))
             sums, m = lanes(h, w), len(words)
             for c in {grid(m), grid(m // 2)} if m // 2 >= max(8, k) else {grid(m)}:
@@ -95,6 +101,42 @@ class Index:
                 order = np.argsort(v, kind="stable")
                 tables.append((np.bincount(v, minlength=int(mask) + 1), np.r_[0, np.cumsum(np.bincount(v, minlength=int(mask) + 1))], order))
             self.classes[c] = (p, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), tables)
+        self._single(threshold)
+
+    def _single(self, threshold: float) -> None:
+        """All shingles of the items, and which items each of them is looked up for."""
+        self.keys = np.array(sorted(self.weight), np.uint64)
+        place = {x: n for n, x in enumerate(self.keys.tolist())}
+        self.letters = np.array([self.weight[x] for x in self.keys.tolist()], np.int64)
+        self.own = [np.array(sorted(place[x] for x in bag), np.int64) for bag in self.bags]
+        self.total = [sum(n * self.weight[x] for x, n in bag.items()) for bag in self.bags]
+        shared, pairs = Counter(x for bag in self.bags for x in bag), []
+        for i, bag in enumerate(self.bags):
+            left = self.total[i]
+            for x in sorted(bag, key=lambda x: (shared[x], -bag[x] * self.weight[x], x)):
+                if left < threshold * self.total[i] * (1 - 1e-9):
+                    break
+                left -= bag[x] * self.weight[x]
+                pairs.append((place[x], i))
+        pairs.sort()
+        self.start = np.searchsorted([x for x, _ in pairs], np.arange(len(self.keys) + 1))
+        self.looked_up = np.array([i for _, i in pairs], np.int64)
+        self.bits = np.uint64(max(16, (16 * len(self.keys)).bit_length()))
+        self.filter = np.zeros(1 << int(self.bits), bool)
+        self.filter[self.keys >> (np.uint64(64) - self.bits)] = True
+
+    def known(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the shingles that items have, and their places in keys."""
+        at = np.flatnonzero(self.filter[shingles >> (np.uint64(64) - self.bits)])
+        key = np.minimum(np.searchsorted(self.keys, shingles[at]), len(self.keys) - 1)
+        same = self.keys[key] == shingles[at]
+        return at[same], key[same]
+
+    def single(self, doc: np.ndarray, key: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) of the shingles by which items are looked up."""
+        n = self.start[key + 1] - self.start[key]
+        item = self.looked_up[np.repeat(self.start[key], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        return set(zip(np.repeat(doc, n).tolist(), item.tolist(), strict=True))
 
     def candidates(self, fingerprints: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, row of the class) of all that are within the radius."""
@@ -113,13 +155,13 @@ class Index:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int | None, str | None]], k: int = 5, radius: int = 3, threshold: float = 0.8, slack: int = 2) -> None:
-        self.threshold, self.slack = threshold, slack
+    def __init__(self, items: list[tuple[int | None, str | None]], k: int = 5, radius: int = 3, threshold: float = 0.8) -> None:
+        self.threshold = threshold
         by_k: dict[int, list] = {}
         for i, text in items:
             if words := tokens(text):
                 by_k.setdefault(min(k, len(words)), []).append((i, words))
-        self.indexes = [Index(v, size, radius) for size, v in sorted(by_k.items())]
+        self.indexes = [Index(v, size, radius, threshold) for size, v in sorted(by_k.items())]
 
     def matches(self, texts: list[str | None]) -> list[dict[int, tuple[float, int, int]]]:
         """Per text: (index, item) -> similarity, first word, words, of the best window."""
@@ -148,37 +190,69 @@ class Matcher:
             k = ix.k
             if len(words) < k:
                 continue
-            h, w = shingle_hashes(hashes, k), weights(words, k)
-            sums = lanes(h, w)
-            for c in ix.classes:
-                n = c - k + 1
-                if len(h) < n:
-                    continue
-                valid = np.flatnonzero(np.arange(len(h) - n + 1) + c <= ends[doc[: len(h) - n + 1]])
-                if not len(valid):
-                    continue
-                window, row = ix.candidates(prints(sums, n)[valid], c)
-                window = valid[window]
-                _, items, places, _ = ix.classes[c]
-                for at, item, place in sorted({(int(a) - int(p), int(i), int(doc[a])) for a, i, p in zip(window, items[row], places[row], strict=True)}, key=lambda x: (x[2], x[1], x[0])):
-                    self._verify(which, ix, h, w, at, item, place, group, ends, out)
-
-    def _verify(self, which, ix, h, w, at, item, d, group, ends, out) -> None:
-        first, last = (int(ends[d - 1]) if d else 0), int(ends[d])
-        known = out[group[d]].get((which, item), (0.0, 0, 0))
+            h = shingle_hashes(hashes, k)
+            at, key = ix.known(h)
+            inside = at + k <= ends[doc[at]]
+            at, key = at[inside], key[inside]
+            pairs = ix.single(doc[at], key)
+            if not pairs:
+                continue
+            some = np.flatnonzero(np.isin(doc, [d for d, _ in pairs]))
+            pairs |= self._windows(ix, hashes[some], [words[i] for i in some.tolist()], doc[some])
+            w = weights(words, k)
+            for d, item in sorted(pairs):
+                first, last = (int(ends[d - 1]) if d else 0), int(ends[d])
+                mine = slice(*np.searchsorted(at, (first, last)))
+                if best := self._best(ix, item, h[first : last - k + 1], w[first : last - k + 1], at[mine] - first, key[mine]):
+                    out[group[d]][(which, item)] = best
+
+    def _windows(self, ix: Index, hashes: np.ndarray, words: list[str], doc: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) of larger windows within the radius."""
+        k, out = ix.k, set()
+        if len(words) < k:
+            return out
+        sums = lanes(shingle_hashes(hashes, k), weights(words, k))
+        for c in ix.classes:
+            valid = np.flatnonzero(doc[: len(words) - c + 1] == doc[c - 1 :]) if len(words) >= c else []
+            if len(valid):
+                window, row = ix.candidates(prints(sums, c - k + 1)[valid], c)
+                out.update(zip(doc[valid[window]].tolist(), ix.classes[c][1][row].tolist(), strict=True))
+        return out
+
+    def _best(self, ix: Index, item: int, h: np.ndarray, w: np.ndarray, at: np.ndarray, key: np.ndarray) -> tuple[float, int, int] | None:
+        """Similarity, first word and words of the best window of a document, given its shingles and where items' stand."""
+        own, total = ix.own[item], ix.total[item]
+        where = np.minimum(np.searchsorted(own, key), len(own) - 1)
+        at, key = at[own[where] == key], key[own[where] == key]
+        if ix.letters[key].sum() < self.threshold * total * (1 - 1e-9):
+            return None
         m = len(ix.items[item][1])
-        for a in sorted(range(at - self.slack, at + self.slack + 1), key=lambda x: abs(x - at)):
-            if known[0] == 1.0:
+        n = m - ix.k + 1
+        # starts from low on; what lies outside the document weighs nothing
+        low, size = int(at[0]) - n + 1, int(at[-1] - at[0]) + n
+        common, every = np.zeros(size + n, np.int64), np.zeros(size + n, np.int64)
+        common[at - low] = ix.letters[key]
+        a, b = max(low, 0), min(low + size + n, len(h))
+        every[a - low : b - low] = w[a:b]
+        common, every = (np.r_[0, np.cumsum(x)] for x in (common, every))
+        most = np.minimum(common[n : n + size] - common[:size], total)
+        bound = most / (total + every[n : n + size] - every[:size] - most)
+        starts = np.flatnonzero(bound >= self.threshold)
+        # how many shingles stand at a start's distance from their first place in the item
+        votes = np.bincount(np.clip(at - ix.first[item][np.searchsorted(own, key)] - low, -1, size) + 1, minlength=size + 2)[starts + 1]
+        best: tuple[float, int, int] | None = None
+        for i in np.lexsort((starts, -votes, -bound[starts])).tolist():
+            if best and (best[0] == 1.0 or bound[starts[i]] < best[0]):
                 break
-            a0, b0 = max(first, a), min(last, a + m)
-            if b0 - a0 < ix.k:
-                continue
-            s = h[a0 : b0 - ix.k + 1].tolist()
-            weight = ix.weight | dict(zip(s, w[a0 : b0 - ix.k + 1].tolist(), strict=True)) if any(x not in ix.weight for x in s) else ix.weight
-            if (j := similarity(ix.bags[item], Counter(s), weight)) >= self.threshold and j > known[0]:
-                known = (j, a0 - first, b0 - a0)
-        if known[0]:
-            out[group[d]][(which, item)] = known
+            a, b = max(int(starts[i]) + low, 0), min(int(starts[i]) + low + n, len(h))
+            s = h[a:b].tolist()
+            weight = dict(zip(s, w[a:b].tolist(), strict=True)) | {x: ix.weight[x] for x in ix.bags[item]}
+            if (j := similarity(ix.bags[item], Counter(s), weight)) >= self.threshold and (not best or (j, int(votes[i]), -int(starts[i])) > best):
+                best = (j, int(votes[i]), -int(starts[i]))
+        if not best:
+            return None
+        a = low - best[2]
+        return best[0], max(a, 0), min(a + m, len(h) + ix.k - 1) - max(a, 0)
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str | None]]]:
@@ -215,7 +289,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     Words are runs of letters, digits and underscores, lower-cased; start and n_words count them.  An item of fewer than
     k words is one shingle.  Null and empty texts and items match nothing; rows that repeat are matched each on its own,
     with null ids too; an empty table on either side gives no rows.  Other columns are ignored.  Of equal windows the one
-    nearest to the hit counts, then the first."""
+    where most shingles stand as in the item counts, then the first."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = id_text(docs, id_col, text_col)

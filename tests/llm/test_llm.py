@@ -235,6 +235,46 @@ def test_decontamination(spark):
     assert decontaminate.contamination(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_what_a_scan_finds():
+    """Edits at both ends, next to them and in both halves; insertions and deletions; windows cut at a document's edge."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(4, 9)))
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate((3, 16, 27, 38, 48, 59, 59, 80))]
+    texts = []
+    for _, w in items:
+        n = len(w)
+        for places in ([0, n - 1], [1, n - 2], [n // 4], [n // 4, 3 * n // 4], [2, n // 2, n - 3], [0, n // 3, 2 * n // 3, n - 1]):
+            for change in (lambda x, i: x.__setitem__(i, word()), lambda x, i: x.insert(i, word()), lambda x, i: x.pop(i)):
+                new = list(w)
+                for i in sorted({x % n for x in places}, reverse=True):
+                    change(new, i)
+                texts += [new, [*(word() for _ in range(20)), *new, *(word() for _ in range(20))]]
+    texts += [w[1:-1] for _, w in items] + [[word() for _ in range(200)]]
+
+    def letters(words, k):
+        return Counter({s: n * min(255, sum(map(len, s))) for s, n in Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1)).items()})
+
+    matcher = decontaminate.Matcher([(i, " ".join(w)) for i, w in items])
+    found = 0
+    for text, got in zip(texts, matcher.matches([" ".join(t) for t in texts]), strict=True):
+        mine = {matcher.indexes[which].items[item][0]: x for (which, item), x in got.items()}
+        for i, w in items:
+            k, best = min(5, len(w)), {}
+            if not {*w} & {*text}:
+                assert i not in mine
+                continue
+            own = letters(w, k)
+            for a in range(k - len(w), len(text) - k + 1):
+                window = letters(text[max(a, 0) : a + len(w)], k)
+                best[max(a, 0), min(a + len(w), len(text)) - max(a, 0)] = (own & window).total() / (own | window).total()
+            most = max(best.values(), default=0)
+            assert (i in mine) == (most >= 0.8), (i, most)
+            if i in mine:
+                assert mine[i][0] == pytest.approx(most) and best[mine[i][1:]] == pytest.approx(most)
+                found += 1
+    assert found > 100
+
+
 def test_lexicon_automaton_equals_edit_distance():
     def distance(a, b):
         row = list(range(len(b) + 1))
