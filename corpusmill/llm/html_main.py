@@ -8,7 +8,7 @@ is left, text in the gaps between template tokens, fills slots.
 
 Slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments go.  Of the others a page keeps those
 in its article or main element, with template texts too (an article that several pages carry is text all the same); a
-page without either keeps the slots with the most text over its group."""
+page without either keeps all of them, however short."""
 
 from __future__ import annotations
 
@@ -153,24 +153,12 @@ def extract(pages: list[str | None]) -> list[str]:
     """Main texts of a group of pages of one host."""
     parsed = [parse(p) for p in pages]
     fixed = template(parsed) if any(not any(t[4] for t in tokens) for tokens in parsed) else set()
-    slots: Counter = Counter()
-    gaps: list[list[str]] = []
-    for tokens in parsed:
-        gap, mine = "", []
-        for key, text, _, away, _ in tokens:
-            if key in fixed:
-                gap = key
-            mine.append(gap)
-            if text and not away and key and key not in fixed:
-                slots[gap] += len(text)
-        gaps.append(mine)
-    rich = {g for g, n in slots.items() if n >= 0.05 * max(slots.values())} if slots else set()
     out = []
-    for tokens, mine in zip(parsed, gaps, strict=True):
+    for tokens in parsed:
         has_main = any(t[4] for t in tokens)
         blocks: dict[int, list[str]] = defaultdict(list)
-        for (key, text, block, away, main), gap in zip(tokens, mine, strict=True):
-            if text and not away and (main if has_main else not key or key not in fixed and gap in rich):
+        for key, text, block, away, main in tokens:
+            if text and not away and (main if has_main else key not in fixed):
                 blocks[block].append(text)
         lines = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
         out.append("\n".join(x for x in lines if x))

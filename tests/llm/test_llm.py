@@ -397,6 +397,14 @@ def test_html_main(spark):
     assert got[12].text == "Body 2 of text" and got[90].text == got[91].text == ""
 
 
+def test_html_main_keeps_short_slots():
+    """A plain page's title, subheadings, quotes, lists and captions are short beside its paragraphs."""
+    page = "<body><div class=menu>Menu</div><div class=c><h1>Title {0}</h1><p>{1}</p><h2>Part {0}</h2><p>{1}</p><ul><li>one {0}<li>two {0}</ul><blockquote>Said {0}</blockquote><table><caption>Cap {0}</caption><tr><td>cell {0}</td></tr></table></div><p>Same foot</p></body>"
+    long = [" ".join(f"w{i}x{j}" for j in range(900)) for i in range(5)]
+    for i, text in enumerate(html_main.extract([page.format(i, long[i]) for i in range(5)])):
+        assert text.split("\n") == [f"Title {i}", long[i], f"Part {i}", long[i], f"one {i}", f"two {i}", f"Said {i}", f"Cap {i}", f"cell {i}"]
+
+
 def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
