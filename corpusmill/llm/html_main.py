@@ -3,8 +3,9 @@
 Pages of a host are dealt out in groups of about `group` pages (hosts of any size, so none meets in one task).  In a group,
 every token (a tag with its class and path, or a text with its path) has an occurrence vector: how often it stands in
 each page.  Tokens that share a vector and occur in most pages form an equivalence class; a class is valid if its tokens
-follow each other in the same order in all of its pages.  Valid classes nest by their gaps and make the template.  What
-is left, text in the gaps between template tokens, fills slots.
+follow each other in the same order, once or again and again, in all of its pages.  Valid classes nest by their gaps, in
+which tokens get vectors of their own, and make the template.  What is left, text in the gaps between template tokens,
+fills slots.
 
 Slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments go.  Of the others a page keeps those
 in its article or main element, with template texts too (an article that several pages carry is text all the same); a
@@ -123,42 +124,59 @@ def parse(page: str | None) -> list[tuple[str, str, int, bool, bool]]:
     return out
 
 
-def template(pages: list[list[tuple[str, str, int, bool, bool]]], least: int = 3) -> set[str]:
-    """Keys of the tokens in valid equivalence classes."""
-    if len(pages) < least:
-        return set()
-    vectors: dict[str, dict[int, int]] = defaultdict(dict)
-    for i, tokens in enumerate(pages):
-        for key, n in Counter(t[0] for t in tokens if t[0]).items():
-            vectors[key][i] = n
-    classes: dict[tuple, list[str]] = defaultdict(list)
-    for key, vector in vectors.items():
-        if 2 * len(vector) >= len(pages):
-            classes[tuple(sorted(vector.items()))].append(key)
-    firsts = []
-    for tokens in pages:
-        first: dict[str, int] = {}
-        for j, t in enumerate(tokens):
-            first.setdefault(t[0], j)
-        firsts.append(first)
-    out: set[str] = set()
-    for vector, keys in classes.items():
-        order = sorted(keys, key=firsts[vector[0][0]].__getitem__)
-        if all(all(a < b for a, b in zip(p, p[1:], strict=False)) for i, _ in vector for p in [[firsts[i][k] for k in order]]):
-            out.update(keys)
+def template(pages: list[list[tuple[str, str, int, bool, bool]]], least: int = 3) -> list[set[int]]:
+    """Places of each page's tokens that stand in valid equivalence classes.
+
+    A class cuts each of its spans into gaps: before its first token, between two that follow each other, and behind its last.
+    The gaps between the same two tokens, over all pages and repetitions, are searched for classes of their own."""
+    out: list[set[int]] = [set() for _ in pages]
+    common = Counter(key for tokens in pages for key in {t[0] for t in tokens if t[0]})
+    common = {key for key, n in common.items() if n >= least and 2 * n >= len(pages)}
+    todo = [[(i, [j for j, t in enumerate(tokens) if t[0] in common]) for i, tokens in enumerate(pages)]]
+    while todo:
+        spans = [(i, at) for i, at in todo.pop() if at]
+        vectors: dict[str, dict[int, int]] = defaultdict(dict)
+        for n, (i, at) in enumerate(spans):
+            for key, times in Counter(pages[i][j][0] for j in at).items():
+                vectors[key][n] = times
+        classes: dict[tuple, list[str]] = defaultdict(list)
+        for key, vector in vectors.items():
+            if 2 * (on := len({spans[n][0] for n in vector})) >= len(pages) and on >= least:
+                classes[tuple(vector.items())].append(key)
+        for vector, keys in sorted(classes.items(), key=lambda x: -len(x[0]) * len(x[1])):
+            if gaps := cut(pages, [spans[n] for n, _ in vector], set(keys), out):
+                held = {n for n, _ in vector}
+                todo += [*gaps, [x for n, x in enumerate(spans) if n not in held]]
+                break
     return out
 
 
+def cut(pages: list[list[tuple[str, str, int, bool, bool]]], spans: list[tuple[int, list[int]]], keys: set[str], out: list[set[int]]) -> list[list[tuple[int, list[int]]]]:
+    """The gaps of a class, its places added to out; none if its tokens don't follow each other in one order everywhere."""
+    found = [[n for n, j in enumerate(at) if pages[i][j][0] in keys] for i, at in spans]
+    order = [pages[spans[0][0]][spans[0][1][n]][0] for n in found[0][: len(keys)]]
+    if any([pages[i][at[n]][0] for n in mine] != order * (len(mine) // len(order)) for (i, at), mine in zip(spans, found, strict=True)):
+        return []
+    gaps: list[list[tuple[int, list[int]]]] = [[] for _ in range(len(order) + 2)]
+    for (i, at), mine in zip(spans, found, strict=True):
+        out[i].update(at[n] for n in mine)
+        gaps[0].append((i, at[: mine[0]]))
+        gaps[-1].append((i, at[mine[-1] + 1 :]))
+        for x, (n, after) in enumerate(zip(mine, mine[1:], strict=False)):
+            gaps[1 + x % len(order)].append((i, at[n + 1 : after]))
+    return gaps
+
+
 def extract(pages: list[str | None]) -> list[str]:
     """Main texts of a group of pages of one host."""
     parsed = [parse(p) for p in pages]
-    fixed = template(parsed) if any(not any(t[4] for t in tokens) for tokens in parsed) else set()
+    fixed = template(parsed) if any(not any(t[4] for t in tokens) for tokens in parsed) else [set()] * len(parsed)
     out = []
-    for tokens in parsed:
+    for tokens, mine in zip(parsed, fixed, strict=True):
         has_main = any(t[4] for t in tokens)
         blocks: dict[int, list[str]] = defaultdict(list)
-        for key, text, block, away, main in tokens:
-            if text and not away and (main if has_main else key not in fixed):
+        for place, (_, text, block, away, main) in enumerate(tokens):
+            if text and not away and (main if has_main else place not in mine):
                 blocks[block].append(text)
         lines = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
         out.append("\n".join(x for x in lines if x))

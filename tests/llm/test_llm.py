@@ -405,6 +405,18 @@ def test_html_main_keeps_short_slots():
         assert text.split("\n") == [f"Title {i}", long[i], f"Part {i}", long[i], f"one {i}", f"two {i}", f"Said {i}", f"Cap {i}", f"cell {i}"]
 
 
+def test_template_classes_nest():
+    """The gaps of a list have classes of their own."""
+    # A, B swap places inside the gap of the list: no class of both, but each is one
+    swapped = ["<ul><li>%s</li><li>%s</li></ul><p>x%d</p>" % (*(("A", "B") if i % 2 else ("B", "A")), i) for i in range(6)]
+    assert html_main.extract(swapped) == [f"x{i}" for i in range(6)]
+    page = "<div class=c><p>{0}</p><ul>{1}</ul><p>{2}</p></div>"
+    pages = [page.format(f"Text {i}", "".join(f"<li><b>Label</b><i>value {i} {j}</i></li>" for j in range(i + 1)), "Same end" if i else "Other end") for i in range(6)]
+    parsed = [html_main.parse(p) for p in pages]
+    for i, (tokens, mine) in enumerate(zip(parsed, html_main.template(parsed), strict=True)):
+        assert [t[1] for j, t in enumerate(tokens) if t[1] and j not in mine] == [f"Text {i}", *(f"value {i} {j}" for j in range(i + 1)), *([] if i else ["Other end"])]
+
+
 def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
