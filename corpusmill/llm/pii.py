@@ -6,7 +6,9 @@ all strings of their format (a Feistel network over the alphabet), so distinct e
 surrogates; given names go through a permutation of their gender's list, other names are permuted within their script.
 
 Collision checks over the whole corpus find the rest: entities whose surrogate is another's too (the least entity keeps
-it), is itself an entity of the corpus, or is the entity itself.  They get another try until none collides.  Retried entities are
+it), is itself an entity of the corpus, or is the entity itself.  They get another try until none collides.  After ROUNDS tries
+an entity's format counts as full and is widened by a character more in each try (given names get a second one, letters of no
+alphabet become Latin ones); addresses and cards have formats that don't fill.  Retried entities are
 normally few and are broadcast up to `most_broadcast` of them; beyond that they are joined to their documents."""
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ ALPHABETS = [
     "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
 ]
 
+ROUNDS, WIDER = 20, 30  # tries within an entity's format, then in wider ones
+
 _EMAIL = re.compile(r"(?<![\w.+-])[\w+-][\w.+-]*@[\w-]+(?:\.[\w-]+)+")
 _NUMBER = re.compile(
     r"(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w.]*\d))"
@@ -98,8 +102,24 @@ def luhn(digits: str) -> int:
     return -total % 10
 
 
+def wider(text: str, more: int, lower: bool) -> str:
+    """text with so many characters more, of its last one's kind, and Latin letters for those of no alphabet."""
+    chars = [c if not c.isalnum() or any(c in a for a in ALPHABETS) else "A" if c.isupper() else "a" for c in text]
+    at = next((i for i in range(len(chars) - 1, -1, -1) if chars[i].isalnum()), -1)
+    last = chars[at] if at >= 0 else "a"
+    return "".join([*chars[: at + 1], *[last.lower() if lower else last] * more, *chars[at + 1 :]])
+
+
 def surrogate(key: bytes, kind: str, entity: str, tries: int) -> str:
     tweak = f"{kind}|{tries}"
+    if tries > ROUNDS and kind not in ("ip", "card"):
+        # a hash of the entity: not a permutation, so later tries part those that meet
+        tweak += f"|{entity}"
+        if kind in ("m", "f") and entity in (names := MALE if kind == "m" else FEMALE):
+            one, two = sorted((n for n in names if n != entity), key=lambda n: number(key, tweak, n))[:2]
+            return f"{one}-{two}"
+        local, at, domain = entity.rpartition("@") if kind == "email" else (entity, "", "")
+        entity = wider(local, tries - ROUNDS, kind in ("m", "f", "n")) + at + domain
     if kind == "ip":
         value = int.from_bytes(bytes(map(int, entity.split("."))), "big")
         return ".".join(map(str, bytes(permuted(key, tweak, list(value.to_bytes(4, "big")), 256))))
@@ -196,7 +216,7 @@ def with_surrogates(key: bytes):
     return run
 
 
-def retried(found: DataFrame, key: bytes, rounds: int = 20) -> DataFrame:
+def retried(found: DataFrame, key: bytes, rounds: int = ROUNDS + WIDER) -> DataFrame:
     """kind, entity, tries > 0 of the entities whose first surrogate collides.  Two kinds never share a surrogate either,
     except that a name's kinds (m, f, n) are told apart by their lists."""
     real = found.select(F.col("entity").alias("new")).distinct()
@@ -211,6 +231,8 @@ def retried(found: DataFrame, key: bytes, rounds: int = 20) -> DataFrame:
         if moved.isEmpty():
             break
         state = state.join(losers, ["kind", "entity"], "left_anti").union(moved).checkpoint()
+    else:
+        raise RuntimeError(f"surrogates still collide after {rounds} rounds")
     return state.filter("tries > 0").select("kind", "entity", "tries")
 
 

@@ -343,6 +343,21 @@ def test_surrogates_are_distinct_and_alike(spark):
     assert len(new) == 300 and not new & {f"000-00-{i:04d}" for i in range(300)}
 
 
+def test_surrogates_of_full_formats(spark):
+    """All one-letter names occur, so none is free; a letter of no alphabet has no other string of its format."""
+    names = [*"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "Š", "Ž"]
+    found = spark.createDataFrame([("n", x) for x in names], "kind string, entity string")
+    tries = {r.entity: r.tries for r in pii.retried(found, b"k").collect()}
+    new = {pii.surrogate(b"k", "n", x, tries.get(x, 0)) for x in names}
+    assert len(new) == len(names) and not new & set(names) and all(re.fullmatch("[A-Z][a-z]+", x) for x in new)
+    for given in (pii.MALE, pii.FEMALE):
+        kind = "m" if given is pii.MALE else "f"
+        assert all({*pii.surrogate(b"k", kind, x, pii.ROUNDS + 1).split("-")} < {*given} - {x} for x in given)
+    assert re.fullmatch(r"[a-z]{2,}@[a-z]\.com", pii.surrogate(b"k", "email", "a@b.com", pii.ROUNDS + 1))
+    with pytest.raises(RuntimeError):
+        pii.retried(found, b"k", 1)
+
+
 def test_permutation_is_one():
     for radix, n in ((10, 3), (26, 2), (2, 5), (10, 1)):
         strings = [[i // radix**j % radix for j in range(n)] for i in range(radix**n)]
