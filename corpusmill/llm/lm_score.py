@@ -1,18 +1,20 @@
-"""LM scoring: cross-entropy difference of a target and a background n-gram model over one vocabulary.
+"""LM scoring: cross-entropy difference of matched target and background bigram models over one vocabulary.
 
-Both are interpolated bigram models over words (lower-cased A-Z) with the same vocabulary and smoothing; the background is
-all documents, the target those that the labels mark as good.  The shared vocabulary has 2**VOCABULARY_BITS classes, into
-which words are hashed; every bigram of classes is counted exactly, in a table that grows with the corpus and is never in
-one place: a hash of the bigram deals it to a slice, and the number of slices grows with the tokens.
+Both models have the same order, vocabulary (all words of the corpus, told apart by 64-bit hashes, and a document's end) and
+smoothing: a bigram's counts are drawn to the model's word frequencies, and these to those of the corpus.  The background
+counts all documents, the target those that the labels mark as good.  Every document is scored without its own counts in
+either model, so that a target document gains nothing from having been counted.
 
-1. one pass counts classes in all documents and in good ones; the sums are of fixed size and broadcast;
-2. one pass sends each slice its bigrams with their counts, packed and counted per batch beforehand; a task adds up one
-   slice at a time;
-3. one pass sends each slice the bigrams of each document; beside its counts it adds up their losses per document, and
-   the slices' sums of a document are added.
+Tables grow with the corpus and are never in one place:
 
-A document's score is the mean over its tokens of the target's loss less the background's, in bits: lower is more like
-the target.  Losses are whole multiples of 2**-FRACTION_BITS, so that sums don't depend on their order."""
+1. documents are gathered into chunks of about `chunk_bytes` of text and written, as numbers of the chunk's own words;
+2. each chunk asks for the counts of its distinct words and bigrams, once however often they occur in it: keys are dealt by
+   their upper bits to slices, whose number grows with the tokens.  A task adds up one slice at a time and answers each
+   chunk in the order of its keys, so that answers need none;
+3. chunks meet their answers, and each document's losses are added up in one place and in one order.
+
+A document's score is the mean over its words and its end of the target's loss less the background's, in bits: lower is
+more like the target."""
 
 from __future__ import annotations
 
@@ -27,85 +29,165 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import documents, id_text, mix, partitions, small_batches, word_hashes, written
 
-VOCABULARY_BITS, CHUNK_BITS, FRACTION_BITS, FIRST_SLICES, SLICE_BITS = 20, 16, 20, 10, 22
-CLASSES = 1 << VOCABULARY_BITS
-START = CLASSES  # stands before a document's first word
-KEY_BYTES = 6
-COUNTED, SLICED = "chunk int, payload binary", "slice int, row long, payload binary"
-ADDED = "row long, doc_id long, n_tokens long, target long, background long"
-WEIGHT, ADD = 0.6, 0.1
+FIRST_SLICES, SLICE_BITS = 10, 22
+CHUNKS = "chunk long, n_tokens long, n_target long, payload binary"
+ASKED = "slice long, chunk long, payload binary"
+ANSWERED = "chunk long, slice long, n_words long, payload binary"
+SCORED = "doc_id long, n_tokens long, target_bits double, background_bits double"
+#: Weight of a word's frequency in its bigrams, and of the corpus's word frequencies in a model's, in counts; added to each word's count.
+BACK_OFF, SHARED, ADD = 4.0, 1000.0, 0.1
+_END, _START = np.uint64(0x51ED270B76A2D1C3), np.uint64(0xA24BAED4963EE407)
 
 
 def names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def classes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each token, and how many tokens each text has."""
-    words, ends = word_hashes(texts, lower=True)
-    return (words & np.uint64(CLASSES - 1)).astype(np.int64), np.diff(np.r_[0, ends])
-
-
-def bigrams(word: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Class before * 2**VOCABULARY_BITS + class of each token."""
-    before = np.r_[START, word[:-1]] if len(word) else word
-    before[(np.cumsum(n) - n)[n > 0]] = START
-    return before << VOCABULARY_BITS | word
-
-
-def packed(numbers: np.ndarray, width: int) -> bytes:
+def planes(numbers: np.ndarray, width: int) -> bytes:
     """The lowest bytes of numbers, byte by byte, so that like bytes lie together."""
-    return np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def unpacked(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
+def from_planes(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // max(1, width), 8), np.uint8)
     out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
-    return out.view("<i8").reshape(-1)
+    return out.view("<u8").reshape(-1)
+
 
+def width_of(numbers: np.ndarray) -> int:
+    return max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
 
-def payload(keys: np.ndarray, *columns: np.ndarray) -> bytes:
-    """Keys and columns of numbers from 0, each column in as many bytes as its largest number needs."""
-    widths = [max(1, (int(c.max()).bit_length() + 7) // 8) for c in columns]
-    return bytes(widths) + zlib.compress(packed(keys, KEY_BYTES) + b"".join(packed(c, w) for c, w in zip(columns, widths, strict=True)), 1)
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of equal length, each in as many bytes as its largest number needs."""
+    widths = [width_of(c) for c in columns]
+    return bytes(widths) + b"".join(planes(c, w) for c, w in zip(columns, widths, strict=True))
 
-def columns_of(blob: bytes, count: int) -> list[np.ndarray]:
-    widths, raw = [KEY_BYTES, *blob[:count]], zlib.decompress(blob[count:])
-    rows, at, out = len(raw) // sum(widths), 0, []
+
+def unpacked(blob: bytes, count: int) -> list[np.ndarray]:
+    widths, at, out = blob[:count], count, []
+    rows = (len(blob) - count) // sum(widths)
     for w in widths:
-        out.append(unpacked(raw[at : at + rows * w], w))
+        out.append(from_planes(blob[at : at + rows * w], w))
         at += rows * w
     return out
 
 
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of classes in one task's documents (even chunks: all; odd ones: good), chunk by chunk."""
-    sums = np.zeros((2, CLASSES), np.int64)
-    for batch in batches:
-        word, n = classes(batch.column(0).to_pylist())
-        good = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), n)
-        for out, w in zip(sums, (word, word[good]), strict=True):
-            out += np.bincount(w, minlength=CLASSES)
-    parts = sums.reshape(-1, 1 << CHUNK_BITS)
-    at = np.flatnonzero(parts.any(1))
-    yield pa.record_batch([pa.array(at, pa.int32()), pa.array([zlib.compress(parts[i].tobytes(), 1) for i in at.tolist()], pa.binary())], names=names(COUNTED))
-
-
-def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(blob), np.int64)
-    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in sums.values()], pa.binary())], names=names(COUNTED))
+class Chunk:
+    """Some documents: ids, whether each counts for the target, words of each, and all words as places in `vocabulary`,
+    the hashes of the distinct words from frequent to rare."""
+
+    def __init__(self, ids: list[int | None], good: np.ndarray, n: np.ndarray, vocabulary: np.ndarray, words: np.ndarray) -> None:
+        self.ids, self.good, self.n, self.vocabulary, self.words = ids, good, n, vocabulary, words
+
+    @classmethod
+    def of(cls, ids: list[int | None], good: np.ndarray, texts: list[str | None]) -> Chunk:
+        h, ends = word_hashes(texts, lower=True)
+        vocabulary, place, times = np.unique(h, return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        return cls(ids, good, np.diff(np.r_[0, ends]), vocabulary[order], number[place])
+
+    def payload(self) -> bytes:
+        head = np.array([len(self.ids), len(self.vocabulary)], "<u8").tobytes()
+        flags = np.array([i is not None for i in self.ids], np.uint8) | (self.good.astype(np.uint8) << 1)
+        ids = np.array([i or 0 for i in self.ids], "<i8")
+        return head + ids.tobytes() + flags.tobytes() + self.n.astype("<u4").tobytes() + self.vocabulary.astype("<u8").tobytes() + zlib.compress(packed(self.words), 1)
+
+    @classmethod
+    def read(cls, blob: bytes) -> Chunk:
+        docs, size = np.frombuffer(blob, "<u8", 2).tolist()
+        at = 16
+        parts = []
+        for kind, count in (("<i8", docs), ("u1", docs), ("<u4", docs), ("<u8", size)):
+            parts.append(np.frombuffer(blob, kind, count, at))
+            at += parts[-1].nbytes
+        ids, flags, n, vocabulary = parts
+        return cls([i if f & 1 else None for i, f in zip(ids.tolist(), flags.tolist(), strict=True)], flags > 1, n.astype(np.int64), vocabulary, unpacked(zlib.decompress(blob[at:]), 1)[0].astype(np.int64))
+
+    def steps(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, word before and word of each step; every document with words ends in a step to the end, which is the
+        place behind the vocabulary, as is the start before the first word."""
+        some = np.flatnonzero(self.n)
+        n = self.n[some] + 1
+        ends = np.cumsum(n) - 1
+        word = np.full(int(n.sum()), len(self.vocabulary), np.int64)
+        own = np.ones(len(word), bool)
+        own[ends] = False
+        word[own] = self.words
+        before = np.r_[len(self.vocabulary), word[:-1]] if len(word) else word
+        return np.repeat(some, n), before, word
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys of the distinct words (odd) and bigrams (even), where each word of the vocabulary and the end stand
+        among them, and where each step's bigram does."""
+        _, before, word = self.steps()
+        hashes = np.r_[self.vocabulary, _END]
+        one = mix(hashes) | np.uint64(1)
+        with np.errstate(over="ignore"):
+            first = mix(np.r_[self.vocabulary, _START]) * np.uint64(0x9E3779B97F4A7C15)
+            two = mix(first[before] + hashes[word]) & ~np.uint64(1)
+        keys, place = np.unique(np.r_[one, two], return_inverse=True)
+        return keys, place[: len(one)], place[len(one) :]
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys with their counts in all documents of the chunk and in those of the target."""
+        keys, one, two = self.keys()
+        doc, _, word = self.steps()
+        good = self.good[doc]
+        return keys, *(np.bincount(one[word[x]], minlength=len(keys)) + np.bincount(two[x], minlength=len(keys)) for x in (slice(None), good))
+
+    def scores(self, answers: list[np.ndarray], totals: tuple[int, int], vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of each document in the target and the background, its own counts left out."""
+        _, one, two = self.keys()
+        doc, before, word = self.steps()
+        size = len(self.vocabulary) + 1
+        own_word, own_pair, own_before = (self.own(doc, x, width) for x, width in ((word, size), (two, len(answers[0])), (before, size)))
+        n = (self.n + 1)[doc]
+        out, shared = [], np.empty(0)
+        for counts, total, mine in zip(answers, totals, (np.ones(len(doc)), self.good[doc].astype(float)), strict=True):
+            c_word, c_before, c_pair = counts[one][word] - mine * own_word, counts[one][before] - mine * own_before, counts[two] - mine * own_pair
+            rest = total - mine * n
+            if not out:
+                shared = (c_word + ADD) / (rest + ADD * vocabulary)
+            frequency = (c_word + SHARED * shared) / (rest + SHARED)
+            bits = -np.log2((c_pair + BACK_OFF * frequency) / (c_before + BACK_OFF))
+            out.append(np.bincount(doc, weights=bits, minlength=len(self.n)))
+        return out[1], out[0]
+
+    @staticmethod
+    def own(doc: np.ndarray, what: np.ndarray, width: int) -> np.ndarray:
+        """How often each step's thing occurs in its document."""
+        _, place, times = np.unique(doc * width + what, return_inverse=True, return_counts=True)
+        return times[place]
+
+
+def gathered(chunk_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        held: list[list] = [[], [], []]
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal number, held, size
+            good = np.array(held[2], bool)
+            chunk = Chunk.of(held[0], good, held[1])
+            number, held, size = number + 1, [[], [], []], 0
+            n = chunk.n + (chunk.n > 0)
+            return pa.record_batch([pa.array([number - 1]), pa.array([int(n.sum())]), pa.array([int(n[good].sum())]), pa.array([chunk.payload()], pa.binary())], names=names(CHUNKS))
 
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                for column, x in zip(held, row, strict=True):
+                    column.append(x)
+                size += len(row[1] or "") + 16
+                if size >= chunk_bytes:
+                    yield flush()
+        if held[0]:
+            yield flush()
 
-def class_counts(flagged: DataFrame) -> np.ndarray:
-    """Counts of all classes in all documents and in good ones: 2 * CLASSES numbers, whatever the input."""
-    out = np.zeros((2 * CLASSES >> CHUNK_BITS, 1 << CHUNK_BITS), np.int64)
-    for r in flagged.mapInArrow(counted, COUNTED).repartition(len(out), "chunk").mapInArrow(added, COUNTED).toLocalIterator():
-        out[r.chunk] += np.frombuffer(zlib.decompress(bytes(r.payload)), np.int64)
-    return out.reshape(2, CLASSES)
+    return run
 
 
 def slices(total: int) -> int:
@@ -113,152 +195,95 @@ def slices(total: int) -> int:
     return 1 << max(FIRST_SLICES, (total >> SLICE_BITS).bit_length())
 
 
-def by_slice(key: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order of keys by slice that keeps their own, and each slice with the place of its first."""
-    part = (mix(key.view(np.uint64)) & np.uint64(count - 1)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    part = part[order]
-    first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
-    return order, part[first], first
-
+def asked(count: int):
+    shift = np.uint64(65 - count.bit_length())
 
-def counts_sent(count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, n = classes(batch.column(0).to_pylist())
-            good = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), n)
-            key, back = np.unique(bigrams(word, n), return_inverse=True)
-            cols = [key, np.bincount(back, minlength=len(key)), np.bincount(back[good], minlength=len(key))]
-            order, part, first = by_slice(key, count)
-            cols = [c[order] for c in cols]
-            blobs = [payload(*(c[a:b] for c in cols)) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=False)]
-            yield pa.record_batch([pa.array(part, pa.int32()), pa.nulls(len(part), pa.int64()), pa.array(blobs, pa.binary())], names=names(SLICED))
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys, every, good = Chunk.read(blob.as_py()).counts()
+                part = (keys >> shift).astype(np.int64)
+                cut = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)]), len(part)]
+                for a in range(0, len(cut) - 1, 256):
+                    bounds = cut[a : a + 257].tolist()
+                    blobs = [packed(keys[i:j], every[i:j], good[i:j]) for i, j in zip(bounds, bounds[1:], strict=False)]
+                    yield pa.record_batch([pa.array(part[cut[a : a + len(blobs)]]), pa.array(np.full(len(blobs), chunk)), pa.array(blobs, pa.binary())], names=names(ASKED))
 
     return run
 
 
-def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Sums of counts by key."""
-    key, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    out = [np.zeros(len(key), np.int64) for _ in range(2)]
-    for i, x in enumerate(out, 1):
-        np.add.at(x, back, np.concatenate([p[i] for p in parts]))
-    return [key, *out]
+def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by slice.  A row for each chunk that asks, then one (chunk -1) with the slice's distinct words."""
+    now, chunks, parts = None, [], []
 
-
-def slices_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per slice; rows come by slice.  What a slice has gathered is added up whenever it has doubled."""
-    now, parts, size, least = None, [], 0, 1 << 18
-
-    def row() -> pa.RecordBatch:
-        return pa.record_batch([pa.array([now], pa.int32()), pa.nulls(1, pa.int64()), pa.array([payload(*merged(parts))], pa.binary())], names=names(SLICED))
+    def flush() -> pa.RecordBatch:
+        sizes = [len(p[0]) for p in parts]
+        keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        sums = [np.bincount(place, weights=np.concatenate([p[i] for p in parts]), minlength=len(keys)).astype(np.int64)[place] for i in (1, 2)]
+        ends = np.cumsum(sizes).tolist()
+        blobs = [packed(*(s[e - n : e] for s in sums)) for n, e in zip(sizes, ends, strict=True)]
+        rows = len(blobs) + 1
+        return pa.record_batch([pa.array([*chunks, -1]), pa.array(np.full(rows, now)), pa.array([0] * len(blobs) + [int((keys & np.uint64(1)).sum())]), pa.array([*blobs, None], pa.binary())], names=names(ANSWERED))
 
     for batch in batches:
-        for part, blob in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+        for part, chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             if part != now:
                 if parts:
-                    yield row()
-                now, parts, size, least = part, [], 0, 1 << 18
-            parts.append(columns_of(blob.as_py(), 2))
-            size += len(parts[-1][0])
-            if size > least:
-                parts = [merged(parts)]
-                size = len(parts[0][0])
-                least = max(least, 2 * size)
+                    yield flush()
+                now, chunks, parts = part, [], []
+            chunks.append(chunk)
+            parts.append(unpacked(blob.as_py(), 3))
     if parts:
-        yield row()
-
+        yield flush()
 
-def documents_sent(count: int):
-    """A row per document (slice -1, its id and token count as payload), then its bigrams, packed by slice.  The rows of a
-    batch share one number; a document is the number and its place."""
 
+def scored(totals: tuple[int, int], vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            word, n = classes(batch.column(1).to_pylist())
-            ids = [b"" if i is None else int(i).to_bytes(8, "little", signed=True) for i in batch.column(0).to_pylist()]
-            heads = [int(x).to_bytes(8, "little") + i for x, i in zip(n.tolist(), ids, strict=True)]
-            yield pa.record_batch([pa.array(np.full(len(n), -1), pa.int32()), pa.array(number + np.arange(len(n)), pa.int64()), pa.array(heads, pa.binary())], names=names(SLICED))
-            key, doc = bigrams(word, n), np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((key, doc))
-            key, doc = key[order], doc[order]
-            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])][: len(key)])
-            key, doc, times = key[new], doc[new], np.diff(np.r_[new, len(key)])
-            order, part, first = by_slice(key, count)
-            cols = [x[order] for x in (key, doc, times)]
-            blobs = [payload(*(c[a:b] for c in cols)) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=False)]
-            yield pa.record_batch([pa.array(part, pa.int32()), pa.array(np.full(len(part), number), pa.int64()), pa.array(blobs, pa.binary())], names=names(SLICED))
-            number += len(n)
-
-    return run
+        """Rows come by chunk, the chunk itself before its answers, which come by slice."""
+        chunk: Chunk | None = None
+        answers: list[list[np.ndarray]] = []
 
+        def flush() -> pa.RecordBatch:
+            both = [np.concatenate([a[i] for a in answers]).astype(float) if answers else np.empty(0) for i in (0, 1)]
+            bits = chunk.scores(both, totals, vocabulary)
+            means = [pa.array(np.round(b / (chunk.n + 1), 6), mask=chunk.n == 0) for b in bits]
+            return pa.record_batch([pa.array(chunk.ids, pa.int64()), pa.array(chunk.n), *means], names=names(SCORED))
 
-def loss(pair: np.ndarray, before: np.ndarray, word: np.ndarray, context: np.ndarray, one: np.ndarray) -> np.ndarray:
-    """Bits of bigrams in fixed point.  A context of no counts leaves the additively smoothed unigram."""
-    c = context[before]
-    p = np.where(c > 0, WEIGHT * pair / np.maximum(c, 1) + (1 - WEIGHT) * one[word], one[word])
-    return np.round(-np.log2(p) * (1 << FRACTION_BITS)).astype(np.int64)
-
-
-def losses_added(models):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by slice, its counts before the documents' bigrams."""
-        sums, used = models.value
-        contexts = [np.r_[s, u] for s, u in zip(sums, used, strict=True)]
-        ones = [(s + ADD) / (s.sum() + ADD * CLASSES) for s in sums]
-        table: list[np.ndarray] = []
         for batch in batches:
-            for part, number, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                blob = blob.as_py()
+            for part, blob in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if part < 0:
-                    i = int.from_bytes(blob[8:], "little", signed=True) if len(blob) > 8 else None
-                    cols = [[number], [i], [int.from_bytes(blob[:8], "little")], [0], [0]]
-                elif number is None:
-                    key, n, good = columns_of(blob, 2)
-                    before, word = key >> VOCABULARY_BITS, key & (CLASSES - 1)
-                    table = [key, loss(n, before, word, contexts[0], ones[0]), loss(good, before, word, contexts[1], ones[1])]
-                    continue
+                    if chunk:
+                        yield flush()
+                    chunk, answers = Chunk.read(blob.as_py()), []
                 else:
-                    key, doc, times = columns_of(blob, 2)
-                    at = np.searchsorted(table[0], key)
-                    some, back = np.unique(doc, return_inverse=True)
-                    # float64 holds these sums exactly: they stay below 2**53
-                    background, target = (np.bincount(back, weights=x[at] * times).astype(np.int64) for x in table[1:])
-                    cols = [number + some, pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), target, background]
-                yield pa.record_batch([pa.array(c, pa.int64()) if not isinstance(c, pa.Array) else c for c in cols], names=names(ADDED))
+                    answers.append(unpacked(blob.as_py(), 2))
+        if chunk:
+            yield flush()
 
     return run
 
 
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 5 << 20, most_broadcast: int = 2_000_000) -> DataFrame:
     """doc_id, n_tokens, target_bits, background_bits, difference per row of docs; target_ids has a column doc_id.
 
-    Texts without words (null, empty) have n_tokens 0 and null figures.  Rows that repeat count and are scored like
-    others; rows with a null id are background only; without any target row the target is uniform; an empty table gives
-    no rows; other columns are ignored.  A lost task is run again, so docs must give a partition's rows in the same order
-    each time, as files do."""
+    Words are runs of other than white space with A-Z lower-cased.  Texts without words (null, empty) have n_tokens 0 and null
+    figures.  Rows that repeat count and are scored like others, each without its own counts only; rows with a null id are
+    background only; without any target row the target model is the corpus's word frequencies; an empty table gives no
+    rows; other columns are ignored.  Target ids are broadcast up to `most_broadcast` of them and joined beyond."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = id_text(docs, id_col, text_col)
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct().withColumn("good", F.lit(True))
-    flagged = docs.filter("doc_id is not null").join(ids, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    flagged = flagged.union(docs.filter("doc_id is null").select("text", F.lit(False)))
-    sums = class_counts(flagged)
-    starts = flagged.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).agg(F.count("*").alias("n"), F.count_if("good").alias("good")).first()
-    models = spark.sparkContext.broadcast((sums, (starts.n, starts.good)))
-    count = slices(int(sums[0].sum()))
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        # documents' own rows (slice -1) are dealt by their number
-        return rows.repartition(partitions(spark), F.when(F.col("slice") < 0, F.col("row")).otherwise(F.col("slice").cast("long"))).sortWithinPartitions("slice", F.col("row").asc_nulls_first())
-
-    known = written(dealt(flagged.mapInArrow(counts_sent(count), SLICED)).mapInArrow(slices_added, SLICED), "bigrams")
-    rows = dealt(known.union(docs.mapInArrow(documents_sent(count), SLICED))).mapInArrow(losses_added(models), ADDED)
-    found = rows.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("target"), F.sum("background").alias("background"))
-    scale = F.when(F.col("n_tokens") > 0, F.col("n_tokens") * float(1 << FRACTION_BITS))
-    means = {"target_bits": F.col("target"), "background_bits": F.col("background"), "difference": F.col("target") - F.col("background")}
-    return found.select("doc_id", "n_tokens", *(F.round(x / scale, 6).alias(name) for name, x in means.items()))
+    ids = F.broadcast(ids) if ids.count() <= most_broadcast else ids
+    flagged = id_text(docs, id_col, text_col).join(ids, "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)))
+    chunks = written(flagged.mapInArrow(gathered(chunk_bytes), CHUNKS), "chunks")
+    total, target = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
+    dealt = chunks.select("chunk", "payload").mapInArrow(asked(slices(total)), ASKED).repartition(partitions(spark), "slice").sortWithinPartitions("slice", "chunk")
+    answers = written(dealt.mapInArrow(answered, ANSWERED), "answers")
+    vocabulary = answers.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    rows = chunks.select("chunk", F.lit(-1).cast("long").alias("slice"), "payload").union(answers.filter("chunk >= 0").select("chunk", "slice", "payload"))
+    rows = rows.repartition(partitions(spark), "chunk").sortWithinPartitions("chunk", "slice")
+    found = rows.mapInArrow(scored((total, target), vocabulary), SCORED)
+    return found.withColumn("difference", F.round(F.col("target_bits") - F.col("background_bits"), 6))
 
 
 def op6_lm_score(spark, sf_dir: str) -> DataFrame:
