@@ -13,10 +13,12 @@ Candidates are verified by the weighted Jaccard similarity of the item's shingle
 document that can reach the threshold (windows over a document's edge are cut there): a shingle weighs as many as its
 letters, once for each occurrence.
 
-The items go to the executors in blocks of at most `block_bytes` of text; each block is one pass over the documents."""
+The items go to the executors in blocks of about `block_bytes` of text, one at a time; each block is one pass over the
+documents."""
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,30 +28,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WordHashes, documents, id_text, shingle_hashes, small_batches
+from corpusmill.llm.common import documents, id_text, mix, powers, shingle_hashes, small_batches, written
 
 MATCHES = "doc_id long, item_id long, start long, n_words long, similarity double"
-_TOKEN = re.compile(r"\w+")
-_hashes = WordHashes(3)
-
-
-def tokens(text: str | None) -> list[str]:
-    return _TOKEN.findall(text.lower()) if text else []
-
-
-def weights(words: list[str], k: int) -> np.ndarray:
-    """Letters of each run of k words, 255 at most."""
-    n = np.fromiter(map(len, words), np.int64, len(words))
-    c = np.r_[0, np.cumsum(n)]
-    return np.minimum(c[k:] - c[:-k], 255).astype(np.int16)
+_GROUP, _STRETCH = 200_000, 32_768  # letters of texts that are looked up at once, words whose lanes are held at once
+_word: list[np.ndarray] = []
+
+
+def word_letters() -> np.ndarray:
+    """Whether each code point belongs to a word (\\w)."""
+    if not _word:
+        _word.append(np.zeros(0x110000, bool))
+        for m in re.finditer(r"\w+", "".join(map(chr, range(0x110000)))):
+            _word[0][m.start() : m.end()] = True
+    return _word[0]
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes and letters of the lower-cased words of all texts, one text behind the other, and where each ends."""
+    low = [t.lower() for t in texts]
+    letters = np.frombuffer("\n".join([*low, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = word_letters()[letters]
+    edge = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    begin, close = edge[::2], edge[1::2]
+    if not len(begin):
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+    # polynomials from running sums; a word's own ones don't depend on where it stands
+    sums = np.zeros(len(letters) + 1, np.uint64)
+    up, down = powers(len(letters) + 1)
+    np.cumsum((letters + np.uint64(1)) * up[:-1], out=sums[1:])
+    ends = np.cumsum([len(t) + 1 for t in low])
+    return mix((sums[close] - sums[begin]) * down[begin]), close - begin, np.searchsorted(begin, ends)
+
+
+def weights(letters: np.ndarray, k: int) -> np.ndarray:
+    """Letters of each run of k words."""
+    c = np.r_[0, np.cumsum(letters)]
+    return c[k:] - c[:-k]
 
 
 def lanes(shingles: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Running sums of +-weight in 64 lanes (columns), modulo 2**16 (differences over a window fit)."""
-    out = np.zeros((64, len(shingles) + 1), np.int16)
-    twice = 2 * weight
+    """Running sums of +-weight in 64 lanes (columns)."""
+    out = np.zeros((64, len(shingles) + 1), np.int64)
     for i, row in enumerate(np.unpackbits(shingles.view(np.uint8).reshape(-1, 8).T.copy(), axis=0, bitorder="little")):
-        np.cumsum(row * twice - weight, out=out[i, 1:], dtype=np.int16)
+        np.cumsum(np.where(row, weight, -weight), out=out[i, 1:])
     return out.T.copy()
 
 
@@ -76,17 +98,17 @@ def similarity(a: Counter, b: Counter, weight: dict[int, int]) -> float:
 class Index:
     """Items of one block, of one shingle size."""
 
-    def __init__(self, items: list[tuple[int | None, list[str]]], k: int, radius: int, threshold: float = 0.8) -> None:
+    def __init__(self, items: list[tuple[int | None, np.ndarray, np.ndarray]], k: int, radius: int, threshold: float = 0.8) -> None:
         self.k, self.radius = k, radius
-        self.items = items
+        self.items = [(i, len(letters)) for i, _, letters in items]
         self.bags, self.first, self.weight = [], [], {}
         found: dict[int, list[tuple[int, int, int]]] = {}  # class -> (print, item, place in it)
-        for i, (_, words) in enumerate(items):
-            h, w = shingle_hashes(_hashes.of(words), k), weights(words, k)
+        for i, (_, hashes, letters) in enumerate(items):
+            h, w = shingle_hashes(hashes, k), weights(letters, k)
             self.bags.append(Counter(h.tolist()))
             self.first.append(np.unique(h, return_index=True)[1])
             self.weight.update(zip(h.tolist(), w.tolist(), strict=True))
-            sums, m = lanes(h, w), len(words)
+            sums, m = lanes(h, w), len(letters)
             for c in {grid(m), grid(m // 2)} if m // 2 >= max(8, k) else {grid(m)}:
                 p = prints(sums, c - k + 1)
                 found.setdefault(c, []).extend({(int(p[at]), i, at) for at in (0, m - c)})
@@ -159,36 +181,34 @@ class Matcher:
         self.threshold = threshold
         by_k: dict[int, list] = {}
         for i, text in items:
-            if words := tokens(text):
-                by_k.setdefault(min(k, len(words)), []).append((i, words))
+            hashes, letters, _ = tokens([text or ""])
+            if len(hashes):
+                by_k.setdefault(min(k, len(hashes)), []).append((i, hashes, letters))
         self.indexes = [Index(v, size, radius, threshold) for size, v in sorted(by_k.items())]
 
     def matches(self, texts: list[str | None]) -> list[dict[int, tuple[float, int, int]]]:
         """Per text: (index, item) -> similarity, first word, words, of the best window."""
-        found = [tokens(t) for t in texts]
         out: list[dict] = [{} for _ in texts]
         group: list[int] = []
         size = 0
-        for i, w in enumerate(found):
-            group.append(i)
-            size += len(w)
-            if size >= 30_000:
-                self._group(group, found, out)
+        for i, t in enumerate(texts):
+            if t:
+                group.append(i)
+                size += len(t)
+            if size >= _GROUP:
+                self._group(group, texts, out)
                 group, size = [], 0
-        self._group(group, found, out)
+        self._group(group, texts, out)
         return out
 
-    def _group(self, group: list[int], found: list[list[str]], out: list[dict]) -> None:
-        group = [i for i in group if found[i]]
-        words = [w for i in group for w in found[i]]
-        if not words:
+    def _group(self, group: list[int], texts: list[str | None], out: list[dict]) -> None:
+        hashes, letters, ends = tokens([texts[i] for i in group])
+        if not len(hashes):
             return
-        ends = np.cumsum([len(found[i]) for i in group])
-        hashes = _hashes.of(words)
         doc = np.repeat(np.arange(len(group)), np.diff(np.r_[0, ends]))
         for which, ix in enumerate(self.indexes):
             k = ix.k
-            if len(words) < k:
+            if len(hashes) < k:
                 continue
             h = shingle_hashes(hashes, k)
             at, key = ix.known(h)
@@ -198,25 +218,28 @@ class Matcher:
             if not pairs:
                 continue
             some = np.flatnonzero(np.isin(doc, [d for d, _ in pairs]))
-            pairs |= self._windows(ix, hashes[some], [words[i] for i in some.tolist()], doc[some])
-            w = weights(words, k)
+            pairs |= self._windows(ix, hashes[some], letters[some], doc[some])
+            w = weights(letters, k)
             for d, item in sorted(pairs):
                 first, last = (int(ends[d - 1]) if d else 0), int(ends[d])
                 mine = slice(*np.searchsorted(at, (first, last)))
-                if best := self._best(ix, item, h[first : last - k + 1], w[first : last - k + 1], at[mine] - first, key[mine]):
+                if mine.start < mine.stop and (best := self._best(ix, item, h[first : last - k + 1], w[first : last - k + 1], at[mine] - first, key[mine])):
                     out[group[d]][(which, item)] = best
 
-    def _windows(self, ix: Index, hashes: np.ndarray, words: list[str], doc: np.ndarray) -> set[tuple[int, int]]:
-        """(document, item) of larger windows within the radius."""
+    def _windows(self, ix: Index, hashes: np.ndarray, letters: np.ndarray, doc: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) of larger windows within the radius, stretch by stretch."""
         k, out = ix.k, set()
-        if len(words) < k:
-            return out
-        sums = lanes(shingle_hashes(hashes, k), weights(words, k))
-        for c in ix.classes:
-            valid = np.flatnonzero(doc[: len(words) - c + 1] == doc[c - 1 :]) if len(words) >= c else []
-            if len(valid):
-                window, row = ix.candidates(prints(sums, c - k + 1)[valid], c)
-                out.update(zip(doc[valid[window]].tolist(), ix.classes[c][1][row].tolist(), strict=True))
+        most = max(ix.classes, default=0)
+        for a in range(0, len(hashes), _STRETCH):
+            h, n, d = (x[a : a + _STRETCH + most] for x in (hashes, letters, doc))
+            if len(h) < k:
+                break
+            sums = lanes(shingle_hashes(h, k), weights(n, k))
+            for c in ix.classes:
+                valid = np.flatnonzero(d[: len(h) - c + 1] == d[c - 1 :]) if len(h) >= c else []
+                if len(valid):
+                    window, row = ix.candidates(prints(sums, c - k + 1)[valid], c)
+                    out.update(zip(d[valid[window]].tolist(), ix.classes[c][1][row].tolist(), strict=True))
         return out
 
     def _best(self, ix: Index, item: int, h: np.ndarray, w: np.ndarray, at: np.ndarray, key: np.ndarray) -> tuple[float, int, int] | None:
@@ -224,9 +247,9 @@ class Matcher:
         own, total = ix.own[item], ix.total[item]
         where = np.minimum(np.searchsorted(own, key), len(own) - 1)
         at, key = at[own[where] == key], key[own[where] == key]
-        if ix.letters[key].sum() < self.threshold * total * (1 - 1e-9):
+        if not len(at) or ix.letters[key].sum() < self.threshold * total * (1 - 1e-9):
             return None
-        m = len(ix.items[item][1])
+        m = ix.items[item][1]
         n = m - ix.k + 1
         # starts from low on; what lies outside the document weighs nothing
         low, size = int(at[0]) - n + 1, int(at[-1] - at[0]) + n
@@ -293,19 +316,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     spark = docs.sparkSession
     small_batches(spark)
     docs = id_text(docs, id_col, text_col)
-    out = None
+    parts, matcher = [], None
     for block in item_blocks(benchmark, item_id, item_text, block_bytes):
-        part = docs.mapInArrow(find(spark.sparkContext.broadcast(Matcher(block, k, radius, threshold))), MATCHES)
-        out = part if out is None else out.union(part)
-    return out if out is not None else spark.createDataFrame([], MATCHES)
+        if matcher:  # one block is live at a time
+            parts[-1] = written(parts[-1], "matches")
+            matcher.unpersist()
+        matcher = spark.sparkContext.broadcast(Matcher(block, k, radius, threshold))
+        parts.append(docs.mapInArrow(find(matcher), MATCHES))
+    return functools.reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], MATCHES)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", k: int = 5, radius: int = 3, threshold: float = 0.8, block_bytes: int = 16 << 20) -> DataFrame:
     """docs without the rows whose text holds an item; all columns stay.  No shuffle: each row is decided where it is read."""
     spark = docs.sparkSession
     small_batches(spark)
-    place = docs.columns.index(text_col)
+    place, matcher = docs.columns.index(text_col), None
     for block in item_blocks(benchmark, item_id, item_text, block_bytes):
+        if matcher:
+            docs = written(docs, "clear")
+            matcher.unpersist()
         matcher = spark.sparkContext.broadcast(Matcher(block, k, radius, threshold))
 
         def keep(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import documents, id_text, partitions, small_batches
-from corpusmill.llm.tokens import END_ID, default_path, word_bpe
+from corpusmill.llm.tokens import default_path, with_ends, word_bpe
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -79,18 +79,14 @@ def plan(at: np.ndarray, kind: np.ndarray, window: int, penalties: tuple[float,
 def packer(path: str, window: int, gap: int, penalties: tuple[float, float, float], short: float, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
-        end = np.array([END_ID], "<u4").tobytes()
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         made = 0
-        stream: list[bytes] = []
-        rows: list[tuple[int | None, int, int, int]] = []  # doc_id, first id of it here, ids here, all its ids
-        held = 0
-
-        def flush(last: bool) -> pa.RecordBatch | None:
-            nonlocal made, stream, rows, held
-            data = b"".join(stream)
-            ids = np.frombuffer(data, "<u4")
-            lengths = np.array([r[2] for r in rows], np.int64)
+        ids = np.empty(0, "<u4")
+        rows: list[int | None] = []  # doc_id
+        first, lengths, full = (np.empty(0, np.int64) for _ in range(3))  # first id of it here, ids here, all its ids
+
+        def flush(last: bool) -> pa.RecordBatch:
+            nonlocal made, ids, rows, first, lengths, full
             ends = np.cumsum(lengths)
             cuts = plan(*cut_points(ids, ends, bpe.ends_sentence, gap), window, penalties, short)
             if not last and len(cuts) > 2:
@@ -101,35 +97,22 @@ def packer(path: str, window: int, gap: int, penalties: tuple[float, float, floa
             a, b = edges[:-1], edges[1:]
             doc = np.searchsorted(ends, a, side="right")
             seq = np.searchsorted(np.asarray(cuts), a, side="right") - 1
-            out = pa.record_batch(
-                [
-                    pa.array([rows[i][0] for i in doc.tolist()], pa.int64()),
-                    pa.array([rows[i][1] for i in doc.tolist()] + a - starts[doc], pa.int64()),
-                    pa.array(b - a, pa.int64()),
-                    pa.array([data[4 * x : 4 * y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.binary()),
-                    pa.array([rows[i][3] for i in doc.tolist()], pa.int64()),
-                    pa.array(base + made + seq, pa.int64()),
-                    pa.array(a - np.asarray(cuts)[seq], pa.int64()),
-                ],
-                names=[c.split()[0] for c in PIECES.split(", ")],
-            )
+            own = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(a), [None, pa.py_buffer(4 * edges), pa.py_buffer(ids[:stop])])
+            columns = [rows[i] for i in doc.tolist()], first[doc] + a - starts[doc], b - a, own.cast(pa.binary()), full[doc], base + made + seq, a - np.asarray(cuts)[seq]
+            out = pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in PIECES.split(", ")])
             made += len(cuts) - 1
-            rest = []
-            for i in range(int(np.searchsorted(ends, stop, side="right")), len(rows)):
-                d, first, n, full = rows[i]
-                skip = max(0, stop - int(starts[i]))
-                rest.append((d, first + skip, n - skip, full))
-            stream, rows, held = [data[4 * stop :]], rest, len(ids) - stop
+            done = int(np.searchsorted(ends, stop, side="right"))
+            skip = np.maximum(0, stop - starts[done:])
+            ids, rows, first, lengths, full = ids[stop:], rows[done:], first[done:] + skip, lengths[done:] - skip, full[done:]
             return out
 
         for batch in batches:
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = bpe.encode(text) + end
-                stream.append(x)
-                rows.append((d, 0, len(x) // 4, len(x) // 4))
-                held += len(x) // 4
-                if held >= block:
-                    yield flush(False)
+            new, ends = with_ends(*bpe.encode_all(batch.column(1)))
+            n = np.diff(np.r_[0, ends])
+            ids, rows = np.r_[ids, new], rows + batch.column(0).to_pylist()
+            first, lengths, full = np.r_[first, np.zeros(len(n), np.int64)], np.r_[lengths, n], np.r_[full, n]
+            if len(ids) >= block:
+                yield flush(False)
         if rows:
             yield flush(True)
 

@@ -82,9 +82,10 @@ def test_token_files_round_trip(spark, tmp_path):
 def test_random_access():
     texts = encoded(corpus())
     raw = [np.array(x, "<u4").tobytes() for x in texts]
-    shard = token_files.Shard(token_files.encode_shard(list(range(len(raw))), raw, 49408, least=2))
+    ids, lengths = np.concatenate([np.array(x, "<u4") for x in texts]), np.array(list(map(len, texts)))
+    shard = token_files.Shard(token_files.encode_shard(list(range(len(raw))), ids, lengths, 49408))
     assert len(shard.rules) and len(shard.symbols) < sum(map(len, texts))
-    assert shard.decode_all() == b"".join(raw)
+    assert shard.decode_all().tobytes() == b"".join(raw)
     rng = random.Random(2)
     for _ in range(200):
         d = rng.randrange(len(texts))
@@ -92,6 +93,22 @@ def test_random_access():
         assert shard.decode_range(d, a, b).tolist() == texts[d][a:b]
 
 
+@pytest.mark.parametrize("letters", [1, 2, 3, 40])
+def test_no_pair_repeats(letters):
+    """No pair has two occurrences that don't overlap, whatever the ids; the rules give the ids back."""
+    rng = np.random.default_rng(letters)
+    for _ in range(30):
+        lengths = rng.integers(1, 60, rng.integers(1, 12))
+        ids = rng.integers(0, letters, lengths.sum()).astype("<u4")
+        shard = token_files.Shard(token_files.encode_shard([None] * len(lengths), ids, lengths, letters))
+        assert shard.decode_all().tolist() == ids.tolist()
+        seen = {}
+        for d, (a, b) in enumerate(zip(shard.bounds, shard.bounds[1:], strict=False)):
+            symbols = shard.symbols[a:b].tolist()
+            for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)):
+                assert seen.setdefault(pair, (d, i)) in ((d, i), (d, i - 1))
+
+
 def test_packing_is_whole(spark):
     texts = corpus()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -209,8 +226,8 @@ def test_components_equal_bfs(spark):
 
 def test_hamming_blocks_find_all():
     rng = np.random.default_rng(8)
-    items = [(i, [f"w{rng.integers(500)}" for _ in range(20)]) for i in range(30)]
-    ix = decontaminate.Index(items, 5, 3)
+    items = [" ".join(f"w{rng.integers(500)}" for _ in range(20)) for _ in range(30)]
+    ix = decontaminate.Index([(i, *decontaminate.tokens([t])[:2]) for i, t in enumerate(items)], 5, 3)
     c = max(ix.classes)
     p = ix.classes[c][0]
     probe = np.concatenate([p ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, k, replace=False))) for k in range(6)])
@@ -252,7 +269,7 @@ def test_decontamination_finds_what_a_scan_finds():
     texts += [w[1:-1] for _, w in items] + [[word() for _ in range(200)]]
 
     def letters(words, k):
-        return Counter({s: n * min(255, sum(map(len, s))) for s, n in Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1)).items()})
+        return Counter({s: n * sum(map(len, s)) for s, n in Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1)).items()})
 
     matcher = decontaminate.Matcher([(i, " ".join(w)) for i, w in items])
     found = 0
@@ -373,31 +390,46 @@ def test_cross_entropy_difference(spark, monkeypatch, bits):
     df = spark.createDataFrame(rows, "doc_id long, text string, pair int, good string")
     found = lm_score.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in (0, 1, 2, 3, 4, 4, None)], "doc_id long")).collect()
     assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in rows)
-    got = {r.doc_id: r for r in found}
+    got = {r.doc_id: r for r in found if r.doc_id}
     assert got[10].n_tokens == got[11].n_tokens == 0 and got[10].difference is None
-    assert got[0].difference < got[12].difference < got[5].difference
-    words_of = lambda t: [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(t or "")]
+    assert got[1].difference < got[12].difference < got[5].difference
+    words_of = lambda t: [*(w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(t)), None] if t and WORD.search(t) else []
 
-    def bits_of(sample, text):
-        pairs, words = Counter(), Counter()
+    def counted(sample):
+        words, pairs = Counter(), Counter()
         for t in sample:
             w = words_of(t)
             words.update(w)
-            words["^"] += bool(w)
             pairs.update(zip(["^", *w], w, strict=False))
-        total, out, w = sum(words.values()) - words["^"], [], words_of(text)
+        words["^"] = words[None]
+        return words, pairs
+
+    everything, good = [r[1] for r in rows], [texts[0], *texts[:5]]
+    size = len({w for t in everything for w in words_of(t)})
+
+    def bits_of(sample, text):
+        words, pairs = counted(sample)
+        rest = everything.copy()
+        rest.remove(text)
+        shared, _ = counted(rest)
+        total = lambda x: sum(x.values()) - x["^"]
+        out, w = [], words_of(text)
         for a, b in zip(["^", *w], w, strict=False):
-            one = (words[b] + 0.1) / (total + 0.1 * lm_score.CLASSES)
-            out.append(-np.log2(0.6 * pairs[a, b] / words[a] + 0.4 * one if words[a] else one))
+            one = (shared[b] + lm_score.ADD) / (total(shared) + lm_score.ADD * size)
+            one = (words[b] + lm_score.SHARED * one) / (total(words) + lm_score.SHARED)
+            out.append(-np.log2((pairs[a, b] + lm_score.BACK_OFF * one) / (words[a] + lm_score.BACK_OFF)))
         return np.mean(out)
 
-    everything, good = [r[1] for r in rows], [texts[0], *texts[:5]]
     for r in found:
         text = "alpha one" if r.doc_id is None else texts[r.doc_id]
-        assert r.n_tokens == len(words_of(text))
+        assert r.n_tokens == max(0, len(words_of(text)) - 1)
         if r.n_tokens:
-            assert r.target_bits == pytest.approx(bits_of(good, text), abs=1e-5)
-            assert r.background_bits == pytest.approx(bits_of(everything, text), abs=1e-5)
+            held = [everything.copy(), good.copy()]
+            held[0].remove(text)
+            if r.doc_id is not None and r.doc_id < 5:
+                held[1].remove(text)
+            assert r.background_bits == pytest.approx(bits_of(held[0], text), abs=1e-5)
+            assert r.target_bits == pytest.approx(bits_of(held[1], text), abs=1e-5)
             assert r.difference == pytest.approx(r.target_bits - r.background_bits, abs=1e-5)
     empty = df.limit(0)
     assert lm_score.cross_entropy_difference(empty, empty).collect() == []
