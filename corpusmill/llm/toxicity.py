@@ -2,15 +2,17 @@
 
 The lexicon is a list of insults plus stems that the labelled rows show (below).  Its trie is walked together with the
 Levenshtein automaton of each word: a state is a set of (trie node, edits so far), made deterministic as words need it
-and kept, so that most words end in the dead state after two or three letters.  Insults match within an edit distance
-that grows with their length; learned stems match as they are at the start of a word.
+and kept, so that most words end in the dead state after two or three letters.  An insult matches whole words within an
+edit distance that grows with its length, a stem beginnings of words.  How many edits a stem allows depends on how rare the
+words are that so match: one where clean rows hardly hold any, none otherwise.  A word within an edit distance that clean
+rows use too is a word of its own, not a misspelling.
 
 A hit counts as quoted if its context window holds a quotation mark around it or a word of reporting, and as addressed
-if the window holds a second-person word.  A logistic model over the counts gives the score.
+if the window holds a second-person word.  A logistic model over the counts gives the score; no hit lowers it.
 
 Fitting takes at most `fit_rows` labelled rows of either label (those of least hash of doc_id) to the driver; everything
-else covers all rows.  A stem is learned if so many toxic and so few other rows hold it that chance would hardly show one such among
-all candidates.  Weights are drawn towards fixed ones, which also serve where there are no labels."""
+else covers all rows.  A stem is learned if so many toxic and so few other rows hold it, or hold it twice, that chance would
+hardly show one such among all candidates.  Weights are drawn towards fixed ones, which also serve where there are no labels."""
 
 from __future__ import annotations
 
@@ -35,29 +37,37 @@ idiota basura cabrón pendejo""".split()
 REPORTING = set("said says called calls quoted quote quotes word term phrase wrote writes saying dit dijo sagte".split())
 ADDRESS = set("you your youre yourself u ur du dich tu te vous usted eres".split())
 LEET = str.maketrans("013457@$", "oieastas")
-PRIOR = np.array([-3.0, 3.0, 0.3, 0.5, 3.0, 0.3, 0.3])
+#: Plain and quoted: insults, near insults, stems; hits addressed to someone; repeated stems beyond the first, and by length.
+PRIOR = np.array([-3.0, 3.0, 0.3, 2.5, 0.3, 2.0, 0.3, 0.3, 1.0, 0.0])
+LEAST = np.array([-np.inf, 1.0, 0.0, 1.0, 0.0, 0.5, 0.0, 0.0, 0.0, 0.0])
 MARKS = "\"“”„«»‘’'"
 
 _TOKEN = re.compile(r"[\w@$]+")
 SCORED = "score double, predicted int, hits int, quoted int"
+INSULT, NEAR_INSULT, STEM, NEAR_STEM, OFTEN = range(1, 6)
+_RUN = re.compile(r"(.)\1+")
+
+
+def allowed(word: str) -> int:
+    """Edits that an insult may have."""
+    return 0 if len(word) < 5 else 1 if len(word) < 9 else 2
 
 
 class Lexicon:
-    """Trie of insults (approximate) and stems (exact, any ending) under a lazily determinised Levenshtein automaton."""
+    """Trie of insults (whole words) and stems (beginnings) under a lazily determinised Levenshtein automaton.
 
-    most_states = 200_000
+    entries: (word, edits allowed, kind: INSULT, STEM, or OFTEN for a stem that counts where it is repeated); usual: words
+    that are no misspellings."""
 
-    def __init__(self, insults: list[str], stems: list[str]) -> None:
+    most_states, most_words = 50_000, 150_000
+
+    def __init__(self, entries: list[tuple[str, int, int]], usual: frozenset[str] = frozenset()) -> None:
+        self.entries, self.usual = entries, usual
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[int] = [-1]  # edits allowed, -1: no insult ends here
-        self.stem: list[bool] = [False]
-        self.deepest = 0
-        for word in insults:
-            node = self._add(word)
-            self.ends[node] = 0 if len(word) < 5 else 1 if len(word) < 9 else 2
-            self.deepest = max(self.deepest, self.ends[node])
-        for word in stems:
-            self.stem[self._add(word)] = True
+        self.ends: list[list[int]] = [[]]
+        self.deepest = max((edits for _, edits, _ in entries), default=0)
+        for i, (word, _, _) in enumerate(entries):
+            self.ends[self._add(word)].append(i)
         self._reset()
         self.words: dict[str, int] = {}
 
@@ -67,8 +77,7 @@ class Lexicon:
             if c not in self.children[node]:
                 self.children[node][c] = len(self.children)
                 self.children.append({})
-                self.ends.append(-1)
-                self.stem.append(False)
+                self.ends.append([])
             node = self.children[node][c]
         return node
 
@@ -90,17 +99,17 @@ class Lexicon:
             self.ids[key] = len(self.sets)
             self.sets.append(state)
             self.steps.append({})
-            fits = [e for n, e in state.items() if e <= self.ends[n]]
-            self.accepts.append(0 if not fits else 1 if 0 in fits else 2)
-            self.is_stem.append(any(e == 0 and self.stem[n] for n, e in state.items()))
+            found = [(i, e) for n, e in state.items() for i in self.ends[n] if e <= self.entries[i][1]]
+            self.whole.append([x for x in found if self.entries[x[0]][2] == INSULT])
+            self.begun.append([x for x in found if self.entries[x[0]][2] != INSULT])
         return self.ids[key]
 
     def _reset(self) -> None:
         self.ids: dict[frozenset, int] = {}
         self.sets: list[dict[int, int]] = []
         self.steps: list[dict[str, int]] = []
-        self.accepts: list[int] = []
-        self.is_stem: list[bool] = []
+        self.whole: list[list[tuple[int, int]]] = []
+        self.begun: list[list[tuple[int, int]]] = []
         self.dead = self._number({})
         self.start = self._number(self._closed({0: 0}))
 
@@ -118,32 +127,50 @@ class Lexicon:
         to = self.steps[at][c] = self._number(self._closed(out))
         return to
 
-    def kind(self, word: str) -> int:
-        """0 none, 1 insult as it is, 2 insult within its edit distance, 3 learned stem."""
+    def found(self, word: str) -> list[tuple[int, int]]:
+        """(entry, edits) of all entries that match."""
         if len(self.sets) > self.most_states:
             self._reset()
-        at, stem = self.start, False
+        at, out = self.start, []
         for c in word:
             at = self.steps[at].get(c, -1) if c in self.steps[at] else self._step(at, c)
             if at == self.dead:
-                break
-            stem = stem or self.is_stem[at]
-        return 3 if stem else self.accepts[at]
+                return out
+            if self.begun[at]:
+                out = out + self.begun[at]
+        return out + self.whole[at]
+
+    def kind(self, word: str) -> int:
+        """0 or the kind of the best match: an insult before a stem, as it is before one with edits."""
+        best = 0
+        for i, e in self.found(word):
+            k = self.entries[i][2]
+            if e:
+                k = 0 if word in self.usual else NEAR_INSULT if k == INSULT else NEAR_STEM if k == STEM else 0
+            best = min(best or k, k or best)
+        return best
 
     def of(self, token: str) -> int:
         if (k := self.words.get(token)) is None:
-            if len(self.words) > 400_000:
+            if len(self.words) > self.most_words:
                 self.words.clear()
             k = self.kind(token)
-            if not k and not token.isalpha() and (plain := token.rstrip("@$_").translate(LEET)) != token and any(c.isalpha() for c in token):
-                k = 2 * (self.kind(plain) in (1, 2))
+            if not k and token not in self.usual:
+                # other ways to write an insult: signs for letters, repeated letters
+                others = {token.rstrip("@$_").translate(LEET) if any(c.isalpha() for c in token) else "", _RUN.sub(r"\1", token)} - {token, ""}
+                if others and any(self.kind(x) in (INSULT, NEAR_INSULT) for x in others):
+                    k = NEAR_INSULT
             self.words[token] = k
         return k
 
 
+#: Place of a plain hit of each kind among the counts; the quoted one is next to it.
+_PLACE = {INSULT: 0, NEAR_INSULT: 2, STEM: 4, NEAR_STEM: 4}
+
+
 class Model:
-    def __init__(self, stems: list[str], weights: np.ndarray = PRIOR, context: int = 8) -> None:
-        self.stems, self.weights, self.context = stems, weights, context
+    def __init__(self, stems: list[tuple[str, int, int]] = (), weights: np.ndarray = PRIOR, usual: frozenset[str] = frozenset(), context: int = 8) -> None:
+        self.stems, self.weights, self.usual, self.context = list(stems), weights, usual, context
         self._lexicon: Lexicon | None = None
 
     def __getstate__(self) -> dict:
@@ -151,41 +178,44 @@ class Model:
 
     @property
     def lexicon(self) -> Lexicon:
-        self._lexicon = self._lexicon or Lexicon(INSULTS, self.stems)
+        self._lexicon = self._lexicon or Lexicon([(w, allowed(w), INSULT) for w in INSULTS] + self.stems, self.usual)
         return self._lexicon
 
-    def features(self, text: str | None) -> np.ndarray:
-        """1, then logs of 1 + counts: insults plain and quoted, near insults, stems plain and quoted, addressed hits."""
-        n = [0] * 6
-        if text:
-            low = text.lower()
-            of = self.lexicon.of
-            for i, token in enumerate(tokens := _TOKEN.findall(low)):
-                if k := of(token):
-                    around = tokens[max(0, i - self.context) : i + self.context + 1]
-                    quoted = not REPORTING.isdisjoint(around)
-                    n[{1: 0, 2: 2, 3: 3}[k] + (quoted and k != 2)] += 1
-                    n[5] += not ADDRESS.isdisjoint(around)
-            if sum(n[:5]) and any(m in low for m in MARKS):
-                n = self._marks(low, n)
-        return np.r_[1.0, np.log1p(n)]
-
-    def _marks(self, low: str, n: list[int]) -> list[int]:
-        """Counts again for a text with quotation marks: a hit between two of them in its window is quoted."""
-        n = [0] * 6
-        found = list(_TOKEN.finditer(low))
-        for i, m in enumerate(found):
-            if k := self.lexicon.of(m.group()):
-                a, b = max(0, i - self.context), min(len(found), i + self.context + 1)
-                around = {x.group() for x in found[a:b]}
-                before, after = low[found[a].start() : m.start()], low[m.end() : found[b - 1].end() + 1]
-                inside = any(before.count(x) % 2 and y in after for x, y in ('""', "''")) or any(before.rfind(x) > before.rfind(y) and y in after for x, y in ("“”", "„“", "«»", "‘’"))
-                n[{1: 0, 2: 2, 3: 3}[k] + ((inside or not REPORTING.isdisjoint(around)) and k != 2)] += 1
-                n[5] += not ADDRESS.isdisjoint(around)
+    def counts(self, text: str | None) -> list[int]:
+        """Insults plain and quoted, near insults so, stems so, hits that are addressed, repeated stems, words."""
+        n = [0] * 9
+        if not text:
+            return n
+        low = text.lower()
+        of = self.lexicon.of
+        tokens = _TOKEN.findall(low)
+        n[8] = len(tokens)
+        hits = [(i, k) for i, k in enumerate(map(of, tokens)) if k]
+        n[7] = sum(k == OFTEN for _, k in hits)
+        if n[7] == len(hits):
+            return n
+        spans = [m.span() for m in _TOKEN.finditer(low)] if any(m in low for m in MARKS) else []
+        for i, k in hits:
+            if k != OFTEN:
+                a, b = max(0, i - self.context), min(len(tokens), i + self.context + 1)
+                around = tokens[a:b]
+                quoted = not REPORTING.isdisjoint(around) or bool(spans) and between(low[spans[a][0] : spans[i][0]], low[spans[i][1] : spans[b - 1][1] + 1])
+                n[_PLACE[k] + quoted] += 1
+                n[6] += not ADDRESS.isdisjoint(around)
         return n
 
-    def score(self, x: np.ndarray) -> float:
-        return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(x @ self.weights))))))
+    def features(self, counts: list[int]) -> np.ndarray:
+        """1, then logs of 1 + counts; repeated stems beyond the first, and so for a hundred words."""
+        again = max(0, counts[7] - 1)
+        return np.r_[1.0, np.log1p(counts[:7]), math.log1p(again), math.log1p(100 * again / max(1, counts[8]))]
+
+    def score(self, counts: list[int]) -> float:
+        return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(self.features(counts) @ self.weights))))))
+
+
+def between(before: str, after: str) -> bool:
+    """Whether what stands between these two stands in quotation marks."""
+    return any(before.count(x) % 2 and x in after for x in "\"'") or any(before.rfind(x) > before.rfind(y) and y in after for x, y in ("“”", "„“", "«»", "‘’"))
 
 
 def unlikely(pos: int, neg: int, rate: float) -> float:
@@ -211,45 +241,75 @@ def families(sets: list[set[str]], bands: int = 8, width: int = 3) -> list[int]:
     return out
 
 
-def learn_stems(rows: list[tuple[str, int]], known: Lexicon, least: int = 4, longest: int = 8, precision: float = 0.9) -> list[str]:
-    """Beginnings of words that toxic rows hold and others don't, the shortest of each family."""
-    sets = [set(_TOKEN.findall((x or "").lower())) for x, _ in rows]
-    places = families(sets)
-    rows = [rows[i] for i in places]
-    sets = [{w[:longest] for w in sets[i] if len(w) >= least} for i in places]
-    pos, neg, n_pos = Counter(), Counter(), sum(t for _, t in rows)
+def learned(rows: list[tuple[str | None, int]], least: int = 4, longest: int = 8, precision: float = 0.9, twice: float = 0.75) -> tuple[list[tuple[str, int, int]], frozenset[str]]:
+    """Stems of words that toxic rows hold and others don't, or hold twice where others don't, with the edits that they
+    allow; and the words near an insult or stem that clean rows use.  Near copies of a row count once."""
+    known = Lexicon([(w, allowed(w), INSULT) for w in INSULTS])
+    sets = [Counter(_TOKEN.findall((x or "").lower())) for x, _ in rows]
+    places = families([set(c) for c in sets])
+    rows, sets = [rows[i] for i in places], [sets[i] for i in places]
+    clean = Counter(w for c, (_, t) in zip(sets, rows, strict=True) if not t for w in c)
+    near = frozenset(w for w in clean if len(w) > 3 and known.of(w) == NEAR_INSULT)
+    n_pos = sum(t for _, t in rows)
     if not n_pos or n_pos == len(rows):
-        return []
+        return [], near
     rate = n_pos / len(rows)
-    for words, (_, t) in zip(sets, rows, strict=True):
-        if t:
-            pos.update({w[:k] for w in words for k in range(least, len(w) + 1)})
-    often = {p for p, n in pos.items() if n >= 4}
-    for words, (_, t) in zip(sets, rows, strict=True):
-        if not t:
-            neg.update({w[:k] for w in words for k in range(least, len(w) + 1)} & often)
-    bar = math.log(0.05 / max(1, len(often)))
-    out: list[str] = []
-    for p in sorted(often, key=lambda p: (len(p), p)):
-        # a whole insult and its near forms are in the lexicon already
-        if pos[p] >= precision * (pos[p] + neg[p]) and not any(p.startswith(x) for x in out) and unlikely(pos[p], neg[p], rate) < bar and not known.kind(p):
-            out.append(p)
-    return out
-
-
-def fit_weights(x: np.ndarray, y: np.ndarray, w: np.ndarray, pull: float = 0.02, steps: int = 30) -> np.ndarray:
-    """Logistic regression by Newton's method, drawn to PRIOR."""
+    tallies: dict[tuple[int, bool], Counter] = {(t, many): Counter() for t in (0, 1) for many in (False, True)}
+    for c, (_, t) in zip(sets, rows, strict=True):
+        own: Counter = Counter()
+        for w, times in c.items():
+            for k in range(least, min(longest, len(w)) + 1):
+                own[w[:k]] += times
+        tallies[t, False].update(own.keys())
+        tallies[t, True].update(p for p, times in own.items() if times > 1)
+    found = []
+    for many, share, kind in ((False, precision, STEM), (True, twice, OFTEN)):
+        pos, neg = tallies[1, many], tallies[0, many]
+        often = [p for p, n in pos.items() if n >= 4]
+        bar = math.log(0.05 / max(1, len(often)))
+        for p in often:
+            if pos[p] >= share * (pos[p] + neg[p]) and not known.kind(p) and (chance := unlikely(pos[p], neg[p], rate)) < bar:
+                found.append((chance, len(p), p, kind))
+    out: list[tuple[str, int, int]] = []
+    for _, _, p, kind in sorted(found):
+        if not any(p.startswith(x) or x.startswith(p) for x, _, _ in out):
+            out.append((p, 0, kind))
+    # edits by rarity: one for a stem whose near forms hardly any clean row holds
+    tried = Lexicon([(p, 1, STEM) for p, _, kind in out if kind == STEM and len(p) >= 6])
+    hits = Counter(tried.entries[i][0] for w in clean for i, e in tried.found(w) if e)
+    out = [(p, int(kind == STEM and len(p) >= 6 and hits[p] <= 0.002 * len(rows)), kind) for p, _, kind in out]
+    near |= frozenset(w for w in clean if len(w) > 3 and any(e for _, e in tried.found(w)))
+    return out, near
+
+
+def fit_weights(x: np.ndarray, y: np.ndarray, w: np.ndarray, pull: float = 0.02, steps: int = 60) -> np.ndarray:
+    """Logistic regression by Newton's method, drawn to PRIOR; no weight below LEAST."""
     b = PRIOR.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
         grad = x.T @ (w * (p - y)) + pull * (b - PRIOR)
-        step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + pull * np.eye(len(b)), grad)
-        b = b - np.clip(step, -2, 2)
+        free = (b > LEAST) | (grad < 0)
+        curve = (x * (w * p * (1 - p))[:, None]).T @ x + pull * np.eye(len(b))
+        step = np.zeros(len(b))
+        step[free] = np.linalg.solve(curve[np.ix_(free, free)], grad[free])
+        b = np.maximum(LEAST, b - np.clip(step, -2, 2))
         if np.abs(step).max() < 1e-6:
             break
     return b
 
 
+def fitted(rows: list[tuple[str | None, int]], totals: dict[int, int]) -> Model:
+    """A model from labelled rows; totals: all rows of each label, of which these are some."""
+    stems, usual = learned(rows)
+    model = Model(stems, usual=usual)
+    if rows:
+        y = np.array([t for _, t in rows], float)
+        share = {k: totals.get(k, 0) / max(1, sum(t == k for _, t in rows)) for k in (0, 1)}
+        w = np.where(y == 1, share[1], share[0])
+        model.weights = fit_weights(np.stack([model.features(model.counts(x)) for x, _ in rows]), y, w * len(w) / w.sum())
+    return model
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 3000) -> Model:
     """A model from labelled rows; labels (doc_id, toxic 0/1, the larger where they differ; nulls don't count)."""
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("y")).filter("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
@@ -258,15 +318,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     for y in (0, 1):
         picked = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(fit_rows)
         texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(picked), "id")
-        rows += [(r.t, y) for r in texts.groupBy("id").agg(F.max("t").alias("t")).collect()]
-    stems = learn_stems(rows, Lexicon(INSULTS, []))
-    model = Model(stems)
-    if rows:
-        y = np.array([t for _, t in rows], float)
-        share = {k: totals.get(k, 0) / max(1, sum(t == k for _, t in rows)) for k in (0, 1)}
-        w = np.where(y == 1, share[1], share[0])
-        model.weights = fit_weights(np.stack([model.features(x) for x, _ in rows]), y, w * len(w) / w.sum())
-    return model
+        rows += [(r.t, y) for r in texts.groupBy("id").agg(F.max("t").alias("t")).orderBy("id").collect()]
+    return fitted(rows, totals)
 
 
 def train_labels(labels: DataFrame) -> DataFrame:
@@ -277,10 +330,10 @@ def train_labels(labels: DataFrame) -> DataFrame:
 def scores(model, place: int, threshold: float, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [model.value.features(t) for t in batch.column(place).to_pylist()]
-            s = [model.value.score(f) for f in x]
-            counts = [np.rint(np.expm1(f)).astype(int) for f in x]
-            extra = [pa.array(s, pa.float64()), pa.array([int(v >= threshold) for v in s], pa.int32()), pa.array([int(c[1:6].sum()) for c in counts], pa.int32()), pa.array([int(c[2] + c[5]) for c in counts], pa.int32())]
+            m: Model = model.value
+            counts = [m.counts(t) for t in batch.column(place).to_pylist()]
+            s = [m.score(c) for c in counts]
+            extra = [pa.array(s, pa.float64()), pa.array([int(v >= threshold) for v in s], pa.int32()), pa.array([sum(c[:6]) + c[7] for c in counts], pa.int32()), pa.array([c[1] + c[3] + c[5] for c in counts], pa.int32())]
             yield pa.record_batch([*(batch.column(i) for i in range(batch.num_columns) if i != place), *extra], names=names)
 
     return run
@@ -307,7 +360,7 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = shared.value
-            yield batch.filter(pa.array([m.score(m.features(t)) < threshold for t in batch.column(place).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([m.score(m.counts(t)) < threshold for t in batch.column(place).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
