@@ -5,11 +5,13 @@ every token (a tag with its class and path, or a text with its path) has an occu
 each page.  Tokens that share a vector and occur in most pages form an equivalence class; a class is valid if its tokens
 follow each other in the same order, once or again and again, in all of its pages.  Valid classes nest by their gaps, in
 which tokens get vectors of their own, and make the template.  What is left, text in the gaps between template tokens,
-fills slots.
+fills slots: a slot is the gap behind a template token of a class, and the path of the text in it.
 
-Slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments go.  Of the others a page keeps those
-in its article or main element, with template texts too (an article that several pages carry is text all the same); a
-page without either keeps all of them, however short."""
+Slots are decided for a whole group, by what all of its pages show of them.  A slot inside menus, headers, footers, sidebars,
+notices, adverts, forms and comments goes.  If letters of a slot stand in an article or main element on most pages, it is
+a main slot.  A page that has main slots keeps these, template texts among them (an article that several pages carry is text
+all the same).  A page without keeps all slots that are left, however short, and template texts only at paths where most pages
+have text of their own."""
 
 from __future__ import annotations
 
@@ -34,10 +36,15 @@ BLOCKS = set(
 AWAY = set("aside button canvas dialog footer form head header iframe input label menu nav noscript object option script select style svg template textarea title".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+LISTS = {"ul", "ol", "dl", "table", "select"}
 ROLES = set("banner navigation contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-_AWAY_NAME = re.compile(
+_AWAY_NAME = re.compile(  # anywhere in a class or id
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disqus|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|overlay|pager|pagination|popup|promo\w*|related|replies|reply|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])"
 )
+_AWAY_IN_MAIN = re.compile(  # a whole class or id, but for words of layout around it: a chapter on social history is text
+    r"(?:^|\s)(?:(?:article|block|box|entry|inner|main|page|post|site|top)[_-])*(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disqus|footer|gdpr|login|menu|modal|nav|navbar|navigation|newsletter|notice|overlay|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)"
+    r"(?:[_-](?:area|articles?|banner|bar|block|bottom|box|buttons?|card|container|content|footer|form|header|icons?|inline|inner|items?|left|links?|list|message|module|news|panel|posts?|right|row|section|slot|stories|text|title|top|unit|widget|wrap|wrapper|\d+))*(?:$|\s)"
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
@@ -47,26 +54,40 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.IGNORE
 _SPACE = re.compile(r"\s+")
 
 
-def parse(page: str | None) -> list[tuple[str, str, int, bool, bool]]:
-    """Tokens of a page: (key, text, block, away, main); text is empty for tags."""
-    out: list[tuple[str, str, int, bool, bool]] = []
+def parse(page: str | None) -> list[tuple[int, str, int, bool, bool, int]]:
+    """Tokens of a page: (key, text, block, away, main, path); text is empty for tags, the key 0 for white space.
+
+    A path is a hash of its tags and names, so that deep pages take no more room than flat ones."""
+    out: list[tuple[int, str, int, bool, bool, int]] = []
     if not page:
         return out
-    stack: list[tuple[str, bool, bool, str]] = [("", False, False, "")]  # tag, away, main, path
+    stack: list[tuple[str, bool, bool, int]] = [("", False, False, 1)]  # tag, away, main, path
+    open_: Counter = Counter()  # tags of the stack: what is not open is not looked for
     block, at = 0, 0
 
     def text(raw: str) -> None:
         if raw:
             _, away, main, path = stack[-1]
             # character references first: they can stand for white space
-            out.append((f"{path}|{raw}" if not raw.isspace() else "", html.unescape(raw), block, away, main))
+            out.append((hash((path, raw)) if not raw.isspace() else 0, html.unescape(raw), block, away, main, path))
 
     def close(depth: int) -> None:
         nonlocal block
         for tag, *_ in stack[depth:]:
             block += tag in BLOCKS
+            open_[tag] -= 1
         del stack[depth:]
 
+    def innermost(tags: set[str], stop: set[str] = frozenset()) -> int:
+        """Depth of the innermost open one of tags, none of stop inside it; 0 if there is none."""
+        if any(open_[t] > 0 for t in tags):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i][0] in tags:
+                    return i
+                if stack[i][0] in stop:
+                    break
+        return 0
+
     for m in _TOKEN.finditer(page):
         text(page[at : m.start()])
         at = m.end()
@@ -74,84 +95,73 @@ def parse(page: str | None) -> list[tuple[str, str, int, bool, bool]]:
         if not tag:
             continue
         if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
+            if i := innermost({tag}):
+                close(i)
             else:
                 block += tag in BLOCKS
             continue
         if tag == "br":
             text(" ")
             continue
-        if tag in BLOCKS and stack[-1][0] != "":
-            for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph of the same container
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
-        if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in CLOSES[tag]:
-                    close(i)
-                    break
-                if stack[i][0] in ("ul", "ol", "dl", "table", "select"):
-                    break
-        if tag == "body":
-            for i in range(1, len(stack)):
-                if stack[i][0] == "head":
-                    close(i)
-                    break
+        # a block ends an open paragraph of the same container, an item the one before it, a body the head
+        if tag in BLOCKS and (i := innermost({"p"}, BLOCKS - {"p"})):
+            close(i)
+        if tag in CLOSES and (i := innermost(CLOSES[tag], LISTS)):
+            close(i)
+        if tag == "body" and (i := innermost({"head"})):
+            close(i)
         block += tag in BLOCKS
         attributes = {a.lower(): html.unescape(x or y or z or "") for a, x, y, z in _ATTRIBUTE.findall(m[4])} if m[4].strip() else {}
         name = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().strip()
         _, away, main, path = stack[-1]
         is_main = tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
-        comment = re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))", name) is not None
+        comment = re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", name) is not None
+        marked = attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden") == "true" or bool(m[4] and _HIDDEN.search(m[4]))
         if is_main and not comment and not (main and away):
             away, main = False, True
-        elif tag in AWAY or attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden") == "true" or name and _AWAY_NAME.search(name) or m[4] and _HIDDEN.search(m[4]):
+        elif tag in AWAY or marked or name and (_AWAY_IN_MAIN if main else _AWAY_NAME).search(name):
             away = True
         elif tag in HEADINGS and main and away and stack[-1][0] == "header" and not stack[-2][1]:
             away = False  # the title in an article's own header
-        here = f"{path}/{tag}" + (f".{name}" if name else "")
-        out.append((here, "", block, away, main))
+        here = hash((path, tag, name, marked))
+        out.append((here, "", block, away, main, here))
         if tag not in VOID and not m[4].rstrip().endswith("/"):
             stack.append((tag, away, main, here))
+            open_[tag] += 1
     tail = page[at:]
     text(tail)
     return out
 
 
-def template(pages: list[list[tuple[str, str, int, bool, bool]]], least: int = 3) -> list[set[int]]:
-    """Places of each page's tokens that stand in valid equivalence classes.
+def template(pages: list[list[tuple]], least: int = 3) -> list[dict[int, int]]:
+    """Per page, the places of its tokens that stand in valid equivalence classes, and each one's class.
 
     A class cuts each of its spans into gaps: before its first token, between two that follow each other, and behind its last.
     The gaps between the same two tokens, over all pages and repetitions, are searched for classes of their own."""
-    out: list[set[int]] = [set() for _ in pages]
+    out: list[dict[int, int]] = [{} for _ in pages]
     common = Counter(key for tokens in pages for key in {t[0] for t in tokens if t[0]})
     common = {key for key, n in common.items() if n >= least and 2 * n >= len(pages)}
-    todo = [[(i, [j for j, t in enumerate(tokens) if t[0] in common]) for i, tokens in enumerate(pages)]]
+    todo, number = [[(i, [j for j, t in enumerate(tokens) if t[0] in common]) for i, tokens in enumerate(pages)]], 0
     while todo:
         spans = [(i, at) for i, at in todo.pop() if at]
-        vectors: dict[str, dict[int, int]] = defaultdict(dict)
+        vectors: dict[int, dict[int, int]] = defaultdict(dict)
         for n, (i, at) in enumerate(spans):
             for key, times in Counter(pages[i][j][0] for j in at).items():
                 vectors[key][n] = times
-        classes: dict[tuple, list[str]] = defaultdict(list)
+        classes: dict[tuple, list[int]] = defaultdict(list)
         for key, vector in vectors.items():
             if 2 * (on := len({spans[n][0] for n in vector})) >= len(pages) and on >= least:
                 classes[tuple(vector.items())].append(key)
         for vector, keys in sorted(classes.items(), key=lambda x: -len(x[0]) * len(x[1])):
-            if gaps := cut(pages, [spans[n] for n, _ in vector], set(keys), out):
+            if gaps := cut(pages, [spans[n] for n, _ in vector], set(keys), number, out):
                 held = {n for n, _ in vector}
                 todo += [*gaps, [x for n, x in enumerate(spans) if n not in held]]
+                number += 1
                 break
     return out
 
 
-def cut(pages: list[list[tuple[str, str, int, bool, bool]]], spans: list[tuple[int, list[int]]], keys: set[str], out: list[set[int]]) -> list[list[tuple[int, list[int]]]]:
+def cut(pages: list[list[tuple]], spans: list[tuple[int, list[int]]], keys: set[int], number: int, out: list[dict[int, int]]) -> list[list[tuple[int, list[int]]]]:
     """The gaps of a class, its places added to out; none if its tokens don't follow each other in one order everywhere."""
     found = [[n for n, j in enumerate(at) if pages[i][j][0] in keys] for i, at in spans]
     order = [pages[spans[0][0]][spans[0][1][n]][0] for n in found[0][: len(keys)]]
@@ -159,7 +169,7 @@ def cut(pages: list[list[tuple[str, str, int, bool, bool]]], spans: list[tuple[i
         return []
     gaps: list[list[tuple[int, list[int]]]] = [[] for _ in range(len(order) + 2)]
     for (i, at), mine in zip(spans, found, strict=True):
-        out[i].update(at[n] for n in mine)
+        out[i].update((at[n], number) for n in mine)
         gaps[0].append((i, at[: mine[0]]))
         gaps[-1].append((i, at[mine[-1] + 1 :]))
         for x, (n, after) in enumerate(zip(mine, mine[1:], strict=False)):
@@ -167,16 +177,36 @@ def cut(pages: list[list[tuple[str, str, int, bool, bool]]], spans: list[tuple[i
     return gaps
 
 
+def filled(tokens: list[tuple], fixed: dict[int, int]) -> Iterator[tuple[int, tuple, bool]]:
+    """(place, slot, whether it is template text) of a page's texts; a template text is a slot of its own."""
+    gap: tuple = ()
+    for place, token in enumerate(tokens):
+        if (which := fixed.get(place)) is not None:
+            gap = (which, token[0])
+        if token[1]:
+            yield place, gap if which is not None else (*gap, token[5]), which is not None
+
+
 def extract(pages: list[str | None]) -> list[str]:
     """Main texts of a group of pages of one host."""
     parsed = [parse(p) for p in pages]
-    fixed = template(parsed) if any(not any(t[4] for t in tokens) for tokens in parsed) else [set()] * len(parsed)
+    slots = [list(filled(tokens, mine)) for tokens, mine in zip(parsed, template(parsed), strict=True)]
+    letters: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])  # of each slot: away, in a main element, elsewhere
+    varied: Counter = Counter()  # pages with text of their own at a path
+    for tokens, texts in zip(parsed, slots, strict=True):
+        for place, slot, _ in texts:
+            _, text, _, away, main, _ = tokens[place]
+            letters[slot][0 if away else 1 if main else 2] += len(text)
+        varied.update({tokens[place][5] for place, _, fixed in texts if not fixed and not tokens[place][1].isspace()})
+    gone = {slot for slot, n in letters.items() if n[0] > n[1] + n[2]}
+    main_slots = {slot for slot, n in letters.items() if n[1] >= max(1, n[0], n[2])}
     out = []
-    for tokens, mine in zip(parsed, fixed, strict=True):
-        has_main = any(t[4] for t in tokens)
+    for tokens, texts in zip(parsed, slots, strict=True):
+        has_main = any(slot in main_slots and tokens[place][0] for place, slot, _ in texts)
         blocks: dict[int, list[str]] = defaultdict(list)
-        for place, (_, text, block, away, main) in enumerate(tokens):
-            if text and not away and (main if has_main else place not in mine):
+        for place, slot, fixed in texts:
+            _, text, block, _, _, path = tokens[place]
+            if slot in main_slots if has_main else slot not in gone and (not fixed or 2 * varied[path] >= len(pages)):
                 blocks[block].append(text)
         lines = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
         out.append("\n".join(x for x in lines if x))

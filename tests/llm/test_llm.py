@@ -1,6 +1,7 @@
 """The training-data operators against brute force on small fixtures."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ from corpusmill.llm import components, decontaminate, html_main, jaccard, lm_sco
 from corpusmill.llm.common import WORD, word_hashes
 from corpusmill.llm.tokens import default_path, word_bpe
 
+SF = "/root/testdata/sf0.1"
 ODD = [None, "", " ", "a", "x " * 3000, "same words here again and again", "same words here again and again", "É ü 漢字 \x1c <|endoftext|> don't 12.5%%%"]
 
 
@@ -301,7 +303,8 @@ def test_lexicon_automaton_equals_edit_distance():
                 row[j] = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
         return row[-1]
 
-    lexicon = toxicity.Lexicon(toxicity.INSULTS, ["zorb"])
+    stems = [("zorb", 0, toxicity.STEM), ("quixan", 1, toxicity.STEM), ("plim", 0, toxicity.OFTEN)]
+    lexicon = toxicity.Lexicon([(w, toxicity.allowed(w), toxicity.INSULT) for w in toxicity.INSULTS] + stems, frozenset(["oron"]))
     rng = random.Random(11)
     for _ in range(1500):
         w = list(rng.choice(toxicity.INSULTS))
@@ -309,9 +312,10 @@ def test_lexicon_automaton_equals_edit_distance():
             i = rng.randrange(len(w) + 1)
             w[i : i + rng.randrange(2)] = rng.choice(["", "a", "e", "t"])
         w = "".join(w)
-        fits = [t for t in toxicity.INSULTS if distance(w, t) <= (0 if len(t) < 5 else 1 if len(t) < 9 else 2)]
-        assert (lexicon.kind(w) in (1, 2)) == bool(fits), w
-    assert lexicon.kind("zorbing") == 3 and lexicon.kind("zor") == 0
+        least = min(distance(w, t) if distance(w, t) <= toxicity.allowed(t) else 9 for t in toxicity.INSULTS)
+        assert lexicon.kind(w) == (0 if w == "oron" or least == 9 else toxicity.NEAR_INSULT if least else toxicity.INSULT), w
+    found = {w: lexicon.of(w) for w in ("zorbing", "zor", "quixan", "quyxanto", "quxan", "plimmer", "oron", "moron", "mororn", "scumm", "stup1d", "lo0ser")}
+    assert found == {"zorbing": 3, "zor": 0, "quixan": 3, "quyxanto": 4, "quxan": 4, "plimmer": 5, "oron": 0, "moron": 1, "mororn": 2, "scumm": 2, "stup1d": 2, "lo0ser": 2}
 
 
 def test_toxicity_learns_and_quotes(spark):
@@ -323,14 +327,43 @@ def test_toxicity_learns_and_quotes(spark):
             w[5] = "zorb" + rng.choice(["a", "um", "ish", "er"])
         rows.append((i, " ".join(w)))
         labels.append((i, int(i % 4 == 0)))
-    df = spark.createDataFrame([*rows, (None, None), (500, "")], "doc_id long, text string")
+    # a column whose name the operator uses itself, a row twice, a very long text
+    df = spark.createDataFrame([*((*r, 1) for r in [*rows, rows[0]]), (None, None, 1), (500, "", 1), (501, "words " * 200_000, 1)], "doc_id long, text string, score int")
     model = toxicity.fit(df, toxicity.train_labels(spark.createDataFrame(labels, "doc_id long, toxic int")))
-    assert any("zorb".startswith(s) for s in model.stems)
+    assert any("zorb".startswith(s) for s, _, _ in model.stems)
     got = {r.doc_id: r for r in toxicity.score(df, model).collect()}
-    assert all(got[i].predicted == t for i, t in labels) and got[None].predicted == got[500].predicted == 0
-    assert toxicity.drop_toxic(df, model).count() == 182
-    plain = toxicity.Model([])
-    assert plain.score(plain.features("you are an idiot and a moron")) > 0.5 > plain.score(plain.features('they said "idiot" was the word'))
+    assert all(got[i].predicted == t for i, t in labels) and got[None].predicted == got[500].predicted == got[501].predicted == 0
+    kept = toxicity.drop_toxic(df, model)
+    assert kept.columns == df.columns and kept.count() == 183
+    empty = df.limit(0)
+    assert toxicity.score(empty, model).collect() == [] and toxicity.drop_toxic(empty, model).count() == 0
+    # no labels, or labels of one class, or null ones
+    for known in ([], [(1, 0)], [(0, 1)], [(1, None), (None, 1)]):
+        model = toxicity.fit(df, spark.createDataFrame(known, "doc_id long, toxic int"))
+        assert model.stems == [] and model.score(model.counts("you idiot")) > model.score(model.counts("you there"))
+
+
+def test_toxic_evidence_counts_and_quotation_does_not():
+    of = lambda model, text: model.score(model.counts(text))
+    plain = toxicity.Model()
+    assert of(plain, "you are an idiot and a moron") > 0.5 > of(plain, 'they said "idiot" was the word')
+    words = [f"w{i % 50}" for i in range(300)]
+    fitted = toxicity.fitted([(" ".join(words[i : i + 20]), 0) for i in range(200)] + [(" ".join([*words[i : i + 20], "idiot"]), 1) for i in range(60)], {0: 200, 1: 60})
+    for model in (plain, fitted):
+        clean = of(model, "you are a fine person, friend")
+        assert of(model, "You are a mororn and an imbecyle, loserr.") > clean and of(model, "you stup1d id1ot") > clean and of(model, "scumm") > of(model, "stone")
+        assert of(model, "what a moronn") > of(model, 'he said "what a moronn"')
+    assert (fitted.weights >= toxicity.LEAST).all()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_toxicity_held_out(spark):
+    """Precision and recall on the rows that nothing was learned from."""
+    from corpusmill.llm.toxicity import op1_toxicity
+
+    rows = op1_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").filter("held_out and toxic is not null").collect()
+    caught = sum(r.predicted and r.toxic for r in rows)
+    assert caught >= 0.9 * sum(r.toxic for r in rows) and caught >= 0.95 * sum(r.predicted for r in rows)
 
 
 def test_surrogates_are_distinct_and_alike(spark):
@@ -435,6 +468,45 @@ def test_cross_entropy_difference(spark, monkeypatch, bits):
     assert lm_score.cross_entropy_difference(empty, empty).collect() == []
 
 
+def pages_of(kind):
+    """Hand-made pages of one host with their main text."""
+    rng = random.Random(kind)
+    sentence = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n)) + "."
+    shared, out = sentence(120), []
+    for i in range(10):
+        title, paragraphs, items = sentence(4), [sentence(rng.choice((1, 3, 120))) for _ in range(rng.randint(1, 4))], [sentence(2) for _ in range(i % 3)]
+        paragraphs += [shared] * (i < 6) + ["Brief."]
+        body = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs) + ("<ul>" + "".join(f"<li>{x}" for x in items) + "</ul>" if items else "")
+        body += '<div class="notice-of-award">Awarded.</div><div class="social-history"><h2>Then</h2>Social text.</div>' if i % 2 else ""
+        text = [title, *paragraphs, *items, *(["Awarded.", "Then", "Social text."] if i % 2 and kind != "plain" else [])]
+        around = f'<nav><ul><li><a href="/a">Home</a><li><a href="/b">News {i % 4}</a></ul></nav><div class="cookie-notice">We use cookies.</div><div>Reader of the day</div>', f'<div id="comments"><p>{sentence(9)}</p></div><aside>{sentence(5)}</aside><form><label>Mail</label><input></form><footer>Imprint {i}</footer>'
+        if kind == "plain":
+            body = body.split('<div class="notice')[0]
+        inner = {"article": f'<article class="c">{body}<div class="share-buttons">Share</div><div class="ad">Buy {i}</div></article>', "plain": f'<div class="c">{body}</div>', "role": f'<div class="c"{"" if i == 7 else " role=main"}>{body}</div>'}[kind]
+        out.append((f"<html><head><title>{title}</title><script>var a='<p>x</p>';</script></head><body>{around[0]}{inner}{around[1]}</body></html>", "\n".join(text)))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["article", "plain", "role"])
+def test_hand_made_pages(kind):
+    pages = pages_of(kind)
+    for (_, expected), got in zip(pages, html_main.extract([p for p, _ in pages]), strict=True):
+        assert got == expected
+
+
+def test_html_shared_text_and_odd_pages(spark):
+    """Pages without article of which all share a paragraph; deep, unclosed and very long ones; nulls, repeats, clashes."""
+    long = " ".join(f"w{i}" for i in range(120))
+    pages = [f"<body><p>Short {i}.</p><p>{long}</p>{'<p>Brief.</p>' if i else ''}</body>" for i in range(3)]
+    assert html_main.extract(pages) == [f"Short {i}.\n{long}" + ("\nBrief." if i else "") for i in range(3)]
+    deep = "<div>" * 20_000 + "x" + "</span>" * 20_000 + "</div>" * 20_000
+    assert html_main.extract([deep]) == ["x"] and html_main.extract(["<article>" + "<p>word " * 50_000]) == ["\n".join(["word"] * 50_000)]
+    rows = [(1, "http://a.b/", "<p>one &amp; two", 3, "q"), (1, "http://a.b/", "<p>one &amp; two", 3, "q"), (None, None, "<p>z", 1, "r"), (5, "x", None, 0, "s")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long, host string")
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in html_main.main_text(df).collect()) == [(0, "z", 1), (1, "one & two", 9), (1, "one & two", 9), (5, "", 0)]
+    assert html_main.main_text(df.limit(0)).collect() == []
+
+
 def test_html_main(spark):
     page = '<html><head><title>x</title></head><body><nav><a href="/">Home</a></nav><div class="ad">Buy</div><article><h1>T &amp; u</h1><p>One\n  two%d<br>three<p>Last<script>s()</script></article><div id="comments"><p>hi</p></div><footer>c %d</footer>'
     plain = '<body><div id="top-menu">m</div><div class="c"><p>Body %d of text</p></div><div>Same foot</div></body>'
