@@ -1,9 +1,11 @@
 """PII: detected entities get keyed surrogates of the same type, gender, script and format.
 
 A surrogate is a function of the key, the type, the entity and a number of tries, so an entity has the same one in all
-documents (coreference) and a pass over the texts needs no join.  Digits and letters go through a keyed permutation of
-all strings of their format (a Feistel network over the alphabet), so distinct entities of a format get distinct
-surrogates; given names go through a permutation of their gender's list, other names are permuted within their script.
+documents (coreference) and a pass over the texts needs no join.  A name's type follows from the name alone, whatever
+title stands before it.  Digits and letters go through a keyed permutation of all strings of their format (a Feistel network
+over the alphabet), so distinct entities of a format get distinct surrogates.  Given names go through a permutation of their
+gender's list; other names keep their last letter, which often shows the gender, and get vowels for vowels and consonants
+for consonants of their script.  A name that is found once in a document is replaced wherever the document has it.
 
 Collision checks over the whole corpus find the rest: entities whose surrogate is another's too (the least entity keeps
 it), is itself an entity of the corpus, or is the entity itself.  They get another try until none collides.  After ROUNDS tries
@@ -13,6 +15,7 @@ normally few and are broadcast up to `most_broadcast` of them; beyond that they
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import re
@@ -21,6 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corpusmill.llm.common import documents, id_text, small_batches, written
 
@@ -42,6 +46,12 @@ ALPHABETS = [
     "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
 ]
 
+VOWELS = set("aeiouyáàâäãåéèêëíìîïóòôöõúùûüаеиоуыэюяαεηιουω")
+#: Vowels and consonants of each alphabet of letters.
+NAME_ALPHABETS = [x for a in ALPHABETS if a[0].isalpha() for x in ("".join(c for c in a if c.lower() in VOWELS), "".join(c for c in a if c.lower() not in VOWELS)) if x]
+
+#: Key of the registered queries, which run over invented tables.
+TABLES_KEY = b"invented tables"
 ROUNDS, WIDER = 20, 30  # tries within an entity's format, then in wider ones
 
 _EMAIL = re.compile(r"(?<![\w.+-])[\w+-][\w.+-]*@[\w-]+(?:\.[\w-]+)+")
@@ -56,9 +66,13 @@ _KEY = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?<!\w)(?:ghp|gho|sk|
 _SECRET = re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?([^\s\"',;]{6,})")
 _HEX = re.compile(r"(?<!\w)(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{32,}(?!\w)")
 _LETTER = r"[^\W\d_]"
-_TITLED = re.compile(rf"\b({'|'.join(MALE_TITLES + FEMALE_TITLES + TITLES)})\b\.?[ \t]+((?:{_LETTER}[\w'’-]*[ \t]+)?{_LETTER}[\w'’-]*)")
+_CAPITAL = re.compile(r"\b[A-Z][\w'’-]*")
+_PART = re.compile(rf"{_LETTER}[\w'’-]*")
+_AFTER_TITLE = re.compile(rf"\.?[ \t]+({_LETTER}[\w'’-]*)(?:[ \t]+({_LETTER}[\w'’-]*))?")
+_AFTER_NAME = re.compile(rf"[ \t]+({_LETTER}[\w'’-]*)")
 _GIVEN = {n: "m" for n in MALE} | {n: "f" for n in FEMALE}
-_NAMED = re.compile(rf"\b({'|'.join(sorted(_GIVEN))})[ \t]+({_LETTER}[\w'’-]+)")
+_TITLES = {*MALE_TITLES, *FEMALE_TITLES, *TITLES}
+_DIGIT = re.compile(r"\d")
 
 
 def number(key: bytes, *parts: object) -> int:
@@ -146,6 +160,9 @@ def surrogate(key: bytes, kind: str, entity: str, tries: int) -> str:
     if kind in ("m", "f") and entity in (names := MALE if kind == "m" else FEMALE):
         order = sorted(names, key=lambda n: number(key, tweak, n))
         return order[(order.index(entity) + 1) % len(order)]
+    if kind in ("m", "f", "n"):
+        end = entity[-1] if len(entity) > 2 else ""
+        return same_format(key, tweak + end, entity[: len(entity) - len(end)], NAME_ALPHABETS) + end
     return same_format(key, tweak, entity)
 
 
@@ -165,29 +182,33 @@ def entities(text: str | None) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "iban") for m in _IBAN.finditer(text)]
         found += [(*m.span(), "hex") for m in _HEX.finditer(text)]
         found += [(*m.span(), m.lastgroup) for m in _NUMBER.finditer(text)]
-    names: dict[str, str] = {}
-    for m in _TITLED.finditer(text):
-        parts = re.split(r"[ \t]+", m[2])
-        gender = "m" if m[1] in MALE_TITLES else "f" if m[1] in FEMALE_TITLES else "n"
-        parts = [p for p in parts[:1] if p[0].isupper()] and [p for p in parts if p[0].isupper()]
-        for i, p in enumerate(parts):
-            names[p] = _GIVEN.get(p, gender if len(parts) == 2 and i == 0 and gender != "n" else "n") if len(parts) == 2 and i == 0 else "n"
-    for m in _NAMED.finditer(text):
-        if m[2][0].isupper():
-            names |= {m[1]: _GIVEN[m[1]], m[2]: "n"}
-    if names:
-        known = re.compile(rf"(?<![\w-])(?:{'|'.join(re.escape(n) for n in sorted(names, key=len, reverse=True))})(?![\w-])")
-        found += [(*m.span(), names[m[0]]) for m in known.finditer(text)]
-    out: list[tuple[int, int, str]] = []
-    taken: list[tuple[int, int]] = []
+    names: set[str] = set()
+    for m in _CAPITAL.finditer(text):
+        w = bare(m[0])
+        if w in _TITLES and w == m[0] and (after := _AFTER_TITLE.match(text, m.end())):
+            parts = [bare(p) for p in after.groups("") if p and p[0].isupper()]
+            if after[1][0].isupper():
+                names.update(parts)
+        elif w in _GIVEN and w == m[0] and (after := _AFTER_NAME.match(text, m.end())) and after[1][0].isupper() and len(after[1]) > 1:
+            names |= {w, bare(after[1])}
+    if names := names - _TITLES:
+        for m in _PART.finditer(text):
+            if (w := bare(m[0])) in names:
+                found.append((m.start(), m.start() + len(w), _GIVEN.get(w, "n")))
+    # of two that overlap the earlier kind stays: those taken lie apart, so only their neighbours are compared
+    starts: list[int] = []
+    taken: dict[int, tuple[int, int, str]] = {}
     for a, b, kind in found:
-        if not any(a < y and x < b for x, y in taken):
-            taken.append((a, b))
-            out.append((a, b, kind))
-    return sorted(out)
+        i = bisect.bisect_left(starts, b)
+        if not i or taken[starts[i - 1]][1] <= a:
+            bisect.insort(starts, a)
+            taken[a] = (a, b, kind)
+    return [taken[a] for a in starts]
 
 
-_DIGIT = re.compile(r"\d")
+def bare(name: str) -> str:
+    """A name without an apostrophe and s, or signs, behind it."""
+    return (name[:-2] if name.endswith(("'s", "’s")) else name).rstrip("'’-")
 
 
 def replaced(key: bytes, text: str, tries: dict[tuple[str, str], int]) -> tuple[str, int]:
@@ -236,27 +257,39 @@ def retried(found: DataFrame, key: bytes, rounds: int = ROUNDS + WIDER) -> DataF
     return state.filter("tries > 0").select("kind", "entity", "tries")
 
 
-def pseudonymised(docs: DataFrame, key: bytes = b"corpusmill", *, text_col: str = "text", most_broadcast: int = 200_000) -> DataFrame:
+def fresh(columns: list[str], name: str) -> str:
+    """name with underscores before it until no column has it."""
+    low = {c.lower() for c in columns}
+    while name.lower() in low:
+        name = "_" + name
+    return name
+
+
+def pseudonymised(docs: DataFrame, key: bytes, *, text_col: str = "text", most_broadcast: int = 200_000) -> DataFrame:
     """docs with the entities in text_col replaced and a last column n_replaced; all other columns stay as they are.
 
-    Null texts stay null and empty ones empty, with n_replaced 0.  Rows that repeat get the same replacements; an empty
-    table gives an empty one.  docs must not have a column n_replaced."""
+    key: the secret that surrogates follow from.  Null texts stay null and empty ones empty, with n_replaced 0.  Rows that
+    repeat get the same replacements; an empty table gives an empty one.  Columns may have any names: where docs has
+    a column n_replaced, the new one has an underscore before it."""
     spark = docs.sparkSession
     small_batches(spark)
     found = written(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(emit, "kind string, entity string").distinct(), "entities")
     again = retried(found, key)
     columns = list(docs.columns)
-    place = columns.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", n_replaced long"
+    place, count = columns.index(text_col), fresh(columns, "n_replaced")
+    schema = StructType([*docs.schema.fields, StructField(count, LongType())])
     if again.count() <= most_broadcast:
         tries = spark.sparkContext.broadcast({(r.kind, r.entity): r.tries for r in again.collect()})
         source, extra = docs, None
     else:
-        # by document: its own retried entities come along with it
-        hits = docs.select(F.col(text_col).alias("t")).distinct().mapInArrow(_mentions, "t string, kind string, entity string").join(again, ["kind", "entity"])
-        listed = hits.groupBy(F.xxhash64("t").alias("_h"), F.length("t").alias("_n")).agg(F.collect_set(F.struct("kind", "entity", "tries")).alias("_tries"))
-        source = docs.withColumn("_h", F.xxhash64(text_col)).withColumn("_n", F.length(text_col)).join(listed, ["_h", "_n"], "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_tries")
-        tries, extra = None, len(docs.columns)
+        # by a text's hash and length: its own retried entities come along with it
+        h, n, own = fresh(columns, "h"), fresh(columns, "n"), fresh(columns, "tries")
+        known = F.xxhash64(F.col(text_col).cast("string")), F.length(F.col(text_col).cast("string"))
+        texts = docs.select(known[0].alias("h"), known[1].alias("n"), F.col(text_col).cast("string").alias("t")).filter("n > 0")
+        hits = texts.mapInArrow(mentions, "h long, n int, kind string, entity string").distinct().join(again, ["kind", "entity"])
+        listed = hits.groupBy(F.col("h").alias(h), F.col("n").alias(n)).agg(F.collect_set(F.struct("kind", "entity", "tries")).alias(own))
+        source = docs.withColumn(h, known[0]).withColumn(n, known[1]).join(listed, [h, n], "left").select(*[F.col(f"`{c}`") for c in columns], own)
+        tries, extra = None, len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,16 +301,17 @@ def pseudonymised(docs: DataFrame, key: bytes = b"corpusmill", *, text_col: str
                 done = [replaced(key, t, {(x["kind"], x["entity"]): x["tries"] for x in o or []}) if t else (t, 0) for t, o in zip(texts, own, strict=True)]
             cols = [batch.column(i) for i in range(batch.num_columns)][: len(columns)]
             cols[place] = pa.array([t for t, _ in done], pa.string())
-            yield pa.record_batch([*cols, pa.array([n for _, n in done], pa.int64())], names=[*columns, "n_replaced"])
+            yield pa.record_batch([*cols, pa.array([n for _, n in done], pa.int64())], names=[*columns, count])
 
     return source.mapInArrow(run, schema)
 
 
-def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(t, kind, t[a:b]) for t in batch.column(0).to_pylist() if t for a, b, kind in entities(t)]
-        yield pa.record_batch([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["t", "kind", "entity"])
+        rows = [(h, n, kind, t[a:b]) for h, n, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True) for a, b, kind in entities(t)]
+        yield pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.string(), pa.string()))], names=["h", "n", "kind", "entity"])
 
 
 def op4_pii_surrogates(spark, sf_dir: str) -> DataFrame:
-    return pseudonymised(id_text(documents(spark, sf_dir))).select("doc_id", "text", "n_replaced")
+    """With the key of these tables; data that matter need a key of their own."""
+    return pseudonymised(id_text(documents(spark, sf_dir)), TABLES_KEY).select("doc_id", "text", "n_replaced")

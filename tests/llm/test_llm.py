@@ -375,8 +375,8 @@ def test_surrogates_are_distinct_and_alike(spark):
         "",
         "clean text of 12 words",
     ]
-    df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, tries int")
-    out = {r.doc_id: r for r in pii.pseudonymised(df).collect()}
+    df = spark.createDataFrame([(i, t, 5, 6, 7) for i, t in enumerate(texts)], "doc_id long, text string, tries int, h int, `a b` int")
+    out = {r.doc_id: r for r in pii.pseudonymised(df, b"k").collect()}
     assert out[3].text is None and out[4].text == "" and out[5].text == texts[5] and out[5].n_replaced == 0
     mail = re.search(r"\S+@mail1\.example\.com", out[0].text)[0]
     assert mail != "bob.01@mail1.example.com" and mail in out[1].text
@@ -385,7 +385,7 @@ def test_surrogates_are_distinct_and_alike(spark):
     assert pii.luhn(card[:-1]) == int(card[-1])
     m = re.match(r"Mr\. (\S+) (\S+) met Frau (\S+) (\S+)\. (\S+) said", out[1].text)
     assert m[1] in pii.MALE and m[3] in pii.FEMALE and m[2] == m[5] != "Smith"
-    joined = {r.doc_id: r.text for r in pii.pseudonymised(df, most_broadcast=-1).collect()}
+    joined = {r.doc_id: r.text for r in pii.pseudonymised(df, b"k", most_broadcast=-1).collect()}
     assert joined == {k: r.text for k, r in out.items()}
     found = spark.createDataFrame([("ssn", f"000-00-{i:04d}") for i in range(300)], "kind string, entity string")
     tries = {r.entity: r.tries for r in pii.retried(found, b"k").collect()}
@@ -393,6 +393,50 @@ def test_surrogates_are_distinct_and_alike(spark):
     assert len(new) == 300 and not new & {f"000-00-{i:04d}" for i in range(300)}
 
 
+def test_names_keep_kind_and_are_the_same_everywhere(spark):
+    texts = [
+        "Frau Anna kam. Anna Müller ging; Müller's Hund und Anna blieben.",
+        "Dr. Anna Müller and Rajesh were there. Mr Rajesh Sharma called, Sharma’s friend too.",
+        "Мистер X. Dr Анна Иванова сказала.",
+        "Miss Priya. " + "Priya and Anna Müller. " * 20_000,
+    ]
+    rows = [*enumerate(texts), (None, texts[0]), (0, texts[0]), (9, None)]
+    out = pii.pseudonymised(spark.createDataFrame([(i, t, 8) for i, t in rows], "doc_id long, text string, n_replaced int"), b"k")
+    assert out.columns == ["doc_id", "text", "n_replaced", "_n_replaced"]
+    found = out.collect()
+    got = {r.doc_id: r.text for r in found}
+    assert [r.text for r in found if r.doc_id in (None, 0)] == [got[0]] * 3
+    m = re.fullmatch(r"Frau (\w+) kam\. (\w+) (\w+) ging; (\w+)'s Hund und (\w+) blieben\.", got[0])
+    assert m[1] == m[2] == m[5] in pii.FEMALE and m[1] != "Anna" and m[3] == m[4] != "Müller"
+    n = re.fullmatch(r"Dr\. (\w+) (\w+) and (\w+) were there\. Mr (\w+) (\w+) called, (\w+)’s friend too\.", got[1])
+    assert (n[1], n[2]) == (m[1], m[3]) and n[3] == n[4] != "Rajesh" and n[5] == n[6] != "Sharma"
+    for new, old in ((n[3], "Rajesh"), (n[5], "Sharma"), (m[3], "Müller")):
+        assert new[0].isupper() and new[-1] == old[-1] and [c.lower() in pii.VOWELS for c in new] == [c.lower() in pii.VOWELS for c in old]
+    assert re.search(r"Dr [А-Я][а-я]+ [А-Я][а-я]+ сказала", got[2]) and "Анна" not in got[2]
+    assert got[3].count(f"and {m[1]} {m[3]}.") == 20_000 and "Priya" not in got[3]
+    empty = out.limit(0).drop("_n_replaced")
+    assert pii.pseudonymised(empty, b"k").collect() == []
+    assert all(r.text != got[r.doc_id] for r in pii.pseudonymised(spark.createDataFrame([(1, texts[1])], "doc_id long, text string"), b"other").collect())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_surrogates_of_a_corpus(spark):
+    """Every entity of the tables has one surrogate in all documents, no two have the same one, and all else stays."""
+    small = SF.replace("0.1", "0.01")
+    found: dict = {}
+    for old, new in zip(*(sorted(x.collect()) for x in (spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text"), pii.op4_pii_surrogates(spark, small).select("doc_id", "text"))), strict=True):
+        at = here = 0
+        for a, b, kind in pii.entities(old.text):
+            stop = here + a - at
+            assert new.text[here:stop] == old.text[at:a]
+            # all formats of these tables but addresses keep their length
+            here = re.compile(r"\d+(\.\d+){3}").match(new.text, stop).end() if kind == "ip" else stop + b - a
+            assert found.setdefault((kind, old.text[a:b]), new.text[stop:here]) == new.text[stop:here]
+            at = b
+        assert (new.text or "")[here:] == (old.text or "")[at:]
+    assert len(found) > 50 and len(set(found.values())) == len(found) and not {e for _, e in found} & set(found.values())
+
+
 def test_surrogates_of_full_formats(spark):
     """All one-letter names occur, so none is free; a letter of no alphabet has no other string of its format."""
     names = [*"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "Š", "Ž"]
