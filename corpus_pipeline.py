@@ -50,7 +50,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by surrogates; n_chars follows the text."""
-    out = pii.pseudonymised(docs).drop("n_replaced")
+    out = pii.pseudonymised(docs, pii.TABLES_KEY)
+    out = out.drop(out.columns[-1])
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else out
 
 
