@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values: Unicode white space as str.isspace() has it
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NOT_SPACE = SPACE.replace("[", "[^", 1)
+# fixed values: ends of lines as str.splitlines() has them
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 WORD = r"[\p{L}\p{N}_]+"
 
 
@@ -16,17 +20,28 @@ def fold_newlines(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.regexp_replace(c, rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{SPACE}+\z", "")
+    # possessive, and only from a run's first character: linear in runs that end elsewhere
+    return F.regexp_replace(c, rf"(?<!{SPACE}){SPACE}++\z", "")
 
 
 def lines(c: Column) -> Column:
     return F.split(c, "\n", -1)
 
 
+def split_lines(c: Column) -> Column:
+    """Lines as str.splitlines() has them: no empty one behind the last end of line."""
+
+    def cut(x: Column) -> Column:
+        all_ = F.split(x, "\n", -1)
+        return F.when((x == "") | x.endswith("\n"), F.slice(all_, 1, F.size(all_) - 1)).otherwise(all_)
+
+    return let(F.regexp_replace(c, LINE_END, "\n"), cut)
+
+
 def word_count(c: Column) -> Column:
     return F.size(F.regexp_extract_all(c, F.lit(f"({NOT_SPACE}+)"), F.lit(1)))
 
@@ -41,6 +56,17 @@ def near_form(c: Column) -> Column:
     return strip(F.regexp_replace(F.lower(fold_newlines(c)), f"{SPACE}+", " "))
 
 
+def space_form(c: Column) -> Column:
+    """Every run of white space one space; case stays."""
+    return strip(F.regexp_replace(fold_newlines(c), f"{SPACE}+", " "))
+
+
+def preview(c: Column, n: int = 12) -> Column:
+    """The first n lines, with the newline behind the last of them if the text goes on."""
+    all_ = lines(c)
+    return F.concat(F.array_join(F.slice(all_, 1, n), "\n"), F.when(F.size(all_) > n, "\n").otherwise(""))
+
+
 def tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(f"({WORD})"), F.lit(1))
 
@@ -88,6 +114,11 @@ def safe_filename(c: Column, most: int = 100) -> Column:
     return F.substring(F.regexp_replace(c, r"[^\p{L}\p{N}_.\-]", "_"), 1, most)
 
 
+def safe_name(text: str, most: int = 100) -> str:
+    """safe_filename of a plain string."""
+    return re.sub(r"[^\w.\-]", "_", text)[:most]
+
+
 def safe_label(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9_-]+", "_"), r"\A_+|_+\z", "")
 
@@ -108,9 +139,10 @@ def url_slug(url: Column) -> Column:
 
 
 def category(url: Column) -> Column:
+    """The path without its outer slashes, inner ones as _."""
     path = F.regexp_extract(url, r"\A[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-    last = F.element_at(F.split(F.regexp_replace(path, r"\A/+|/+\z", ""), "/"), -1)
-    return F.when(last != "", last).otherwise(F.lit("category"))
+    inner = F.translate(F.regexp_replace(path, r"\A/+|/+\z", ""), "/", "_")
+    return F.when(inner != "", inner).otherwise(F.lit("category"))
 
 
 def canonical_line(event: Column, fields: dict[str, Column]) -> Column:
@@ -119,4 +151,5 @@ def canonical_line(event: Column, fields: dict[str, Column]) -> Column:
 
 
 def quoted(c: Column) -> Column:
+    """In double quotes, as it is: a log line's strings are not escaped."""
     return F.concat(F.lit('"'), c, F.lit('"'))

@@ -25,17 +25,13 @@ ENGLISH_STOPWORDS = (
 ).split()
 
 
-def drop_noise(c: Column) -> Column:
-    """Without the lines that are nothing but navigation, bullets or rules; blank lines stay as they are."""
+# one pattern, so that a line is stripped and read once
+_NOISE = "|".join(f"(?:{x})" for x in NOISE)
 
-    def stays(x: Column) -> Column:
-        bare = T.strip(x)
-        noise = F.lit(False)
-        for pattern in NOISE:
-            noise = noise | bare.rlike(pattern)
-        return (bare == "") | ~noise
 
-    return F.array_join(F.filter(T.lines(c), stays), "\n")
+def drop_noise(c: Column) -> Column:
+    """Without the lines that are nothing but navigation, bullets or rules; blank lines stay as they are."""
+    return F.array_join(F.filter(F.transform(T.lines(c), lambda x: F.when(~T.strip(x).rlike(_NOISE), x)), lambda x: x.isNotNull()), "\n")
 
 
 def normalize_space(c: Column) -> Column:
@@ -117,6 +113,7 @@ def drop_english(docs: DataFrame, lexicon: DataFrame, *, id_col: str = "doc_id",
     )
     kept = parts.groupBy("id", "row", "line", "blank").agg(F.sort_array(F.collect_list(F.when(keep, F.struct("at", "token")))).alias("k"))
     joined = F.array_join(F.transform("k", lambda x: x["token"]), " ")
+    # fixed values: the three patterns
     joined = F.regexp_replace(F.regexp_replace(F.regexp_replace(joined, r"\s+([.,;:!?)])", "$1"), r"([¿¡(])\s+", "$1"), " {2,}", " ")
     kept = kept.withColumn("out", F.when(F.col("blank"), F.col("line")).when(T.strip(joined) != "", joined))
     kept = kept.groupBy("id").agg(F.sort_array(F.collect_list(F.when(F.col("out").isNotNull(), F.struct("row", "out")))).alias("r"))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
+from corpusmill.operators.graph import cut
 
 # fixed values
 EXCLUDE = [
@@ -43,12 +42,44 @@ def is_valid(url: Column, base: Column) -> Column:
     return ~url.endswith(")") & ~F.contains(F.replace(url, base, F.lit("")), T.domain(base))
 
 
-def links(markdown: Column, base: Column) -> Column:
-    """Distinct links below base: (base/...) in round brackets, and ]base/...) without the opening one."""
+# fixed values: what stands before and behind a link's base, in the order of the patterns
+LINK_PATTERNS = [(r"\](", r"/[^)]+)\)"), (r"\((", r"/[^)]+)\)")]
+
+
+def links_by_pattern(markdown: Column, base: Column) -> list[Column]:
+    """Links below base that each pattern finds: ]base/...) without an opening bracket, and (base/...) in round brackets."""
     quoted = F.concat(F.lit(r"\Q"), base, F.lit(r"\E"))
-    inside = F.regexp_extract_all(markdown, F.concat(F.lit(r"\(("), quoted, F.lit(r"/[^)]+)\)")), F.lit(1))
-    bare = F.regexp_extract_all(markdown, F.concat(F.lit(r"\]("), quoted, F.lit(r"/[^)]+)\)")), F.lit(1))
-    return F.array_union(inside, bare)
+    return [F.regexp_extract_all(markdown, F.concat(F.lit(a), quoted, F.lit(b)), F.lit(1)) for a, b in LINK_PATTERNS]
+
+
+def links(markdown: Column, base: Column) -> Column:
+    """Distinct links below base that the patterns find."""
+    return F.array_union(*links_by_pattern(markdown, base))
+
+
+def malformed_links(pages: DataFrame, around: int = 100) -> DataFrame:
+    """Audit of pages (url, markdown, base): source_url, pattern, url and its context, a row for each match that isn't valid."""
+
+    def numbered(urls: Column, pattern: int) -> Column:
+        return F.transform(urls, lambda u: F.struct(F.lit(pattern).alias("pattern"), u.alias("url")))
+
+    found = F.array(*[numbered(x, i) for i, x in enumerate(links_by_pattern(F.col("markdown"), F.col("base")), 1)])
+    rows = pages.select(F.col("url").alias("source_url"), "markdown", "base", F.explode(F.flatten(found)).alias("m"))
+    rows = rows.select("source_url", F.col("m.pattern").alias("pattern"), F.col("m.url").alias("url"), "markdown", "base").filter(~is_valid(F.col("url"), F.col("base")))
+    return rows.select("source_url", "pattern", "url", link_context(F.col("markdown"), F.col("url"), around).alias("context"))
+
+
+def discovered(pages: DataFrame, section: str | None = None, include: list[str] | None = None, exclude: list[str] | None = None, filtered: bool = True) -> DataFrame:
+    """src, dst: links found on pages (url, markdown, base).
+
+    With a section the links of articles (is_article), else those that filter_urls leaves, or all of them if not filtered."""
+    flat = pages.select(F.col("url").alias("src"), "base", F.explode(links(F.col("markdown"), F.col("base"))).alias("url"))
+    if section is not None:
+        flat = flat.filter(is_article(F.col("url"), F.lit(section), F.col("base"), exclude))
+    elif filtered:
+        flat = flat.filter(~matches_any(F.col("url"), EXCLUDE if exclude is None else exclude))
+        flat = flat.filter(matches_any(F.col("url"), include)) if include else flat
+    return flat.select("src", F.col("url").alias("dst")).distinct()
 
 
 def link_context(markdown: Column, url: Column, around: int = 100) -> Column:
@@ -67,14 +98,17 @@ def hrefs(html: Column, url: Column) -> Column:
 def discover(seeds: DataFrame, edges: DataFrame, max_depth: int = 2) -> DataFrame:
     """url, depth reached from seeds (url) over edges (src, dst) in at most max_depth levels.
 
-    A seed counts as found only if a link leads to it.  Each level is a join and an anti-join; pages met before aren't read
-    again."""
+    A seed counts as found only if a link leads to it.  Each level is a join and an anti-join, written before the next one
+    reads it; pages met before aren't read again."""
+    edges = cut(edges.select("src", "dst"))
     frontier, found = seeds.select("url").distinct(), None
     for depth in range(1, max_depth + 1):
         level = frontier.join(edges, frontier.url == edges.src).select(F.col("dst").alias("url")).distinct()
-        new = level if found is None else level.join(found, "url", "left_anti")
-        found = new.withColumn("depth", F.lit(depth)) if found is None else found.union(new.withColumn("depth", F.lit(depth)))
-        frontier = new
+        frontier = cut(level if found is None else level.join(found, "url", "left_anti"))
+        now = frontier.withColumn("depth", F.lit(depth))
+        found = now if found is None else found.union(now)
+        if frontier.isEmpty():
+            break
     return found if found is not None else seeds.select("url").limit(0).withColumn("depth", F.lit(0))
 
 
@@ -95,14 +129,24 @@ def articles(pages: DataFrame, start: int = 0) -> DataFrame:
 
 
 def with_ids(df: DataFrame, start: int = 0, order: str = "url") -> DataFrame:
-    """doc_id in the order of a column, without one task for all rows: partitions are counted, then numbered."""
-    sorted_ = df.orderBy(order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
+    """doc_id in the order of a column, equal ones by a hash of the row; without one task for all rows.
+
+    The sorted rows are written first, so that partitions are the same when they are counted and when they are numbered."""
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    sorted_ = cut(df.orderBy(order, tie).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
     sizes = sorted_.groupBy("_p").agg(F.count("*").alias("n"), F.min("_m").alias("_lo"))
+    # a row for each partition
     first = sizes.selectExpr("_p", "_lo", "coalesce(sum(n) over (order by _p rows between unbounded preceding and 1 preceding), 0) as _f")
     number = F.col("_f") + F.col("_m") - F.col("_lo") + 1 + start
     return sorted_.join(F.broadcast(first), "_p").withColumn("doc_id", F.format_string("%04d", number)).drop("_p", "_m", "_lo", "_f")
 
 
+def last_id(metadata: DataFrame, order: str = "doc_pos") -> int:
+    """Number of the last row's doc_id, 0 if there is none; new ids go on from it."""
+    last = metadata.agg(F.max_by(F.col("doc_id").cast("long"), F.col(order)).alias("n")).first().n
+    return int(last or 0)
+
+
 def file_name(doc_id: Column, domain: Column, slug: Column, suffix: str = "md") -> Column:
     return F.concat(F.concat_ws("_", doc_id, F.translate(domain, ".", "_"), slug), F.lit(f".{suffix}"))
 
@@ -126,5 +170,37 @@ def retry(attempt, most: int = 3, pause=lambda: None):
     return None
 
 
-def escaped(base: str) -> str:
-    return re.escape(base)
+class TablePages:
+    """Page provider that reads a table of pages (url, content and, if there, title and description) instead of the web."""
+
+    def __init__(self, pages: DataFrame) -> None:
+        self.pages = pages
+
+    def fetch(self, urls: DataFrame) -> DataFrame:
+        """The pages of urls (url) that there are."""
+        return self.pages.join(urls.select("url").distinct(), "url", "left_semi")
+
+
+def crawl(provider, seed: str, *, name: str | None = None, max_depth: int = 2, known: DataFrame | None = None, start: int = 0, include: list[str] | None = None, exclude: list[str] | None = None, skip: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Discover pages from seed and scrape them: (articles with content and category, log of url, category, outcome).
+
+    provider.fetch(urls) gives url, content (Markdown) and perhaps title and description.  A level is one join; pages that an
+    earlier level met aren't read again.  known: metadata whose urls are skipped.  outcome: scraped, failed, skipped."""
+    spark = (known.sparkSession if known is not None else None) or provider.pages.sparkSession
+    one = spark.createDataFrame([(seed,)], "url string").select("url", T.base_url(F.col("url")).alias("base"), T.category(F.col("url")).alias("category"))
+    base, category = one.select("base", "category").first()
+    category = T.safe_name(name or category)
+    frontier, met, found = one.select("url"), one.select("url"), None
+    for _ in range(max(1, max_depth)):
+        pages = provider.fetch(frontier).filter(F.coalesce("content", F.lit("")) != "").select("url", F.col("content").alias("markdown"), F.lit(base).alias("base"))
+        level = cut(discovered(pages, include=include, exclude=exclude).select(F.col("dst").alias("url")).distinct())
+        found = level if found is None else cut(found.union(level).distinct())
+        frontier = cut(level.join(met, "url", "left_anti"))
+        if frontier.isEmpty():
+            break
+        met = met.union(frontier)
+    wanted = skip_existing(found, known) if skip and known is not None else found
+    pages = cut(provider.fetch(wanted).filter(F.coalesce("content", F.lit("")) != ""))
+    outcome = F.when(F.col("scraped"), "scraped").when(F.col("wanted"), "failed").otherwise("skipped")
+    flags = found.join(wanted.select("url", F.lit(True).alias("wanted")), "url", "left").join(pages.select("url", F.lit(True).alias("scraped")).distinct(), "url", "left").fillna(False, ["wanted", "scraped"])
+    return articles(pages, start).withColumn("category", F.lit(category)), flags.select("url", F.lit(category).alias("category"), outcome.alias("outcome"))

@@ -10,14 +10,22 @@ from corpusmill.functions import text as T
 from corpusmill.operators.graph import components, cut
 
 
+#: A text of more rows than this is common; there is at most one for so many rows of the corpus, so all of them are broadcast.
+COMMON_ROWS, SLOTS = 100_000, 1024
+
+
 def exact_report(docs: DataFrame) -> DataFrame:
     """doc_id, canonical_doc_id, is_duplicate, match_type, hash for docs (doc_id, doc_pos, text).
 
-    The canonical row is the earliest of equal texts.  It comes from a partial aggregation and a join, so that a text that
-    very many rows share doesn't meet in one window."""
+    The canonical row is the earliest of equal texts.  It comes from a partial aggregation; only hashes that several rows have
+    are joined back.  Rows of a common text get it from a broadcast and are dealt to many slots, so that no task gets them all."""
     hashed = docs.select("doc_id", "doc_pos", F.sha2(T.exact_form(F.col("text")), 256).alias("hash"))
-    first = hashed.groupBy("hash").agg(F.min(F.struct("doc_pos", "doc_id")).alias("f")).select("hash", F.col("f.doc_id").alias("canonical_doc_id"))
-    return hashed.join(first, "hash").select("doc_id", "canonical_doc_id", (F.col("doc_id") != F.col("canonical_doc_id")).alias("is_duplicate"), F.lit("exact_text_hash").alias("match_type"), "hash")
+    first = cut(hashed.groupBy("hash").agg(F.min(F.struct("doc_pos", "doc_id")).alias("f"), F.count("*").alias("n")).filter("n > 1").select("hash", "n", F.col("f.doc_id").alias("first")))
+    common = F.broadcast(first.filter(F.col("n") > COMMON_ROWS).select("hash", F.col("first").alias("common")))
+    slot = F.when(F.col("common").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)))
+    rare = first.filter(F.col("n") <= COMMON_ROWS).select("hash", F.lit(0).cast("long").alias("slot"), "first")
+    out = hashed.join(common, "hash", "left").withColumn("slot", slot.cast("long")).join(rare, ["hash", "slot"], "left").withColumn("canonical_doc_id", F.coalesce("common", "first", "doc_id"))
+    return out.select("doc_id", "canonical_doc_id", (F.col("doc_id") != F.col("canonical_doc_id")).alias("is_duplicate"), F.lit("exact_text_hash").alias("match_type"), "hash")
 
 
 def exact_summary(report: DataFrame) -> DataFrame:
@@ -63,13 +71,25 @@ def jaccard_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     return out.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("left_id"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("right_id"), "similarity")
 
 
-def lsh_candidates(sets: DataFrame, bands: int = 9, rows: int = 13) -> DataFrame:
-    """left_id, right_id of sets that agree in all min-hashes of a band; the opt-in approximate mode."""
-    sig = sets.filter(F.size("shingles") > 0).select("doc_id", *[F.array_min(F.transform("shingles", lambda s, i=i: F.xxhash64(s, F.lit(i)))).alias(f"m{i}") for i in range(bands * rows)])
-    band = F.posexplode(F.array(*[F.xxhash64(*[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)])).alias("band", "bucket")
-    flat = sig.select("doc_id", band)
-    a, b = flat.withColumnRenamed("doc_id", "left_id"), flat.withColumnRenamed("doc_id", "right_id")
-    return a.join(b, ["band", "bucket"]).filter("left_id < right_id").select("left_id", "right_id").distinct()
+def minhash_signatures(sets: DataFrame, num_perm: int = 128) -> DataFrame:
+    """doc_id, signature: num_perm min-hashes of each set that isn't empty."""
+    # the sets' members are hashes already; another 64-bit mix for each permutation
+    sig = F.array(*[F.array_min(F.transform("shingles", lambda s, i=i: F.xxhash64(s, F.lit(i)))) for i in range(num_perm)])
+    return sets.filter(F.size("shingles") > 0).select("doc_id", sig.alias("signature"))
+
+
+def lsh_candidates(sets: DataFrame, num_perm: int = 128, bands: int = 9, rows: int = 13) -> DataFrame:
+    """left_id, right_id of sets that agree in all min-hashes of a band; the opt-in approximate mode.
+
+    Of num_perm min-hashes bands * rows are used, as fits a threshold of 0.85.  Equal signatures are one node, so copies
+    of a set don't pair up in a bucket: each is linked to the first of them."""
+    sig = cut(minhash_signatures(sets, num_perm))
+    node = sig.groupBy("signature").agg(F.min("doc_id").alias("node"))
+    copies = sig.join(node, "signature").filter("doc_id <> node").select(F.col("node").alias("left_id"), F.col("doc_id").alias("right_id"))
+    band = F.posexplode(F.array(*[F.xxhash64(F.slice("signature", b * rows + 1, rows)) for b in range(bands)])).alias("band", "bucket")
+    flat = node.select("node", band)
+    a, b = flat.withColumnRenamed("node", "left_id"), flat.withColumnRenamed("node", "right_id")
+    return a.join(b, ["band", "bucket"]).filter("left_id < right_id").select("left_id", "right_id").distinct().union(copies)
 
 
 def best_matches(pairs: DataFrame, order: DataFrame) -> DataFrame:
@@ -101,19 +121,32 @@ def pair_report(order: DataFrame, skipped: Column, pairs: DataFrame, match_type:
     )
 
 
+def near_stage(unique: DataFrame, *, threshold: float = 0.85, shingle_size: int = 5, min_tokens: int = 30, num_perm: int = 128) -> tuple[DataFrame, DataFrame]:
+    """Report and summary of the second stage over what exact removal leaves; short rows are skipped."""
+    sets = shingles_of(unique, shingle_size)
+    short = (F.col("n_tokens") < min_tokens) | (F.size("shingles") == 0)
+    pairs = cut(jaccard_pairs(sets.filter(~short), threshold))
+    report = cut(pair_report(sets, short, pairs, "minhash_lsh_jaccard", "jaccard_similarity", threshold))
+    return report, near_summary(report, pairs, shingle_size=shingle_size, num_perm=num_perm, threshold=threshold)
+
+
 def near_report(docs: DataFrame, *, threshold: float = 0.85, shingle_size: int = 5, min_tokens: int = 30) -> DataFrame:
     """Near-duplicate report of the rows that exact removal leaves; short ones are skipped."""
-    sets = shingles_of(exact_survivors(docs), shingle_size)
-    short = (F.col("n_tokens") < min_tokens) | (F.size("shingles") == 0)
-    return pair_report(sets, short, jaccard_pairs(sets.filter(~short), threshold), "minhash_lsh_jaccard", "jaccard_similarity", threshold)
+    return near_stage(exact_survivors(docs), threshold=threshold, shingle_size=shingle_size, min_tokens=min_tokens)[0]
 
 
-def near_summary(report: DataFrame, pairs: DataFrame, *, shingle_size: int, num_perm: int, threshold: float) -> DataFrame:
+def stage_totals(report: DataFrame) -> DataFrame:
+    """Counts that the summaries of the second and third stage share."""
     d = F.col("is_duplicate")
-    totals = report.agg(
+    return report.agg(
         F.count("*").alias("documents_scanned"), F.count_if(F.col("match_type") == "skipped_short_document").alias("documents_skipped_short"),
         F.count_if(d).alias("duplicate_documents"), F.count_distinct(F.when(d, F.col("canonical_doc_id"))).alias("duplicate_groups"),
     )
+
+
+def near_summary(report: DataFrame, pairs: DataFrame, *, shingle_size: int, num_perm: int, threshold: float) -> DataFrame:
+    """candidate_pairs_evaluated counts the verified pairs that reach the threshold: candidates depend on the way they are found."""
+    totals = stage_totals(report)
     return totals.crossJoin(pairs.agg(F.count("*").alias("candidate_pairs_evaluated"))).withColumns({"shingle_size": F.lit(shingle_size), "num_perm": F.lit(num_perm), "threshold": F.lit(float(threshold))})
 
 
@@ -126,26 +159,22 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def average_vectors(vectors: DataFrame, key: str) -> DataFrame:
-    """key, avg_vector: the element-wise mean of the vectors of a key."""
+    """key, avg_vector: the element-wise mean of the vectors of a key; raises if they are empty or differ in length."""
+    size = F.size("vector")
+    sizes = vectors.groupBy(key).agg(F.min(size).alias("least"), F.max(size).alias("most"))
+    fits = (F.col("least") > 0) & (F.col("least") == F.col("most"))
+    problem = F.when(F.coalesce(F.col("least"), F.lit(0)) <= 0, "no vectors to average").otherwise("vectors of different lengths")
+    known = sizes.select(key, F.when(fits, F.col("most")).otherwise(F.raise_error(problem)).alias("size"))
     flat = vectors.select(key, F.posexplode("vector").alias("at", "x")).groupBy(key, "at").agg(F.avg("x").alias("m"))
-    return flat.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "m"))), lambda x: x["m"]).alias("avg_vector"))
-
+    mean = flat.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "m"))), lambda x: x["m"]).alias("avg_vector"))
+    return known.join(mean, key, "left").filter("size > 0").select(key, "avg_vector")
 
-def nearest(vectors: DataFrame, top_k: int = 10, block: int = 1024) -> DataFrame:
-    """src, dst, similarity: the top_k vectors nearest to each of vectors (doc_id, doc_pos, vector), itself left out.
 
-    Exact: every pair of blocks is one matrix product in one task, which returns the best of each row in it; a partial
-    top-k, then a final one per source.  No pair is shuffled that isn't among the best of its block."""
+def top_of_blocks(top_k: int, id_type):
+    """For groups of rows (side 0 or 1, doc_id, doc_pos, v): the best of side 1 for each row of side 0, by cosine to 9 digits."""
     import numpy as np
     import pyarrow as pa
 
-    n = vectors.count()
-    blocks = max(1, -(-n // block))
-    rows = vectors.select("doc_id", "doc_pos", F.col("vector").cast("array<double>").alias("v"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("b"))
-    grid = vectors.sparkSession.range(blocks).withColumnRenamed("id", "o")
-    each = rows.join(F.broadcast(grid)).select(F.col("b").alias("i"), F.col("o").alias("j"), F.lit(0).alias("side"), "doc_id", "doc_pos", "v")
-    each = each.union(rows.join(F.broadcast(grid)).select(F.col("o").alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"), "doc_id", "doc_pos", "v"))
-
     def top(table: pa.Table) -> pa.Table:
         side = np.array(table["side"].to_pylist())
         ids, pos, vec = table["doc_id"].to_pylist(), np.array(table["doc_pos"].to_pylist()), table["v"].to_pylist()
@@ -154,7 +183,7 @@ def nearest(vectors: DataFrame, top_k: int = 10, block: int = 1024) -> DataFrame
         if len(l) and len(r):
             x, y = (np.array([vec[i] for i in s], float) for s in (l, r))
             nx, ny = (np.linalg.norm(z, axis=1, keepdims=True) for z in (x, y))
-            sim = (x / np.where(nx == 0, 1, nx)) @ (y / np.where(ny == 0, 1, ny)).T
+            sim = np.round((x / np.where(nx == 0, 1, nx)) @ (y / np.where(ny == 0, 1, ny)).T, 9)
             sim[pos[l][:, None] == pos[r][None, :]] = -np.inf
             for a, row in zip(l.tolist(), sim, strict=True):
                 best = np.lexsort((pos[r], -row))[:top_k]
@@ -163,23 +192,69 @@ def nearest(vectors: DataFrame, top_k: int = 10, block: int = 1024) -> DataFrame
                         o.append(z)
         return pa.table({"src": pa.array(out[0], table["doc_id"].type), "dst": pa.array(out[1], table["doc_id"].type), "similarity": pa.array(out[2], pa.float64()), "dst_pos": pa.array(out[3], pa.int64())})
 
-    kind = vectors.schema["doc_id"].dataType.simpleString()
-    found = each.groupBy("i", "j").applyInArrow(top, f"src {kind}, dst {kind}, similarity double, dst_pos long")
+    return top, f"src {id_type}, dst {id_type}, similarity double, dst_pos long"
+
+
+def best_of(found: DataFrame, top_k: int) -> DataFrame:
     w = Window.partitionBy("src").orderBy(F.desc("similarity"), "dst_pos")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k).select("src", "dst", "similarity", "rank")
 
 
+def nearest(vectors: DataFrame, top_k: int = 10, block: int = 1024) -> DataFrame:
+    """src, dst, similarity, rank: the top_k vectors nearest to each of vectors (doc_id, doc_pos, vector), itself left out.
+
+    Exact, so the work grows with the square of the rows: every pair of blocks is one matrix product in one task, which
+    returns the best of each row in it; then a final top-k per source.  No pair is shuffled that isn't among the best of
+    its block.  For many rows there is nearest_bucketed."""
+    n = vectors.count()
+    blocks = max(1, -(-n // block))
+    rows = vectors.select("doc_id", "doc_pos", F.col("vector").cast("array<double>").alias("v"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("b"))
+    grid = vectors.sparkSession.range(blocks).withColumnRenamed("id", "o")
+    each = rows.join(F.broadcast(grid)).select(F.col("b").alias("i"), F.col("o").alias("j"), F.lit(0).alias("side"), "doc_id", "doc_pos", "v")
+    each = each.union(rows.join(F.broadcast(grid)).select(F.col("o").alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"), "doc_id", "doc_pos", "v"))
+    return best_of(each.groupBy("i", "j").applyInArrow(*top_of_blocks(top_k, vectors.schema["doc_id"].dataType.simpleString())), top_k)
+
+
+def nearest_bucketed(vectors: DataFrame, top_k: int = 10, *, tables: int = 8, bucket: int = 2048, seed: int = 7) -> DataFrame:
+    """nearest() over the vectors that share a bucket of one of `tables` random-hyperplane hashes; approximate.
+
+    The bits of a hash follow from the number of rows, so that buckets hold about `bucket` vectors and the work grows with
+    the rows.  Fuller buckets are dealt as pairs of blocks, so none is capped."""
+    import numpy as np
+    import pyarrow as pa
+
+    n, wide = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
+    bits = max(0, (max(1, n // bucket) - 1).bit_length()) + 1
+    rows = vectors.select("doc_id", "doc_pos", F.col("vector").cast("array<double>").alias("v"))
+    kind = vectors.schema["doc_id"].dataType.simpleString()
+
+    def hashed(batches):
+        planes = np.random.default_rng(seed).standard_normal((tables, bits, wide or 1))
+        for b in batches:
+            x = np.array([np.resize(np.array(v or [0.0], float), wide) for v in b.column(2).to_pylist()]).reshape(b.num_rows, -1)
+            code = ((np.einsum("tbd,nd->ntb", planes, x) > 0) << np.arange(bits)).sum(2)
+            which = np.repeat(np.arange(b.num_rows), tables)
+            yield pa.record_batch([pa.array(np.tile(np.arange(tables, dtype=np.int32), b.num_rows)), pa.array(code.reshape(-1).astype(np.int64)), *(b.column(i).take(pa.array(which)) for i in range(3))], names=["t", "bucket", "doc_id", "doc_pos", "v"])
+
+    visits = cut(rows.mapInArrow(hashed, f"t int, bucket long, doc_id {kind}, doc_pos long, v array<double>"))
+    sizes = visits.groupBy("t", "bucket").agg(F.ceil(F.count("*") / bucket).cast("int").alias("blocks"))
+    dealt = visits.join(sizes, ["t", "bucket"]).withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sides = [dealt.select("t", "bucket", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(side).alias("side"), "doc_id", "doc_pos", "v") for side, i, j in ((0, "b", "o"), (1, "o", "b"))]
+    found = sides[0].union(sides[1]).groupBy("t", "bucket", "i", "j").applyInArrow(*top_of_blocks(top_k, kind))
+    return best_of(found.distinct(), top_k)
+
+
 def mutual(neighbours: DataFrame) -> DataFrame:
     """a, b with a < b that list each other."""
     x = neighbours.select(F.col("src").alias("a"), F.col("dst").alias("b"))
     return x.join(neighbours.select(F.col("dst").alias("a"), F.col("src").alias("b")), ["a", "b"], "left_semi").filter("a < b")
 
 
-def semantic_pairs(vectors: DataFrame, *, top_k: int = 10, threshold: float = 0.92, length_ratio: float = 0.7) -> DataFrame:
-    """left_id, right_id, similarity of mutual neighbours of like length (n_tokens) that reach the threshold."""
+def semantic_pairs(vectors: DataFrame, *, candidates: DataFrame | None = None, top_k: int = 10, threshold: float = 0.92, length_ratio: float = 0.7) -> DataFrame:
+    """left_id, right_id, similarity of candidates (a, b; by default mutual neighbours) of like length (n_tokens) that reach the threshold."""
     side = lambda i: vectors.select(F.col("doc_id").alias(i), F.col("doc_pos").alias(f"p{i}"), F.col("n_tokens").alias(f"n{i}"), F.col("vector").cast("array<double>").alias(f"v{i}"))
-    pairs = mutual(nearest(vectors, top_k)).join(side("a"), "a").join(side("b"), "b")
-    pairs = pairs.filter(F.least("na", "nb") / F.greatest("na", "nb") >= length_ratio).withColumn("similarity", cosine(F.col("va"), F.col("vb"))).filter(F.col("similarity") >= threshold)
+    pairs = (mutual(nearest(vectors, top_k)) if candidates is None else candidates).join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.filter(F.least("na", "nb") / F.greatest("na", "nb") >= length_ratio).withColumn("similarity", F.round(cosine(F.col("va"), F.col("vb")), 9)).filter(F.col("similarity") >= threshold)
     first = F.col("pa") <= F.col("pb")
     return pairs.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("left_id"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("right_id"), "similarity")
 

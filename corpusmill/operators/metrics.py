@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import text as T
+from corpusmill.operators.graph import cut
 
 # fixed values
 SPANISH_STOPWORDS = (
@@ -56,28 +57,74 @@ def profile(docs: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    c = F.col(column)
-    q = lambda p, name: F.round(F.percentile(c, p), 1).alias(name)
-    return df.agg(
-        F.count(c).alias("count"), F.round(F.avg(c), 1).alias("mean"), F.round(F.stddev_samp(c), 1).alias("std"), F.min(c).alias("min"),
-        q(0.25, "q25"), q(0.5, "q50"), q(0.75, "q75"), F.max(c).alias("max"),
-    )
+    values = narrow(df, column)
+    n, x, rows = F.sum("rows"), F.col("value"), F.col("rows")
+    mean = F.sum(x * rows) / n
+    q = lambda p, name: F.round(quantile(p), 1).alias(name)
+    s = values.agg(n.alias("count"), mean.alias("m"), F.min(x).alias("min"), q(0.25, "q25"), q(0.5, "q50"), q(0.75, "q75"), F.max(x).alias("max"))
+    # deviations from the mean, so that large counts keep their digits
+    spread = values.crossJoin(F.broadcast(s.select("m", "count"))).agg(F.sqrt(F.sum((x - F.col("m")) ** 2 * rows) / F.nullif(F.max("count") - 1, F.lit(0))).alias("sd"))
+    kind = dict(df.dtypes)[column]
+    return s.crossJoin(F.broadcast(spread)).select("count", F.round("m", 1).alias("mean"), F.round("sd", 1).alias("std"), F.col("min").cast(kind).alias("min"), "q25", "q50", "q75", F.col("max").cast(kind).alias("max"))
 
 
 def beyond_p95(df: DataFrame, column: str) -> DataFrame:
     """median, p95 and the number of rows beyond it."""
-    q = df.agg(F.percentile(column, 0.5).alias("median"), F.percentile(column, 0.95).alias("p95"))
-    return df.crossJoin(F.broadcast(q)).groupBy("median", "p95").agg(F.count_if(F.col(column) > F.col("p95")).alias("beyond"))
-
-
-def histogram(df: DataFrame, column: str) -> DataFrame:
-    """bin, rows: bins of width 2 IQR / n^(1/3) over the values up to the 95th percentile; the last one is closed."""
-    q = df.agg(F.percentile(column, 0.95).alias("p95"))
-    kept = df.select(F.col(column).cast("double").alias("x")).crossJoin(F.broadcast(q)).filter("x <= p95")
-    s = kept.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), (F.percentile("x", 0.75) - F.percentile("x", 0.25)).alias("iqr"), F.count("*").alias("n"))
-    s = s.withColumn("bins", F.when(F.col("iqr") > 0, F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo")) / (2 * F.col("iqr") / F.pow("n", F.lit(1 / 3)))))).otherwise(F.lit(1)).cast("long"))
-    at = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("bins")), F.col("bins") - 1))
-    return kept.crossJoin(F.broadcast(s)).groupBy(at.cast("long").alias("bin")).agg(F.count("*").alias("rows"))
+    values = narrow(df, column)
+    q = values.agg(quantile(0.5).alias("median"), quantile(0.95).alias("p95"))
+    return values.crossJoin(F.broadcast(q)).groupBy("median", "p95").agg(F.coalesce(F.sum(F.when(F.col("value") > F.col("p95"), F.col("rows"))), F.lit(0)).alias("beyond"))
+
+
+def narrow(df: DataFrame, column: str) -> DataFrame:
+    """value, rows: how often each value occurs, written once.  Counts have few values; what follows reads no text again."""
+    return cut(df.groupBy(F.col(column).cast("double").alias("value")).agg(F.count("*").alias("rows")).filter("value is not null"))
+
+
+def quantile(p: float):
+    return F.percentile("value", p, F.col("rows"))
+
+
+def histogram(df: DataFrame, column: str, bins: int | None = None, clipped: bool = True) -> DataFrame:
+    """bin, rows: equal bins over the values up to the 95th percentile (all values if not clipped); the last one is closed.
+
+    Without a number of bins their width is 2 IQR / n^(1/3)."""
+    values = narrow(df, column)
+    kept = values
+    if clipped:
+        kept = values.crossJoin(F.broadcast(values.agg(quantile(0.95).alias("p95")))).filter("value <= p95")
+    s = kept.agg(F.min("value").alias("lo"), F.max("value").alias("hi"), (quantile(0.75) - quantile(0.25)).alias("iqr"), F.sum("rows").alias("n"))
+    by_width = F.when(F.col("iqr") > 0, F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo")) / (2 * F.col("iqr") / F.pow("n", F.lit(1 / 3)))))).otherwise(F.lit(1))
+    s = s.withColumn("bins", (F.lit(bins) if bins else by_width).cast("long"))
+    at = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("bins")), F.col("bins") - 1))
+    return kept.crossJoin(F.broadcast(s)).groupBy(at.cast("long").alias("bin")).agg(F.sum("rows").alias("rows"))
+
+
+def mean_ratio(df: DataFrame, column: str = "chars_per_word") -> DataFrame:
+    """mean: of the values that are not null, 0 if there are none; 2 digits, half even."""
+    return df.agg(F.coalesce(T.half_even(F.avg(column), 2), F.lit(0.0)).alias("mean"))
+
+
+def gates(df: DataFrame, terms: DataFrame, column: str = "word_count") -> DataFrame:
+    """documents, terms, and whether there is enough for distributions (two documents), a heat map (and a term) and a density
+    curve (two distinct values up to the 95th percentile)."""
+    values = narrow(df, column)
+    below = values.crossJoin(F.broadcast(values.agg(quantile(0.95).alias("p95")))).filter("value <= p95").agg((F.count("*") > 1).alias("density"))
+    counts = df.agg(F.count("*").alias("documents")).crossJoin(F.broadcast(terms.agg(F.count("*").alias("terms")))).crossJoin(F.broadcast(below))
+    enough = F.col("documents") >= 2
+    return counts.select("documents", "terms", enough.alias("distributions"), (enough & (F.col("terms") >= 1)).alias("heatmap"), "density")
+
+
+def head(df: DataFrame, n: int = 15, *order) -> DataFrame:
+    """The first n rows of a report in an order of columns."""
+    return df.orderBy(*order).limit(n)
+
+
+def pivoted(weights: DataFrame, terms: list[str], stems: DataFrame) -> DataFrame:
+    """stem and a column for each of terms: the weights (doc_id, term, tfidf), 0 where a document lacks a term; stems:
+    (doc_id, filename), labels without the suffix."""
+    named = weights.join(stems.select("doc_id", F.regexp_replace("filename", r"\.[^.]*\z", "").alias("stem")), "doc_id")
+    wide = named.groupBy("stem").pivot("term", terms).agg(F.first("tfidf"))
+    return wide.fillna(0.0, terms)
 
 
 def extremes(df: DataFrame, n: int = 10, longest: bool = False) -> DataFrame:

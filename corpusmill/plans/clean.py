@@ -58,10 +58,10 @@ g AS (SELECT *, coalesce(ni - i <= 2 AND CASE WHEN regexp_matches(a, {listed}) O
   WHEN regexp_matches(b, '^[,.;:!?)\]}}]') OR regexp_matches(a, '[(\[{{]$') THEN true
   WHEN ni - i = 2 THEN regexp_matches(b, '^[a-záéíóúñü]') ELSE regexp_matches(b, '(?i)^[a-záéíóúñü]') END, false) AS go FROM k),
 r AS (SELECT *, row_number() OVER w AS rn, sum(CASE WHEN go THEN 0 ELSE 1 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS isl FROM g WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-t AS (SELECT *, go AND (row_number() OVER (PARTITION BY doc_id, coalesce(isl, 0) ORDER BY i)) % 2 = 1 AS take FROM r),
-eaten AS (SELECT doc_id, unnest(range(i + 1, ni + 1)) AS i FROM t WHERE take),
-o AS (SELECT l.doc_id, l.i, CASE WHEN t.take THEN t.a || ' ' || {strip('t.nl')} ELSE regexp_replace(l.line, '{SP}+$', '') END AS x
-  FROM l LEFT JOIN t ON t.doc_id = l.doc_id AND t.i = l.i LEFT JOIN eaten e ON e.doc_id = l.doc_id AND e.i = l.i WHERE e.i IS NULL),
+took AS (SELECT *, go AND (row_number() OVER (PARTITION BY doc_id, coalesce(isl, 0) ORDER BY i)) % 2 = 1 AS take FROM r),
+eaten AS (SELECT doc_id, unnest(range(i + 1, ni + 1)) AS i FROM took WHERE take),
+o AS (SELECT l.doc_id, l.i, CASE WHEN took.take THEN took.a || ' ' || {strip('took.nl')} ELSE regexp_replace(l.line, '{SP}+$', '') END AS x
+  FROM l LEFT JOIN took ON took.doc_id = l.doc_id AND took.i = l.i LEFT JOIN eaten e ON e.doc_id = l.doc_id AND e.i = l.i WHERE e.i IS NULL),
 joined AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS text FROM o GROUP BY doc_id)"""
 
 
@@ -110,16 +110,25 @@ def process_status_counts(spark, sf_dir):
     return docs(spark, sf_dir).groupBy(status.alias("status")).agg(F.count("*").alias("documents"))
 
 
-FRONT = [(1, "---\ntitle: x\n---\n\nBody\n---\nmore"), (2, "---\nunclosed\nBody"), (3, "no\n---\nx\n---\n"), (4, "---\na: 1\n  ---  \nBody"), (5, "---\n---\nBody"), (6, "---\na\n---")]
+FRONT = [(-1, "---\ntitle: x\n---\n\nBody\n---\nmore"), (-2, "---\nunclosed\nBody"), (-3, "no\n---\nx\n---\n"), (-4, "---\na: 1\n  ---  \nBody"), (-5, "---\n---\nBody"), (-6, "---\na\n---")]
 FRONT_VALUES = ", ".join("({}, '{}')".format(i, t.replace("\n", "' || chr(10) || '")) for i, t in FRONT)
 
 
-@query(f"""WITH f AS (SELECT * FROM (VALUES {FRONT_VALUES}) v(id, text)),
+FRONT_SOURCE = f"f AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT * FROM (VALUES {FRONT_VALUES}) v(id, text))"
+
+
+@query(f"""WITH {FRONT_SOURCE},
 l AS (SELECT id, text, string_split(text, chr(10)) AS l FROM f),
 c AS (SELECT id, text, l, list_position(list_transform(l[2:], lambda x: trim(x)), '---') AS k FROM l)
 SELECT id, CASE WHEN l[1] = '---' AND len(l) > 1 AND k > 0 THEN regexp_replace(array_to_string(l[k + 2:], chr(10)), '^\\n', '') ELSE text END AS out FROM c""")
 def frontmatter_strip(spark, sf_dir):
-    return spark.createDataFrame(FRONT, "id int, text string").select("id", T.strip_frontmatter(F.col("text")).alias("out"))
+    """documents and the fixtures, which have negative ids."""
+    return docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "text").union(spark.createDataFrame(FRONT, "id long, text string")).select("id", T.strip_frontmatter(F.col("text")).alias("out"))
+
+
+@query(f"WITH {FRONT_SOURCE}, l AS (SELECT id, text, string_split(text, chr(10)) AS l FROM f) SELECT id, array_to_string(l[1:12], chr(10)) || CASE WHEN len(l) > 12 THEN chr(10) ELSE '' END AS preview FROM l")
+def text_preview(spark, sf_dir):
+    return docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "text").union(spark.createDataFrame(FRONT, "id long, text string")).select("id", T.preview(F.col("text")).alias("preview"))
 
 
 def html_sql(x: str) -> str:
@@ -145,23 +154,52 @@ def page_raw_vs_text_stats(spark, sf_dir):
     return p.select("page_id", n("raw").alias("raw_chars"), n("txt").alias("text_chars"), F.size(T.lines(F.col("raw"))).cast("long").alias("raw_lines"), F.size(T.lines(F.col("txt"))).cast("long").alias("text_lines"), cut.alias("reduction"))
 
 
-@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)
-SELECT doc_id, (i // 32)::INT AS chunk, count(*) AS lines, min(i + 1)::INT AS first_line, md5(string_agg(line, chr(10) ORDER BY i)) AS chunk_md5 FROM l GROUP BY doc_id, i // 32""")
-def comparison_chunks(spark, sf_dir):
-    l = docs(spark, sf_dir).select("doc_id", F.posexplode(T.lines(F.col("text"))).alias("i", "line"))
-    g = l.groupBy("doc_id", F.floor(F.col("i") / 32).cast("int").alias("chunk")).agg(F.count("*").alias("lines"), (F.min("i") + 1).alias("first_line"), F.sort_array(F.collect_list(F.struct("i", "line"))).alias("x"))
-    return g.select("doc_id", "chunk", "lines", "first_line", F.md5(F.array_join(F.transform("x", lambda s: s["line"]), "\n").cast("binary")).alias("chunk_md5"))
+#: Signs that could be Markdown, entities or escapes, and lines that could be list items, rules or tables.
+MARKUP = r"[*_`#>|&<!~\[\]()+=\\-]|\t|  |\d[.)]"
 
 
-MARKDOWN = [(1, "# Titulo\n\nTexto con **negrita** y [enlace](http://x.com/a).\n\n- uno\n- dos\n\n---\n\n| A | B |\n|---|---|\n| c1 | c2 |\n"), (2, "> cita\n\n```\ncode *x*\n```\n![pic](a.png) fin &amp; ya")]
+def plain_sql(x: str) -> str:
+    return rf"NOT regexp_matches({x}, '[*_`#>|&<!~\[\]()+=\\-]|\t|  |\d[.)]')"
 
 
-@query()
-def markdown_to_text(spark, sf_dir):
-    return spark.createDataFrame(MARKDOWN, "id int, text string").select("id", M.markdown(F.col("text")).alias("out"))
+def markdown_sql(x: str) -> str:
+    return f"array_to_string(list_filter(list_transform(string_split({x}, chr(10)), lambda l: {strip('l')}), lambda l: l <> ''), chr(10))"
 
 
-@query()
+MARKDOWN = [(-1, "# Titulo\n\nTexto con **negrita** y [enlace](http://x.com/a).\n\n- uno\n- dos\n\n---\n\n| A | B |\n|---|---|\n| c1 | c2 |\n"), (-2, "> cita\n\n```\ncode *x*\n```\n![pic](a.png) fin &amp; ya")]
+
+
+#: What the fixtures above must give.
+MARKDOWN_TEXT = ["Titulo\nTexto con \nnegrita\n y \nenlace\n.\nuno\ndos\nA\nB\nc1\nc2", "cita\ncode *x*\n fin & ya"]
+MARKDOWN_VALUES = ", ".join("({}, '{}')".format(i, t.replace("'", "''").replace("\n", "' || chr(10) || '")) for (i, _), t in zip(MARKDOWN, MARKDOWN_TEXT, strict=True))
+
+
+@query(f"SELECT * FROM (VALUES {MARKDOWN_VALUES}) v(id, out) UNION ALL SELECT doc_id AS id, {markdown_sql('text')} AS out FROM documents WHERE {plain_sql('text')}")
+def markdown_to_text(spark, sf_dir):
+    """The fixtures, and all documents whose text has no sign that is Markdown: there the text nodes are the paragraphs."""
+    fixtures = spark.createDataFrame(MARKDOWN, "id long, text string")
+    plain = docs(spark, sf_dir).filter(~F.col("text").rlike(MARKUP)).select(F.col("doc_id").alias("id"), "text")
+    return fixtures.union(plain).select("id", M.markdown(F.col("text")).alias("out"))
+
+
+ENGLISH = ", ".join(f"'{w}'" for w in C.ENGLISH_STOPWORDS)
+
+
+@query(rf"""WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS word FROM documents WHERE lang IN ('en', 'es')),
+c AS (SELECT lang, word, count(*) AS c FROM w GROUP BY 1, 2),
+z AS (SELECT word, lang, round(log10(c / (sum(c) OVER (PARTITION BY lang)) * 1e9), 2) AS zipf FROM c),
+x AS (SELECT word, coalesce(max(zipf) FILTER (lang = 'en'), 0) AS en, coalesce(max(zipf) FILTER (lang = 'es'), 0) AS es FROM z GROUP BY word),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM documents WHERE lang = 'es'),
+p AS (SELECT doc_id, ln, line, {strip('line')} = '' AS blank, CASE WHEN {strip('line')} <> '' THEN regexp_extract_all(line, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]') ELSE [] END AS k FROM l),
+t AS (SELECT doc_id, ln, pos, k[pos] AS token FROM (SELECT doc_id, ln, k, unnest(range(1, len(k) + 1)) AS pos FROM p)),
+kept AS (SELECT t.doc_id, t.ln, array_to_string(list(token ORDER BY pos), ' ') AS joined FROM t LEFT JOIN x ON x.word = lower(t.token)
+  WHERE CASE WHEN NOT regexp_matches(token, '^[\p{{L}}\p{{N}}_]') THEN true WHEN lower(token) IN ({ENGLISH}) THEN false WHEN length(token) <= 2 THEN true
+    WHEN regexp_matches(token, '^\p{{Lu}}') OR regexp_matches(token, '[áéíóúñüÁÉÍÓÚÑÜ]') OR coalesce(es, 0) >= 3.5 THEN true
+    ELSE NOT (coalesce(en, 0) >= 2.5 AND coalesce(en, 0) - coalesce(es, 0) >= 1.0) END GROUP BY t.doc_id, t.ln),
+o AS (SELECT p.doc_id, p.ln, CASE WHEN blank THEN line WHEN {strip("coalesce(joined, '')")} <> '' THEN
+  regexp_replace(regexp_replace(regexp_replace(joined, '\s+([.,;:!?)])', '\1', 'g'), '([¿¡(])\s+', '\1', 'g'), ' {{2,}}', ' ', 'g') END AS out
+  FROM p LEFT JOIN kept ON kept.doc_id = p.doc_id AND kept.ln = p.ln)
+SELECT doc_id, coalesce(string_agg(out, chr(10) ORDER BY ln), '') AS text FROM o GROUP BY doc_id""")
 def english_filter_tokens(spark, sf_dir):
     from corpusmill.operators.metrics import lexicon
 

@@ -79,3 +79,18 @@ def crawl_counters(spark, sf_dir):
 @query(f"""SELECT printf('%04d', row_number() OVER (ORDER BY url)) AS doc_id, 'Unknown Title' AS title, url, {DOMAIN} AS domain, {SLUG} AS url_slug, length(html)::INT AS char_count FROM pages""")
 def article_records(spark, sf_dir):
     return C.articles(pages(spark, sf_dir).select("url", F.col("html").alias("content"))).select("doc_id", "title", "url", "domain", "url_slug", "char_count")
+
+
+BROKEN = "'[a](' || b || '/x/' || b || '/again) [b](' || b || '/fine) ]' || b || '/p' || page_id || '/' || d || ') tail'"
+
+
+@query(rf"""WITH m AS (SELECT page_id, url, {BASE} AS b, {DOMAIN} AS d FROM pages), t AS (SELECT url, b, d, {BROKEN} AS md FROM m),
+l AS (SELECT url AS source_url, 1 AS pattern, b, d, md, unnest(regexp_extract_all(md, '\](' || regexp_escape(b) || '/[^)]+)\)', 1)) AS url FROM t
+  UNION ALL SELECT url, 2, b, d, md, unnest(regexp_extract_all(md, '\((' || regexp_escape(b) || '/[^)]+)\)', 1)) FROM t)
+SELECT source_url, pattern::INT AS pattern, url, substring(md, greatest(strpos(md, url) - 100, 1), strpos(md, url) - greatest(strpos(md, url) - 100, 1) + length(url) + 100) AS context FROM l
+WHERE url LIKE '%)' OR contains(replace(url, b, ''), d)""")
+def malformed_links(spark, sf_dir):
+    """Audit of links with the domain inside their path."""
+    u, b = F.col("url"), T.base_url(F.col("url"))
+    md = F.concat(F.lit("[a]("), b, F.lit("/x/"), b, F.lit("/again) [b]("), b, F.lit("/fine) ]"), b, F.lit("/p"), F.col("page_id").cast("string"), F.lit("/"), T.domain(u), F.lit(") tail"))
+    return C.malformed_links(pages(spark, sf_dir).select("url", md.alias("markdown"), b.alias("base")))

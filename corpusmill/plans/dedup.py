@@ -117,7 +117,7 @@ def vectors(spark, sf_dir):
 
 
 KNN = """v AS (SELECT vec_id AS id, (vec_id % 60 + 30)::INT AS n_tokens, embedding::DOUBLE[] AS v FROM embeddings {where}),
-sim AS (SELECT a.id AS src, b.id AS dst, list_cosine_similarity(a.v, b.v) AS s FROM v a JOIN v b ON a.id <> b.id),
+sim AS (SELECT a.id AS src, b.id AS dst, round(list_cosine_similarity(a.v, b.v), 9) AS s FROM v a JOIN v b ON a.id <> b.id),
 knn AS (SELECT src, dst, s, row_number() OVER (PARTITION BY src ORDER BY s DESC, dst) AS rank FROM sim QUALIFY rank <= 10),
 mutual AS (SELECT x.src AS l, x.dst AS r, x.s AS sim FROM knn x JOIN knn y ON x.src = y.dst AND x.dst = y.src WHERE x.src < x.dst)"""
 

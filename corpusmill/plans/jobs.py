@@ -11,7 +11,8 @@ MADE = f"""ev AS (SELECT *, (SELECT max(ts) FROM events) AS now FROM events),
 jobs AS (SELECT event_id AS id, {STATUS} AS status, props AS data, ts AS created_at, (event_id % 5)::INT AS priority, 'lock' AS lock, ts AS locked_at, (event_id % 12)::INT AS stalls, 'o' || user_id % 7 AS owner_id,
 CASE WHEN event_id % 3 <> 0 THEN user_id END AS group_id, now FROM ev),
 backlog AS (SELECT event_id AS id, user_id AS group_id, ts + INTERVAL 1 HOUR AS times_out_at, now FROM ev WHERE event_id % 7 = 0),
-groups AS (SELECT user_id AS id, CASE WHEN user_id % 4 = 0 THEN 'completed' ELSE 'active' END AS status, 'o' || user_id % 7 AS owner_id, (86400000 + user_id)::BIGINT AS ttl, min(ts) + INTERVAL 1 DAY AS expires_at, any_value(now) AS now FROM ev GROUP BY user_id)"""
+base AS (SELECT user_id AS id, CASE WHEN user_id % 4 = 0 THEN 'completed' ELSE 'active' END AS status, 'o' || user_id % 7 AS owner_id, (86400000 + user_id)::BIGINT AS ttl, min(ts) + INTERVAL 1 DAY AS expires_at, any_value(now) AS now FROM ev GROUP BY user_id),
+groups AS (SELECT * FROM base UNION ALL SELECT id + 1000000000, status, owner_id, ttl, expires_at, now FROM base WHERE status = 'active')"""
 
 
 def made(spark, sf_dir):
@@ -26,6 +27,9 @@ def made(spark, sf_dir):
     backlog = e.filter("event_id % 7 = 0").select(F.col("event_id").alias("id"), F.col("user_id").alias("group_id"), (F.col("ts") + F.expr("interval 1 hour")).alias("times_out_at"), "now")
     groups = e.groupBy("user_id", "now").agg((F.min("ts") + F.expr("interval 1 day")).alias("expires_at"))
     groups = groups.select(F.col("user_id").alias("id"), F.when(F.col("user_id") % 4 == 0, "completed").otherwise("active").alias("status"), owner, (F.lit(86400000) + F.col("user_id")).cast("long").alias("ttl"), "expires_at", "now")
+    # a second group for each active one, whose jobs are all done: the events have hardly a user without open ones
+    done = groups.filter("status = 'active'").withColumn("id", F.col("id") + 1_000_000_000)
+    groups = groups.union(done)
     return jobs, backlog, groups, F.col("now")
 
 
@@ -54,19 +58,19 @@ def queue_backlog_expire(spark, sf_dir):
     return Q.expire_backlog(backlog, now).select("id")
 
 
-DONE = "done AS (SELECT id FROM groups g WHERE status = 'active' AND NOT EXISTS (SELECT 1 FROM jobs j WHERE j.status IN ('active', 'queued') AND j.group_id = g.id AND j.id % 5 = 0) AND NOT EXISTS (SELECT 1 FROM backlog b WHERE b.group_id = g.id AND b.id % 5 = 0))"
+DONE = "done AS (SELECT id FROM groups g WHERE status = 'active' AND NOT EXISTS (SELECT 1 FROM jobs j WHERE j.status IN ('active', 'queued') AND j.group_id = g.id) AND NOT EXISTS (SELECT 1 FROM backlog b WHERE b.group_id = g.id))"
 
 
 @query(f"WITH {MADE}, {DONE} SELECT g.id, CASE WHEN d.id IS NOT NULL THEN 'completed' ELSE status END AS status, CASE WHEN d.id IS NOT NULL THEN now + to_seconds(ttl // 1000) ELSE expires_at END AS expires_at FROM groups g LEFT JOIN done d ON d.id = g.id")
 def queue_group_finish(spark, sf_dir):
     jobs, backlog, groups, now = made(spark, sf_dir)
-    return Q.finish_groups(groups, jobs.filter("id % 5 = 0"), backlog.filter("id % 5 = 0"), now)[0].select("id", "status", "expires_at")
+    return Q.finish_groups(groups, jobs, backlog, now)[0].select("id", "status", "expires_at")
 
 
 @query(f"WITH {MADE}, {DONE} SELECT '{{}}' AS data, owner_id, id AS group_id FROM groups WHERE id IN (SELECT id FROM done)")
 def queue_group_finished_jobs(spark, sf_dir):
     jobs, backlog, groups, now = made(spark, sf_dir)
-    return Q.finish_groups(groups, jobs.filter("id % 5 = 0"), backlog.filter("id % 5 = 0"), now)[1]
+    return Q.finish_groups(groups, jobs, backlog, now)[1]
 
 
 @query(f"WITH {MADE}, gone AS (SELECT id FROM groups WHERE status = 'completed' AND expires_at < now) SELECT 'group' AS what, id FROM groups WHERE id NOT IN (SELECT id FROM gone) UNION ALL SELECT 'job', id FROM jobs WHERE group_id IS NULL OR group_id NOT IN (SELECT id FROM gone) UNION ALL SELECT 'backlog', id FROM backlog WHERE group_id NOT IN (SELECT id FROM gone)")

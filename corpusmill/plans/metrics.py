@@ -127,3 +127,28 @@ def quality_label_join(spark, sf_dir):
     """Extension: the labels have no counterpart among the corpus operators."""
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
     return d.groupBy("quality", "toxic").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("chars"))
+
+
+@query(f"WITH {PROFILE} SELECT coalesce(round_even(avg(CASE WHEN word_count > 0 THEN round_even(char_count / word_count * 100, 0) / 100 END), 2), 0) AS mean FROM p")
+def mean_chars_per_word(spark, sf_dir):
+    return M.mean_ratio(M.profile(docs(spark, sf_dir)))
+
+
+@query(f"""WITH {PROFILE}, {TFIDF}, k AS (SELECT word_count FROM p WHERE word_count <= (SELECT quantile_cont(word_count, 0.95) FROM p))
+SELECT (SELECT count(*) FROM p) AS documents, (SELECT count(*) FROM top) AS terms, (SELECT count(*) >= 2 FROM p) AS distributions,
+(SELECT count(*) >= 2 FROM p) AND (SELECT count(*) >= 1 FROM top) AS heatmap, (SELECT count(DISTINCT word_count) > 1 FROM k) AS density""")
+def plot_gates(spark, sf_dir):
+    d = spanish(spark, sf_dir)
+    return M.gates(M.profile(docs(spark, sf_dir)), M.top_terms(d, M.tfidf(d, M.spanish_tokens(F.col("text")))))
+
+
+@query(f"""WITH {PROFILE}, x AS (SELECT round_even(char_count / word_count * 100, 0) / 100 AS x FROM p WHERE word_count > 0), s AS (SELECT min(x) AS lo, max(x) AS hi FROM x)
+SELECT CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / (hi - lo) * 40), 39) END::BIGINT AS bin, count(*) AS rows FROM x, s GROUP BY 1""")
+def chars_per_word_histogram(spark, sf_dir):
+    return M.histogram(M.profile(docs(spark, sf_dir)), "chars_per_word", bins=40, clipped=False)
+
+
+@query(f"SELECT * FROM ({top_sql(1, 'word', 50)}) ORDER BY count DESC, word LIMIT 15")
+def top_words_head(spark, sf_dir):
+    """The first 15 rows of the report of 50."""
+    return M.head(M.frequencies(spanish(spark, sf_dir), M.spanish_tokens(F.col("text")), "word", 50), 15, F.desc("count"), "word")

@@ -1,16 +1,30 @@
-"""Readers and writers of a corpus on files.  Schemas are given, never inferred."""
+"""Readers and writers of a corpus on files.  Schemas are given, never inferred; paths may be in any store that Spark reads."""
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REGISTRY = "url string, domain string, name string, processed boolean, max_depth int"
-ARTICLES = "doc_id string, title string, description string, url string, url_slug string, domain string, scraped_at timestamp_ntz, word_count int, char_count int, category string"
-PROCESSED = "doc_id string, domain string, filename string, source_md string, title string, url string, word_count int, char_count int"
+from corpusmill.schemas import ARTICLES, METRICS, PROCESSED, REGISTRY  # noqa: F401  (part of the interface)
+
+COLUMNS = {"doc_ids": "doc_id", "filenames": "filename", "urls": "url", "domain": "domain"}
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the store that path is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
 
-def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+
+def read_jsonl(spark: SparkSession, path: str, schema, strict: bool = False) -> DataFrame:
     """JSON lines; blank lines don't count.  strict: a malformed line is an error."""
     return spark.read.schema(schema).json(path, mode="FAILFAST" if strict else "PERMISSIVE")
 
@@ -20,18 +34,60 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One file with a header; for summaries."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def require_files(spark: SparkSession, root: str, names: list[str]) -> None:
+    if missing := [n for n in names if not exists(spark, f"{root}/{n}")]:
+        raise FileNotFoundError(f"missing files in {root}: {', '.join(missing)}")
+
+
+def read_metrics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All metrics tables of a folder by file name; raises if one is missing."""
+    require_files(spark, root, list(METRICS))
+    return {name: read_csv(spark, f"{root}/{name}", schema) for name, schema in METRICS.items()}
+
 
+def write_csv(df: DataFrame, path: str, most: int = 1_000_000) -> None:
+    """With a header; one file up to `most` rows, as summaries have, and as many as the table has partitions beyond."""
+    few = df.limit(most + 1).count() <= most
+    (df.coalesce(1) if few else df).write.mode("overwrite").csv(path, header=True)
 
-def read_texts(spark: SparkSession, path: str, suffix: str = "*") -> DataFrame:
-    """filename, text: each file whole."""
-    return spark.read.text(path, wholetext=True, pathGlobFilter=suffix).select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("text"))
+
+def write_summary(summary: DataFrame, path: str) -> dict:
+    """The one row of a summary as an indented JSON object in a file of this name; gives it back."""
+    rows = summary.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("a summary is one row")
+    values = rows[0].asDict(recursive=True)
+    fs, at = file_system(summary.sparkSession, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(json.dumps(values, indent=2, ensure_ascii=False, default=str).encode()))
+    finally:
+        out.close()
+    return values
+
+
+def read_texts(spark: SparkSession, path: str, suffix: str = "*", limit: int | None = None) -> DataFrame:
+    """filename, text: each file whole; with a limit, the first ones in name order."""
+    out = spark.read.text(path, wholetext=True, pathGlobFilter=suffix).select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("text"))
+    return out if limit is None else out.orderBy("filename").limit(limit)
+
+
+def write_texts(texts: DataFrame, path: str, append: bool = False) -> None:
+    """One folder for each row of texts (filename, text), named filename=..., with the text and an end of line in its files.
+
+    Spark's writers name their files themselves; they reach every store and leave no half-written text when a task is lost."""
+    rows = texts.select("filename", F.coalesce("text", F.lit("")).alias("value"))
+    rows.write.mode("append" if append else "overwrite").partitionBy("filename").text(path)
+
+
+def read_text_folders(spark: SparkSession, path: str) -> DataFrame:
+    """filename, text of what write_texts wrote."""
+    whole = spark.read.schema("value string, filename string").text(path, wholetext=True)
+    return whole.select("filename", F.regexp_replace("value", r"\n\z", "").alias("text"))
 
 
 def with_texts(metadata: DataFrame, texts: DataFrame, strict: bool = False) -> DataFrame:
@@ -40,13 +96,21 @@ def with_texts(metadata: DataFrame, texts: DataFrame, strict: bool = False) -> D
     return out.withColumn("text", F.when(F.col("text").isNull(), F.raise_error(F.concat(F.lit("Text file not found: "), "filename"))).otherwise(F.col("text"))) if strict else out
 
 
-def by_prefix(texts: DataFrame, doc_id: str, suffix: str) -> DataFrame:
-    """The one file whose stem is doc_id or starts with it and _; raises if there are none or several."""
+def last_wins(metadata: DataFrame, order: str = "doc_pos") -> DataFrame:
+    """metadata with one row for each doc_id, the last in order."""
+    columns = [c for c in metadata.columns if c != "doc_id"]
+    last = metadata.groupBy("doc_id").agg(F.max_by(F.struct(*columns), order).alias("r"))
+    return last.select("doc_id", *[F.col(f"r.{c}").alias(c) for c in columns]).select(*metadata.columns)
+
+
+def by_prefix(texts: DataFrame, doc_id: str, suffix: str, exact: bool = False) -> DataFrame:
+    """The one file whose stem is doc_id or (unless exact) starts with it and _; raises if there are none or several."""
     stem = F.regexp_replace("filename", r"\.[^.]*\z", "")
-    hit = texts.filter(F.col("filename").endswith(suffix) & ((stem == doc_id) | F.startswith(stem, F.lit(f"{doc_id}_"))))
-    n = len(hit.select("filename").take(2))
-    if n != 1:
-        raise ValueError(f"{'no' if not n else 'more than one'} file for {doc_id!r}")
+    fits = (stem == doc_id) if exact else (stem == doc_id) | F.startswith(stem, F.lit(f"{doc_id}_"))
+    hit = texts.filter(F.col("filename").endswith(suffix) & fits)
+    names = sorted(r.filename for r in hit.select("filename").limit(6).collect())
+    if len(names) != 1:
+        raise ValueError(f"{'no' if not names else 'more than one'} {suffix} file for {doc_id!r}{': ' if names else ''}{', '.join(names[:5])}")
     return hit
 
 
@@ -58,8 +122,42 @@ def read_registry(spark: SparkSession, text: str) -> DataFrame:
     return spark.createDataFrame(rows, REGISTRY)
 
 
+def read_text_file(spark: SparkSession, path: str) -> str:
+    """A small file's text, from any store; raises FileNotFoundError."""
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no file {path}")
+    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+
+
+def update_registry(text: str, url: str, processed: bool = True) -> str:
+    """The YAML text with the first entry of this url marked; comments before the first entry stay, raises if there is none."""
+    import yaml
+
+    known = yaml.safe_load(text) or {}
+    entry = next((u for u in known.get("urls", []) if u.get("url") == url), None)
+    if entry is None:
+        raise ValueError(f"{url} is not in the registry")
+    entry["processed"] = processed
+    head = re.match(r"(?:[ \t]*(?:#[^\n]*)?\n)*", text)[0]
+    return head + yaml.safe_dump(known, sort_keys=False, allow_unicode=True)
+
+
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file: written beside it, then renamed over it."""
+    fs, at = file_system(spark, path)
+    _, beside = file_system(spark, f"{path}.new")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(at, False)
+    if not fs.rename(beside, at):
+        raise OSError(f"could not replace {path}")
+
+
 def mark_processed(registry: DataFrame, done: DataFrame) -> DataFrame:
-    """registry with the urls of done (url) processed."""
+    """registry with the urls of done (url) processed, every row of a url that it has several times."""
     return registry.join(done.select("url", F.lit(True).alias("_d")).distinct(), "url", "left").withColumn("processed", F.coalesce("_d", "processed")).drop("_d")
 
 
@@ -67,16 +165,53 @@ def unprocessed(registry: DataFrame, force: bool = False) -> DataFrame:
     return registry if force else registry.filter(~F.coalesce("processed", F.lit(False)))
 
 
+def available_sites(spark: SparkSession, path: str) -> list[str]:
+    """Domains of the site folders of path, _ read as a dot; none if there is no such folder.  Folders named _... don't count."""
+    if not exists(spark, path):
+        return []
+    fs, at = file_system(spark, path)
+    return sorted(s.getPath().getName().replace("_", ".") for s in fs.listStatus(at) if s.isDirectory() and not s.getPath().getName().startswith("_"))
+
+
 def require_columns(df: DataFrame, required: list[str], label: str) -> None:
     if missing := sorted(set(required) - set(df.columns)):
         raise ValueError(f"{label} lacks columns: {', '.join(missing)}")
 
 
-def select_documents(metadata: DataFrame, mode: str = "full", values: list[str] | None = None) -> DataFrame:
-    """Rows by mode: full, doc_ids, filenames, urls or domain."""
-    column = {"doc_ids": "doc_id", "filenames": "filename", "urls": "url", "domain": "domain"}.get(mode)
-    if mode != "full" and column is None:
+def validate_selection(selection: dict) -> tuple[str, list[str], str]:
+    """(mode, values, label) of a selection: mode among full and COLUMNS, values trimmed, label safe for a path."""
+    mode = str(selection.get("mode", "full")).strip().lower()
+    if mode != "full" and mode not in COLUMNS:
         raise ValueError(f"unknown mode {mode!r}")
-    if column and not values:
+    values = selection.get("values") or []
+    if not isinstance(values, list):
+        raise ValueError("values must be a list")
+    values = [v for v in (str(x).strip() for x in values) if v]
+    if mode != "full" and not values:
         raise ValueError(f"mode {mode} needs values")
-    return metadata if mode == "full" else metadata.filter(F.col(column).isin(values))
+    label = re.sub(r"[^a-z0-9_-]+", "_", (str(selection.get("label", "")).strip() or "full_corpus").lower()).strip("_")
+    if not label:
+        raise ValueError("a label needs a letter or digit")
+    return mode, values, label
+
+
+def select_documents(metadata: DataFrame, mode: str = "full", values: list[str] | None = None) -> DataFrame:
+    """Rows by mode: full, doc_ids, filenames, urls or domain; raises where none is left."""
+    mode, values, _ = validate_selection({"mode": mode, "values": values})
+    if mode == "full":
+        return metadata
+    require_columns(metadata, [COLUMNS[mode]], "metadata")
+    out = metadata.filter(F.col(COLUMNS[mode]).cast("string").isin(values))
+    if out.isEmpty():
+        raise ValueError(f"mode {mode} selects no rows for {', '.join(values[:5])}")
+    return out
+
+
+def metrics_dir(root: str, label: str) -> str:
+    """Folder of a selection's metrics."""
+    return f"{root.rstrip('/')}/{validate_selection({'label': label})[2]}"
+
+
+def label_column(df: DataFrame) -> str:
+    """ngram, or the first column that isn't count."""
+    return "ngram" if "ngram" in df.columns else next(c for c in df.columns if c != "count")
