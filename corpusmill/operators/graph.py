@@ -31,7 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, root: each node of edges (u, v) with its component's least node.
 
-    Large-star and small-star steps in turn, each a join and an aggregation; lineage is cut by checkpoint()."""
+    Large-star and small-star steps in turn, each a join and an aggregation; they end in stars around the roots, after about
+    log2(nodes) rounds.  Lineage is cut by checkpoint().  Null ends are ignored.  Raises if the rounds don't suffice."""
     here = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
     seen = None
     for _ in range(most_rounds):
@@ -44,6 +45,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         low = sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = sides.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        here = cut(small.select("u", F.col("m").alias("v")).union(small.select("v", "m")).filter("u <> v").distinct())
+        ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        here = cut(large.join(low, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v").filter("u <> v").distinct())
     raise RuntimeError("components: more rounds are needed")
