@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import re
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators.graph import shared_dir
+
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Lower-casing touches A-Z only.
@@ -22,16 +25,6 @@ ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _tables: list[tuple[SparkSession, str]] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="corpusmill-")
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
 def new_path(spark: SparkSession, tag: str) -> str:
     path = f"{shared_dir(spark)}/corpusmill-{tag}-{uuid.uuid4().hex}"
     _tables.append((spark, path))
@@ -43,17 +36,30 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Remove a table of written() that nothing reads any more."""
+    here = (df.sparkSession, df.written_at)
+    if here in _tables:
+        _tables.remove(here)
+        remove(*here)
 
 
 @atexit.register
 def drop_tables() -> None:
     """Remove what written() left; called when the driver ends."""
     while _tables:
-        spark, path = _tables.pop()
-        with contextlib.suppress(Exception):
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        remove(*_tables.pop())
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -65,6 +71,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def cache(owner: str, drop: Callable[[], None]) -> None:
+    """Register how to drop what an operator keeps in a Python worker between its tasks."""
+    _caches[owner] = drop
+
+
+def claim(owner: str) -> None:
+    """At the start of a task: other operators' caches go, and freed memory goes back to the system, as workers serve one
+    operator after another and an executor's memory holds all of its workers."""
+    for name, drop in _caches.items():
+        if name != owner:
+            drop()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -77,7 +102,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 class WordHashes(dict):
     """word -> 64-bit hash, kept between batches and bounded in size."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __init__(self, seed: int = 0) -> None:
         super().__init__()

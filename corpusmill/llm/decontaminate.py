@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import documents, id_text, mix, powers, shingle_hashes, small_batches, written
+from corpusmill.llm.common import claim, documents, id_text, mix, powers, shingle_hashes, small_batches, written
 
 MATCHES = "doc_id long, item_id long, start long, n_words long, similarity double"
 _GROUP, _STRETCH = 200_000, 32_768  # letters of texts that are looked up at once, words whose lanes are held at once
@@ -293,6 +293,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: i
 
 def find(matcher):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("decontaminate")
         m: Matcher = matcher.value
         for batch in batches:
             rows = [
@@ -338,6 +339,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
         matcher = spark.sparkContext.broadcast(Matcher(block, k, radius, threshold))
 
         def keep(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
+            claim("decontaminate")
             for batch in batches:
                 yield batch.filter(pa.array([not got for got in matcher.value.matches(batch.column(place).to_pylist())], pa.bool_()))
 

@@ -9,8 +9,9 @@ lesser of its two Ls.
 1. one pass: set sizes, 64-bit set signatures, the sketch; equal sets become one node;
 2. prefix index of distinct sets, with a parity bitmap of each set: the bits that differ are a lower bound of the
    symmetric difference, so it discards pairs without losing any;
-3. a few rounds contract large groups of near copies without listing their pairs: each set is verified against two of the
-   sets that lead its posting lists, and what links joins components;
+3. a few rounds contract large groups of near copies without listing their pairs: each posting list that holds several
+   components is led by one of its sets, another in each round; each set is verified against `partners` of the leads of its
+   lists, and what links joins components.  Where most pairs of a group link, such random partners join nearly all of it;
 4. pairs of sets that share prefix shingles and are in different components are filtered, counted and verified, all of
    them.
 
@@ -26,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import documents, id_text, mix, partitions, small_batches, word_hashes, written
-from corpusmill.llm.components import components
+from corpusmill.llm.common import claim, documents, id_text, mix, partitions, small_batches, word_hashes, written
+from corpusmill.operators.graph import components
 
 CELL_BITS = 20  # of the sketch: 2**20 counters whatever the input's size
 CHUNKS = 16
@@ -93,6 +94,7 @@ def bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[list[int]]:
 
 def first_pass(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard")
         counts = np.zeros(1 << CELL_BITS, np.int64)
         names = [c.split()[0] for c in FIRST.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
@@ -155,6 +157,7 @@ def prefix(shingles: np.ndarray, level: np.ndarray, cost: np.ndarray, percent: i
 
 def index(ranks, k: int, percent: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard")
         level, cost = ranks.value
         for batch in batches:
             sets, ends = shingle_sets(batch.column(1).to_pylist(), k)
@@ -235,6 +238,7 @@ def texts_of(wanted, k: int):
     """s, text of the rows whose key may be wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard")
         for batch in batches:
             batch = batch.filter(pa.array(wanted.value[cells(batch.column(0).to_numpy())].all(0)))
             yield pa.record_batch([pa.array(signatures(*shingle_sets(batch.column(1).to_pylist(), k))), batch.column(1)], names=["s", "text"])
@@ -268,7 +272,7 @@ def linked(k: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, most: int = 4, contractions: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, most: int = 4, contractions: int = 3, partners: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id per row of docs.
 
     Links: 100 * |intersection| >= percent * |union| of the sets of k-word shingles (a text of fewer words is one shingle).
@@ -298,7 +302,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return pairs.select("a", "b").join(a, "a").join(b, "b").filter(possible(percent)).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select("a", "b").checkpoint()
         # texts of the pairs' sets, found by the id of one row of each; the filter keeps other texts out of the shuffle
         ends = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s"))).distinct()
         keys = sets.join(ends, "s").select("key")
@@ -307,31 +310,33 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         a, b = (texts.select(F.col("s").alias(x), F.col("text").alias("text" + x)) for x in "ab")
         return pairs.join(b, "b").join(a, "a").select("a", "b", "texta", "textb").mapInArrow(linked(k, percent), "u long, v long")
 
-    def by_component(roots: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """Postings with their component, and the lists that hold several with the least set of the least one."""
+    def by_component(roots: DataFrame | None, turn: int = 0) -> tuple[DataFrame, DataFrame]:
+        """Postings with their component, and the lists that hold several with a set that leads them, another for each list and turn."""
         root = shared.withColumn("root", F.col("s")) if roots is None else shared.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
-        several = root.groupBy("token").agg(F.min(F.struct("root", "s")).alias("lo"), F.max("root").alias("hi")).filter("lo.root != hi")
-        return root, several.select("token", F.col("lo.root").alias("lead_root"), F.col("lo.s").alias("a"))
+        lead = F.min(F.struct(F.xxhash64("token", "s", F.lit(turn)), "root", "s")).alias("lead")
+        several = root.groupBy("token").agg(lead, F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+        return root, several.select("token", F.col("lead.root").alias("lead_root"), F.col("lead.s").alias("lead"))
 
     links = tried = roots = None
-    for _ in range(contractions):
-        grouped, several = by_component(roots)
-        led = grouped.join(several, "token").filter("root != lead_root").groupBy(F.col("s").alias("b"), "a").agg(F.count("*").alias("c"))
-        pick = led.groupBy("b").agg(F.array_distinct(F.array(F.max_by("a", F.struct("c", "a")), F.min("a"))).alias("a"))
-        pick = pick.select(F.explode("a").alias("a"), "b")
-        pick = (pick if tried is None else pick.join(tried, ["a", "b"], "left_anti")).checkpoint()
+    for turn in range(contractions):
+        grouped, several = by_component(roots, turn)
+        led = grouped.join(several, "token").filter("root != lead_root").groupBy("s", "lead").agg(F.count("*").alias("c"))
+        # of the leads of its lists, those that share most, one of each class
+        pick = led.groupBy("s", F.pmod(F.xxhash64("lead", F.lit(turn)), F.lit(partners)).alias("class")).agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
+        pick = pick.select(F.least("s", "lead").alias("a"), F.greatest("s", "lead").alias("b")).distinct()
+        pick = bounded(pick if tried is None else pick.join(tried, ["a", "b"], "left_anti")).checkpoint()
         tried = pick if tried is None else tried.union(pick)
-        found = written(verified(bounded(pick)), "links")
+        found = written(verified(pick), "links")
         links = found if links is None else links.union(found)
-        roots = components(links).withColumnRenamed("u", "s")
-        if found.isEmpty():
-            break
+        roots = components(links).withColumnRenamed("node", "s")
+        if 50 * found.count() <= pick.count():
+            break  # few of the pairs that are left will link
     grouped, several = by_component(roots)
     mixed = written(grouped.join(several.select("token"), "token").select("token", "s", "need", "root").join(sets.select("s", "n", "bits"), "s"), "mixed")
     left, right = (mixed.select("token", *(F.col(c).alias(c + x) for c in ("s", "n", "bits", "need", "root"))) for x in "ab")
     crossing = left.join(right, (left.token == right.token) & (F.col("roota") != F.col("rootb")) & (F.col("sa") < F.col("sb")) & possible(percent))
     crossing = crossing.groupBy(F.col("sa").alias("a"), F.col("sb").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("needa", "needb")).alias("need")).filter("c >= need")
-    roots = components(links.union(verified(crossing))).withColumnRenamed("u", "s")
+    roots = components(links.union(verified(crossing.select("a", "b").checkpoint()))).withColumnRenamed("node", "s")
 
     known = rows.filter("n > 0").join(roots, "s", "left").select("s", "doc_id", F.coalesce("root", "s").alias("root"))
     least = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import documents, id_text, mix, partitions, small_batches, word_hashes, written
+from corpusmill.llm.common import claim, documents, id_text, mix, partitions, small_batches, word_hashes, written
 
 FIRST_SLICES, SLICE_BITS = 10, 22
 CHUNKS = "chunk long, n_tokens long, n_target long, payload binary"
@@ -165,6 +165,7 @@ class Chunk:
 
 def gathered(chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lm_score")
         number = TaskContext.get().partitionId() << 32
         held: list[list] = [[], [], []]
         size = 0

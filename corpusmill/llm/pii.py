@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from corpusmill.llm.common import documents, id_text, small_batches, written
+from corpusmill.llm.common import claim, documents, id_text, small_batches, written
 
 # fixed values
 MALE = "Adam Alan Anton Carl Daniel David Erik Felix Frank Georg Hans Henri Hugo Ivan Jack James Jean John Jorge José Juan Karl Leon Louis Luis Marc Martin Michael Pablo Paul Peter Pierre Robert Thomas Victor William".split()
@@ -222,6 +222,7 @@ def replaced(key: bytes, text: str, tries: dict[tuple[str, str], int]) -> tuple[
 
 def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct (kind, entity) of each batch."""
+    claim("pii")
     for batch in batches:
         rows = sorted({(kind, t[a:b]) for t in batch.column(0).to_pylist() if t for a, b, kind in entities(t)})
         yield pa.record_batch([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["kind", "entity"])
@@ -292,6 +293,7 @@ def pseudonymised(docs: DataFrame, key: bytes, *, text_col: str = "text", most_b
         tries, extra = None, len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("pii")
         for batch in batches:
             texts = batch.column(place).to_pylist()
             if extra is None:

@@ -14,6 +14,8 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
+from corpusmill.llm.common import cache, claim
+
 END_ID = 2
 SPACE, LETTERS, DIGIT, SIGNS, ODD = range(5)
 # fixed values: the steps before the model that the cutting below stands for
@@ -47,7 +49,7 @@ _PLAIN = bytes(np.flatnonzero((_KINDS != ODD) & (_KINDS != SPACE)).tolist())
 class WordBpe(dict):
     """part or odd word, in UTF-8 -> its ids as little-endian unsigned 32-bit integers."""
 
-    limit = 250_000
+    limit, stretch = 200_000, 4 << 20  # parts held, bytes of texts that are cut at once
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -91,15 +93,26 @@ class WordBpe(dict):
             found = [self.whole_ids(t) if t else b"" for t in texts.to_pylist()]
             return np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(x) >> 2 for x in found]).astype(np.int64)
         edges = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
-        parts, ends = self.parts(np.frombuffer(texts.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]], edges - edges[0])
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        out, stops, at, held = [], [], 0, 0
+        while at < len(texts):  # stretches of texts, so that what is held besides the ids stays small
+            to = max(at + 1, int(np.searchsorted(edges, edges[at] + self.stretch, side="right")) - 1)
+            ids, ends = self._stretch(data[edges[at] : edges[to]], edges[at : to + 1] - edges[at])
+            out.append(ids)
+            stops.append(ends + held)
+            at, held = to, held + len(ids)
+        return np.concatenate(out) if out else np.empty(0, "<u4"), np.concatenate(stops) if stops else np.empty(0, np.int64)
+
+    def _stretch(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts, ends = self.parts(data, edges)
         if not len(parts):
-            return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
+            return np.empty(0, "<u4"), np.zeros(len(edges) - 1, np.int64)
         coded = parts.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         found = list(map(self.__getitem__, distinct))
         if len(self) > self.limit:
             self.clear()
-            self.update(zip(distinct[: self.limit // 2], found, strict=False))
+            self.update(zip(distinct, found, strict=True))
         flat, which = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy()
         n = np.fromiter(map(len, found), np.int32, len(found)) >> 2
         each = n[which]
@@ -158,10 +171,12 @@ def with_ends(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 _held: dict[str, WordBpe] = {}
+cache("tokens", _held.clear)
 
 
 def word_bpe(path: str) -> WordBpe:
     """One per Python worker; tasks that come later find the parts already known."""
+    claim("tokens")
     if path not in _held:
         _held[path] = WordBpe(path)
     return _held[path]

@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import documents, small_batches
+from corpusmill.llm.common import claim, documents, small_batches
 
 # fixed values
 INSULTS = """arsehole asshole bastard bitch clown coward cretin degenerate dimwit disgusting dumbass fool freak garbage
@@ -226,7 +226,7 @@ def unlikely(pos: int, neg: int, rate: float) -> float:
     return top + math.log(sum(math.exp(x - top) for x in logs))
 
 
-def families(sets: list[set[str]], bands: int = 8, width: int = 3) -> list[int]:
+def families(sets: Iterable[set[str]], bands: int = 8, width: int = 3) -> list[int]:
     """Places of one row of each group of near copies, by min-hash bands; copies must not count as evidence twice."""
     seen: set[tuple] = set()
     out = []
@@ -245,23 +245,38 @@ def learned(rows: list[tuple[str | None, int]], least: int = 4, longest: int = 8
     """Stems of words that toxic rows hold and others don't, or hold twice where others don't, with the edits that they
     allow; and the words near an insult or stem that clean rows use.  Near copies of a row count once."""
     known = Lexicon([(w, allowed(w), INSULT) for w in INSULTS])
-    sets = [Counter(_TOKEN.findall((x or "").lower())) for x, _ in rows]
-    places = families([set(c) for c in sets])
-    rows, sets = [rows[i] for i in places], [sets[i] for i in places]
-    clean = Counter(w for c, (_, t) in zip(sets, rows, strict=True) if not t for w in c)
+    tokens = lambda x: _TOKEN.findall((x or "").lower())
+    rows = [rows[i] for i in families(set(tokens(x)) for x, _ in rows)]
+    clean: set[str] = set()
+    for x, t in rows:
+        if not t:
+            clean.update(tokens(x))
     near = frozenset(w for w in clean if len(w) > 3 and known.of(w) == NEAR_INSULT)
     n_pos = sum(t for _, t in rows)
     if not n_pos or n_pos == len(rows):
         return [], near
     rate = n_pos / len(rows)
-    tallies: dict[tuple[int, bool], Counter] = {(t, many): Counter() for t in (0, 1) for many in (False, True)}
-    for c, (_, t) in zip(sets, rows, strict=True):
+
+    def begun(x: str | None) -> Counter:
+        """How often words begin with each stem."""
         own: Counter = Counter()
-        for w, times in c.items():
+        for w, times in Counter(tokens(x)).items():
             for k in range(least, min(longest, len(w)) + 1):
                 own[w[:k]] += times
-        tallies[t, False].update(own.keys())
-        tallies[t, True].update(p for p, times in own.items() if times > 1)
+        return own
+
+    # the stems of toxic rows first; of other rows only these are counted
+    tallies: dict[tuple[int, bool], Counter] = {(t, many): Counter() for t in (0, 1) for many in (False, True)}
+    for toxic in (1, 0):
+        worth = {p for p, n in tallies[1, False].items() if n >= 4}
+        for x, t in rows:
+            if t == toxic:
+                own = begun(x)
+                tallies[t, False].update(own.keys() if toxic else own.keys() & worth)
+                tallies[t, True].update(p for p, times in own.items() if times > 1 and (toxic or p in worth))
+        if toxic:
+            tallies[1, False] = Counter({p: n for p, n in tallies[1, False].items() if n >= 4})
+            tallies[1, True] = Counter({p: n for p, n in tallies[1, True].items() if n >= 4})
     found = []
     for many, share, kind in ((False, precision, STEM), (True, twice, OFTEN)):
         pos, neg = tallies[1, many], tallies[0, many]
@@ -329,6 +344,7 @@ def train_labels(labels: DataFrame) -> DataFrame:
 
 def scores(model, place: int, threshold: float, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         for batch in batches:
             m: Model = model.value
             counts = [m.counts(t) for t in batch.column(place).to_pylist()]
@@ -358,6 +374,7 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
     place, shared = docs.columns.index(text_col), spark.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         for batch in batches:
             m = shared.value
             yield batch.filter(pa.array([m.score(m.counts(t)) < threshold for t in batch.column(place).to_pylist()], pa.bool_()))

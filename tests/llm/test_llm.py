@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from corpusmill.llm import components, decontaminate, html_main, jaccard, lm_score, near_vectors, packing, pii, substring, token_files, toxicity
+from corpusmill.llm import decontaminate, html_main, jaccard, lm_score, near_vectors, packing, pii, substring, token_files, toxicity
 from corpusmill.llm.common import WORD, word_hashes
 from corpusmill.llm.tokens import default_path, word_bpe
 
@@ -210,20 +210,30 @@ def test_near_vectors(spark):
         assert got[i] == (len(near.get(i, ())), min(seen), min(seen) == i)
 
 
-def test_components_equal_bfs(spark):
-    rng = random.Random(6)
-    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)]
-    near = defaultdict(set)
-    for u, v in edges:
-        near[u].add(v)
-        near[v].add(u)
-    for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect():
-        seen, todo = {r.u}, [r.u]
-        while todo:
-            new = near[todo.pop()] - seen
-            seen |= new
-            todo += new
-        assert r.root == min(seen)
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_near_vectors_find_planted_pairs(spark, depth):
+    """All pairs at cosines from 0.93 to 0.97, against all pairs, in deeper tables too; odd rows and clashing names."""
+    rng = np.random.default_rng(depth)
+    base = rng.standard_normal((400, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    other = rng.standard_normal((400, 64))
+    other -= (other * base).sum(1, keepdims=True) * base
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    c = rng.uniform(0.932, 0.97, (400, 1))
+    x = np.concatenate([base, c * base + np.sqrt(1 - c**2) * other]).astype(np.float32)
+    rows = [(i, v.tolist(), i % 400 % 3, 1, 2) for i, v in enumerate(x)]
+    odd = [(None, rows[0][1], 0, 1, 2), (900, None, 0, 1, 2), (901, [0.0] * 64, 0, 1, 2), (902, [float("nan")] * 64, 0, 1, 2), (903, rows[1][1], None, 1, 2), (904, [], 0, 1, 2), (905, rows[0][1][:32], 0, 1, 2)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int, size int, sig int")
+    got = {r.vec_id: r for r in near_vectors.near_vectors(df, depth=depth).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    links = (u @ u.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(links, False)
+    found = sum(got[i].n_links == links[i].sum() + (links[i, 0] or i == 0) for i in range(800))
+    assert found >= 0.995 * 800 and links.sum() >= 800
+    assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in (900, 901, 902, 903, 904, 905))
+    assert got[None].n_links >= 1 and not got[None].kept
+    assert near_vectors.near_vectors(df.limit(0)).collect() == []
 
 
 def test_hamming_blocks_find_all():
@@ -594,3 +604,107 @@ def test_pipeline(spark):
 def test_crc_of_pieces(spark):
     r = packing.pack(spark.createDataFrame([(1, "hello world")], "doc_id long, text string")).selectExpr("crc32(ids) c", "ids").first()
     assert r.c == zlib.crc32(bytes(r.ids))
+
+
+def odd_documents(spark):
+    """Null and repeated ids, null, empty and very long texts, and columns with the names that operators use themselves."""
+    texts = ["alpha beta gamma " * 3, None, "", "  ", "word " * 60_000 + "end", "alpha beta gamma " * 3, "É 漢字 '<|x"]
+    rows = [*enumerate(texts), (None, "no id here"), (None, None), (0, texts[0])]
+    return spark.createDataFrame([(i, t, 1, "p", 2.0, 3) for i, t in rows], "doc_id long, text string, ids int, part string, start double, n_tokens int"), rows
+
+
+def test_token_files_of_odd_tables(spark, tmp_path):
+    df, rows = odd_documents(spark)
+    token_files.write_tokens(df, str(tmp_path / "t"), block=1000)
+    got = token_files.read_tokens(spark, str(tmp_path / "t")).orderBy("start").collect()
+    bpe = word_bpe(default_path())
+    expected = sorted(((i is not None, i or 0, t is not None, t or ""), bpe.encode(t)) for i, t in rows)
+    assert [r.doc_id for r in got] == [k[1] if k[0] else None for k, _ in expected]
+    assert [bytes(r.ids)[:-4] for r in got] == [x for _, x in expected]
+    assert [r.start for r in got] == [sum(s.n_tokens for s in got[:n]) for n in range(len(got))]
+    token_files.write_tokens(df.limit(0), str(tmp_path / "e"))
+    assert token_files.read_tokens(spark, str(tmp_path / "e")).collect() == []
+
+
+def test_packing_of_odd_tables(spark):
+    df, rows = odd_documents(spark)
+    pieces = packing.pack(df, block=5000).orderBy("sequence_id", "offset").collect()
+    bpe = word_bpe(default_path())
+    expected = sorted(((i is not None, i or 0, t is not None, t or ""), bpe.encode(t) + b"\2\0\0\0") for i, t in rows)
+    assert b"".join(bytes(p.ids) for p in pieces) == b"".join(x for _, x in expected)
+    assert [p.doc_id for p in pieces if p.start == 0] == [k[1] if k[0] else None for k, _ in expected]
+    assert packing.pack(df.limit(0)).collect() == []
+
+
+def test_decontamination_of_odd_tables(spark):
+    df, rows = odd_documents(spark)
+    long = "word " * 59_990 + "one more item that stands here at the end of a very long text with its own words"
+    df = df.union(df.limit(1).selectExpr("cast(null as long)", f"'{long}'", "ids", "part", "start", "n_tokens"))
+    bench = spark.createDataFrame([(5, "alpha beta gamma alpha beta gamma alpha beta gamma", 1), (5, "alpha beta gamma alpha beta gamma alpha beta gamma", 2), (None, "one more item that stands here at the end of a very long text", 3)], "item_id long, text string, similarity int")
+    got = Counter((r.doc_id, r.item_id) for r in decontaminate.contamination(df, bench).collect())
+    assert got == {(0, 5): 4, (5, 5): 2, (None, None): 1}
+    assert Counter((r.doc_id, r.item_id) for r in decontaminate.contamination(df, bench, block_bytes=1).collect()) == got
+    kept = decontaminate.drop_contaminated(df, bench, block_bytes=1)
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "6", "None", "None"])
+    assert decontaminate.contamination(df.limit(0), bench).collect() == [] and decontaminate.drop_contaminated(df, bench.limit(0)).count() == len(rows) + 1
+
+
+def test_substring_and_jaccard_of_odd_tables(spark):
+    df, rows = odd_documents(spark)
+    got = substring.remove_repeats(df).collect()
+    assert len(got) == len(rows) and {r.n_removed for r in got if r.doc_id == 4} == {60_000} and substring.remove_repeats(df.limit(0)).collect() == []
+    links = keyed((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect())
+    assert links == keyed([(0, 3, 0), (0, 3, 0), (5, 3, 0), (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 2, 4), (6, 1, 6), (None, 1, None), (None, 0, None)])
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Each stage's documents, on tables small enough for all pairs."""
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    item = " ".join(word() for _ in range(30))
+    texts = [" ".join(word() for _ in range(rng.randint(20, 80))) for _ in range(40)]
+    texts += [f"{t} mail bob{i}@corp.example.net now" for i, t in enumerate(texts[:6])]  # near copies with an address
+    texts += [texts[10], f"{word()} {word()} {item} {word()}", "you are an idiot and a moron, you worthless scum", None, "", "mail ann@corp.example.net"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    documents = spark.createDataFrame([*rows, (None, "no id", "en", "s", 5), rows[3]], "doc_id long, text string, lang string, source string, n_chars long")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "pii", "packing"]
+    shingles = lambda t: {tuple(w[i : i + 5]) for w in [WORD.findall((t or "").lower())] for i in range(max(1, len(w) - 4)) if w}
+    docs, before = spark.read.parquet(f"{tmp_path}/documents.parquet"), None
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{n}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/{n}")
+        ids = sorted(str(r.doc_id) for r in docs.collect()) if name != "packing" else None
+        old = before.collect()
+        if name == "toxicity":
+            model = toxicity.Model()
+            assert ids == sorted(str(r.doc_id) for r in old if model.score(model.counts(r.text)) < 0.7) and "48" not in ids and len(ids) == len(old) - 1
+        elif name == "near_duplicates":
+            sets = [(r.doc_id, shingles(r.text)) for r in old]
+            component = list(range(len(old)))
+            for a in range(len(old)):
+                for b in range(a):
+                    x, y = sets[a][1], sets[b][1]
+                    if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                        low, high = sorted((component[a], component[b]))
+                        component = [low if c == high else c for c in component]
+            least = {c: min((sets[i][0] for i in range(len(old)) if component[i] == c and sets[i][0] is not None), default=None) for c in set(component)}
+            assert ids == sorted(str(i) for (i, s), c in zip(sets, component, strict=True) if i is None or i == least[c]) and len(ids) < len(old) - 5
+        elif name == "decontamination":
+            assert ids == sorted(str(r.doc_id) for r in old if item not in (r.text or "")) and len(ids) == len(old) - 1
+        elif name == "pii":
+            new = {(r.doc_id, r.lang): r for r in docs.collect()}
+            assert docs.columns == before.columns and len(ids) == len(old) and all(r.n_chars == len(r.text) for r in new.values() if r.text)
+            assert all("ann@" not in (r.text or "") for r in new.values()) and any("@corp.example.net" in (r.text or "") or "@" in (r.text or "") for r in new.values())
+        else:
+            bpe = word_bpe(default_path())
+            pieces = docs.orderBy("sequence_id", "offset").collect()
+            expected = sorted(((r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""), bpe.encode(r.text) + b"\2\0\0\0") for r in old)
+            assert b"".join(bytes(p.ids) for p in pieces) == b"".join(x for _, x in expected)
+    rerun = corpus_pipeline.run(spark, str(tmp_path)).orderBy("sequence_id", "offset")
+    columns = ["doc_id", "start", "length", "ids", "sequence_id", "offset"]
+    assert rerun.select(*columns).collect() == docs.orderBy("sequence_id", "offset").select(*columns).collect()
