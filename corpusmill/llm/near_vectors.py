@@ -3,7 +3,8 @@
 Equal vectors of a label become one node with a count.  Each of `tables` hash functions turns a vector three times by
 random signs and a Hadamard transform and takes the signed coordinate of largest size, `depth` such values side by side
 (more for more rows).  A vector stands in its own bucket and visits the buckets that lose least.  Buckets of more than
-`block` vectors are dealt out as pairs of blocks, so no task holds more than two blocks, and none is capped.
+`block` vectors are dealt out as pairs of blocks, so no task holds more than two blocks, and none is capped.  Signatures are
+written once a vector; a visit carries the vector as wide as it came and the signature in as few bytes as its codes need.
 
 Candidates are verified by cosine in double precision.  No pair leaves its task: a pair counts in the first table and
 bucket in which it meets, which both signatures show, so tasks return link counts and the edges of a spanning forest."""
@@ -19,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import partitions, written
-from corpusmill.llm.components import components
+from corpusmill.operators.graph import components
 
-VISITS = "t int, label long, dim int, bucket long, own boolean, rid long, mult long, unit binary, sig binary"
+HASHED = "label long, dim int, rid long, mult long, vector binary, sig binary, buckets array<long>"
 FOUND = "rid long, n long, root long"
 
 
@@ -62,7 +63,21 @@ def probes_of(units: np.ndarray, table: int, depth: int, probes: int, seed: int)
     return np.concatenate([own[:, None], np.take_along_axis(others, cheap, 1)], axis=1)
 
 
-def visits(tables: int, depth: int, probes: int, seed: int):
+def units_of(raw: list[bytes], dim: int) -> np.ndarray:
+    """Unit vectors in double precision; raw: little-endian floats of 4 or 8 bytes."""
+    x = np.frombuffer(b"".join(raw), f"<f{len(raw[0]) // dim}").reshape(-1, dim).astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def code_type(dim: int, depth: int) -> np.dtype:
+    """The narrowest type that holds bucket numbers."""
+    return np.min_scalar_type((2 << max(1, (dim - 1).bit_length())) ** depth)
+
+
+def hashed(tables: int, depth: int, probes: int, seed: int, width: int):
+    """width: bytes of a component as it is sent on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rid, mult, label, vectors = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3)
@@ -71,22 +86,14 @@ def visits(tables: int, depth: int, probes: int, seed: int):
             dims = np.diff(np.r_[0, ends])
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
-                x = np.stack([flat[ends[i] - d : ends[i]] for i in at.tolist()]).astype(np.float64)
-                x /= np.abs(x).max(1, keepdims=True)
-                units = x / np.linalg.norm(x, axis=1, keepdims=True)
+                raw = [flat[ends[i] - d : ends[i]].astype(f"<f{width}").tobytes() for i in at.tolist()]
+                units = units_of(raw, d)
                 sig = np.stack([probes_of(units, t, depth, probes, seed) for t in range(tables)], 1)
-                p = sig.shape[2]
-                n = len(at) * tables * p
-                which = np.repeat(np.arange(len(at)), tables * p)
-                raw, sigs = [u.tobytes() for u in units], [s.tobytes() for s in sig]
-                cols = [
-                    pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), p), len(at))),
-                    pa.array(label[at][which]), pa.array(np.full(n, d, np.int32)), pa.array(sig.reshape(-1)),
-                    pa.array(np.tile(np.arange(p) == 0, len(at) * tables)),
-                    pa.array(rid[at][which]), pa.array(mult[at][which]),
-                    pa.array([raw[i] for i in which.tolist()], pa.binary()), pa.array([sigs[i] for i in which.tolist()], pa.binary()),
-                ]
-                yield pa.record_batch(cols, names=[c.split()[0] for c in VISITS.split(", ")])
+                sigs = [x.tobytes() for x in sig.astype(code_type(d, depth))]
+                per = sig.shape[1] * sig.shape[2]
+                buckets = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * per, pa.int32()), pa.array(sig.reshape(-1)))
+                cols = [pa.array(label[at]), pa.array(np.full(len(at), d, np.int32)), pa.array(rid[at]), pa.array(mult[at]), pa.array(raw, pa.binary()), pa.array(sigs, pa.binary()), buckets]
+                yield pa.record_batch(cols, names=[c.split()[0] for c in HASHED.split(", ")])
 
     return run
 
@@ -113,13 +120,13 @@ def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         label = new
 
 
-def verify(threshold: float, tables: int):
+def verify(threshold: float, tables: int, depth: int):
     def group(key: tuple, rows: list[tuple]) -> pa.RecordBatch | None:
         t, bucket, i, j = key[0], key[3], key[4], key[5]
         own = np.array([r[0] for r in rows])
         rid, mult = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-        units = np.frombuffer(b"".join([r[3] for r in rows])).reshape(len(rows), -1)
-        sig = np.frombuffer(b"".join([r[4] for r in rows]), np.int64).reshape(len(rows), tables, -1)
+        units = units_of([r[3] for r in rows], key[2])
+        sig = np.frombuffer(b"".join([r[4] for r in rows]), code_type(key[2], depth)).reshape(len(rows), tables, -1)
         salt = np.array([r[5] for r in rows])
         us, vs = [], []
         for a in range(0, len(rows), 1024):
@@ -163,7 +170,7 @@ def verify(threshold: float, tables: int):
 
 
 def near_vectors(
-    vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, tables: int | None = None, depth: int | None = None, probes: int = 3, block: int = 2048, seed: int = 42
+    vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, tables: int | None = None, depth: int | None = None, probes: int = 3, block: int = 2048, seed: int = 42, most_broadcast: int = 100_000
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept per row of vectors.
 
@@ -182,16 +189,20 @@ def near_vectors(
     total, wide = nodes.agg(F.count("*"), F.max(F.size("v"))).first()
     depth = depth or max(1, round(math.log(max(total, 1) / 1000) / math.log(2 * (wide or 2)))) if total else 1
     tables = tables or 6 * depth
-    visited = written(nodes.select("rid", "mult", "label", "v").mapInArrow(visits(tables, depth, probes, seed), VISITS), "visits")
+    width = 4 if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else 8
+    known = written(nodes.select("rid", "mult", "label", "v").mapInArrow(hashed(tables, depth, probes, seed, width), HASHED), "signatures")
+    per = F.col("size") / tables
+    visited = known.select("*", F.size("buckets").alias("size"), F.posexplode("buckets").alias("j", "bucket")).withColumns({"t": F.floor(F.col("j") / per).cast("int"), "own": F.col("j") % per == 0}).drop("buckets", "size", "j")
     keys = ["t", "label", "dim", "bucket"]
-    sizes = visited.groupBy(*keys).agg(F.count("*").alias("size")).filter("size > 1").withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).drop("size")
-    salted = visited.join(sizes, keys).withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    large = visited.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1").checkpoint()
+    large = F.broadcast(large) if large.count() <= most_broadcast else large
+    salted = visited.join(large, keys, "left").fillna(1, ["blocks"]).withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
-    dealt = salted.select("*", other).select(*keys, F.least("salt", "o").alias("i"), F.greatest("salt", "o").alias("j"), "own", "rid", "mult", "unit", "sig", "salt")
+    dealt = salted.select("*", other).select(*keys, F.least("salt", "o").alias("i"), F.greatest("salt", "o").alias("j"), "own", "rid", "mult", "vector", "sig", "salt")
     keys += ["i", "j"]
-    found = written(dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(verify(threshold, tables), FOUND), "links")
+    found = written(dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(verify(threshold, tables, depth), FOUND), "links")
     counts = found.groupBy("rid").agg(F.sum("n").alias("linked"))
-    roots = components(found.select(F.col("rid").alias("u"), F.col("root").alias("v"))).select(F.col("u").alias("rid"), "root")
+    roots = components(found.select(F.col("rid").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("rid"), "root")
     full = nodes.select("rid", "mult", "least").join(counts, "rid", "left").join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     least = full.groupBy("root").agg(F.min("least").alias("component_id"))
     out = full.join(least, "root").select("rid", (F.coalesce("linked", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
