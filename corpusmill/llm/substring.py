@@ -10,7 +10,8 @@ alone, so a passage that repeats is cut into the same pieces wherever it stands,
    distinct pieces, the path branches: its pieces open into single edges, which are counted;
 4. the source coordinates (document, word position) of all repeated edges become spans, laid over the words again.
 
-Minimizer and content hash make a key of 128 bits.  About one row for fifteen words is shuffled; texts are, once."""
+Minimizer and content hash make a key of 128 bits, by which edges are told apart.  About one row for fifteen words is
+shuffled, and texts twice: those with open pieces, and all of them with their spans."""
 
 from __future__ import annotations
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD, WordHashes, documents, mix, small_batches, written
+from corpusmill.llm.common import WORD, WordHashes, cache, claim, documents, mix, small_batches, written
 
 PIECES = "mh long, sk long, k1 long, k2 long, at long"
 EDGES = "mh long, wh long, k1 long, k2 long, pos long"
@@ -32,6 +33,7 @@ _INDEX_BITS = 28
 
 _powers: list[np.ndarray] = []
 _hashes = WordHashes(9)
+cache("substring", _hashes.clear)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,6 +91,7 @@ def pieces_of(words: np.ndarray, ends: np.ndarray, window: int, m: int) -> tuple
 
 def emit_pieces(window: int, m: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for batch in batches:
             found = [WORD.findall(t) if t else [] for t in batch.column(2).to_pylist()]
             ends = np.cumsum([len(x) for x in found])
@@ -159,12 +162,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     compact = pieces.groupBy("mh", "sk").agg(F.count("*").alias("n"))
     branches = compact.groupBy("mh").agg(F.count("*").alias("paths")).filter("paths > 1").select("mh", F.lit(True).alias("branch"))
     marked = compact.join(branches, "mh", "left").filter("n > 1 or branch").select("mh", "sk", (F.col("n") > 1).alias("twice"), F.coalesce("branch", F.lit(False)).alias("branch"))
+    # written, so that what it is joined with can be split where a key is hot
+    marked = written(marked, "paths")
     found = written(pieces.join(marked, ["mh", "sk"]).select("k1", "k2", "at", "mh", "twice", "branch"), "found")
     open_ = found.filter("branch").groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "mh")).alias("listed"))
     # counts come from all rows: repeated rows share k1 and k2 and are one row in open_
     copies = keyed.select("k1", "k2", "text")
     edges = written(copies.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "listed").mapInArrow(emit_edges(window), EDGES), "edges")
-    repeated = edges.groupBy("mh", "wh").agg(F.count("*").alias("n")).filter("n > 1").select("mh", "wh")
+    repeated = written(edges.groupBy("mh", "wh").agg(F.count("*").alias("n")).filter("n > 1").select("mh", "wh"), "repeated")
     single = edges.join(repeated, ["mh", "wh"]).groupBy("k1", "k2").agg(F.collect_set("pos").alias("edges"))
     whole = found.filter("twice").groupBy("k1", "k2").agg(F.collect_set("at").alias("pieces"))
     spans = whole.join(single, ["k1", "k2"], "full")
