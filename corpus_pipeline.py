@@ -73,7 +73,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.documents(spark, sf_dir)
+    """Each stage is written before the next reads it; then the table before it goes."""
+    docs, before = common.documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            common.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
