@@ -70,6 +70,7 @@ class Lexicon:
             self.ends[self._add(word)].append(i)
         self._reset()
         self.words: dict[str, int] = {}
+        self.before: dict[str, int] = {}
 
     def _add(self, word: str) -> int:
         node = 0
@@ -152,17 +153,21 @@ class Lexicon:
 
     def of(self, token: str) -> int:
         if (k := self.words.get(token)) is None:
-            if len(self.words) > self.most_words:
-                self.words.clear()
-            k = self.kind(token)
-            if not k and token not in self.usual:
-                # other ways to write an insult: signs for letters, repeated letters
-                others = {token.rstrip("@$_").translate(LEET) if any(c.isalpha() for c in token) else "", _RUN.sub(r"\1", token)} - {token, ""}
-                if others and any(self.kind(x) in (INSULT, NEAR_INSULT) for x in others):
-                    k = NEAR_INSULT
+            if (k := self.before.get(token)) is None:
+                k = self.kind(token) or self.other_ways(token)
+            if len(self.words) > self.most_words // 2:  # frequent words come over from the half before
+                self.before, self.words = self.words, {}
             self.words[token] = k
         return k
 
+    def other_ways(self, token: str) -> int:
+        """NEAR_INSULT for an insult with signs for letters or repeated letters, else 0."""
+        if token in self.usual:
+            return 0
+        if not token.isalpha() and any(c.isalpha() for c in token) and (plain := token.rstrip("@$_").translate(LEET)) != token and self.kind(plain) in (INSULT, NEAR_INSULT):
+            return NEAR_INSULT
+        return NEAR_INSULT if _RUN.search(token) and self.kind(_RUN.sub(r"\1", token)) in (INSULT, NEAR_INSULT) else 0
+
 
 #: Place of a plain hit of each kind among the counts; the quoted one is next to it.
 _PLACE = {INSULT: 0, NEAR_INSULT: 2, STEM: 4, NEAR_STEM: 4}
@@ -190,7 +195,8 @@ class Model:
         of = self.lexicon.of
         tokens = _TOKEN.findall(low)
         n[8] = len(tokens)
-        hits = [(i, k) for i, k in enumerate(map(of, tokens)) if k]
+        kinds = {w: k for w in set(tokens) if (k := of(w))}
+        hits = [(i, kinds[w]) for i, w in enumerate(tokens) if w in kinds] if kinds else []
         n[7] = sum(k == OFTEN for _, k in hits)
         if n[7] == len(hits):
             return n
