@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import claim, documents, id_text, mix, partitions, small_batches, word_hashes, written
 from corpusmill.operators.graph import components
 
-CELL_BITS = 20  # of the sketch: 2**20 counters whatever the input's size
+CELL_BITS = 20, 24  # of the sketch: 2**20 counters, more from four million documents on
 CHUNKS = 16
 BITMAP = 128  # bytes
 FIRST = "doc_id long, n long, s long, bits array<long>, chunk int, payload binary"
 INDEX = "token long, s long, need int"
 SHARED = "token long, s long, need int, least long"
-BLOOM_BITS = 23
+BLOOM_BITS = 20, 27  # about ten for each key
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 def shingle_sets(texts: list[str | None], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -92,15 +92,20 @@ def bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[list[int]]:
     return out
 
 
-def first_pass(k: int):
+def sketch_bits(docs: int) -> int:
+    """Four counters for each document, within CELL_BITS."""
+    return min(CELL_BITS[1], max(CELL_BITS[0], (4 * docs).bit_length()))
+
+
+def first_pass(k: int, cell_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard")
-        counts = np.zeros(1 << CELL_BITS, np.int64)
+        counts = np.zeros(1 << cell_bits, np.int64)
         names = [c.split()[0] for c in FIRST.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
         for batch in batches:
             sets, ends = shingle_sets(batch.column(1).to_pylist(), k)
-            counts += np.bincount((sets >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
+            counts += np.bincount((sets >> np.uint64(64 - cell_bits)).astype(np.int64), minlength=len(counts))
             none = [None] * len(ends)
             cols = [batch.column(0), np.diff(np.r_[0, ends]), signatures(sets, ends), bitmaps(sets, ends), none, none]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
@@ -122,10 +127,10 @@ def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(x.astype("<i8").tobytes(), 1) for x in sums.values()], pa.binary())], names=["chunk", "payload"])
 
 
-def sketch(first: DataFrame) -> np.ndarray:
-    """Documents counted per cell: 2**CELL_BITS numbers, whatever the input."""
+def sketch(first: DataFrame, cell_bits: int) -> np.ndarray:
+    """Documents counted per cell."""
     rows = first.filter("chunk is not null").select("chunk", "payload").repartition(CHUNKS, "chunk").mapInArrow(added_up, "chunk int, payload binary").collect()
-    out = np.zeros((CHUNKS, (1 << CELL_BITS) // CHUNKS), np.int64)
+    out = np.zeros((CHUNKS, (1 << cell_bits) // CHUNKS), np.int64)
     for r in rows:
         out[r.chunk] += np.frombuffer(zlib.decompress(bytes(r.payload)), "<i8")
     return out.reshape(-1)
@@ -155,13 +160,13 @@ def prefix(shingles: np.ndarray, level: np.ndarray, cost: np.ndarray, percent: i
     return shingles[order[: base + need]], need
 
 
-def index(ranks, k: int, percent: int, most: int):
+def index(ranks, k: int, percent: int, most: int, cell_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard")
         level, cost = ranks.value
         for batch in batches:
             sets, ends = shingle_sets(batch.column(1).to_pylist(), k)
-            marks = level[(sets >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+            marks = level[(sets >> np.uint64(64 - cell_bits)).astype(np.int64)]
             seen: dict[int, tuple[np.ndarray, int]] = {}
             begin = 0
             for s, end in zip(signatures(sets, ends).tolist(), ends.tolist(), strict=True):
@@ -213,25 +218,40 @@ def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(x.astype(np.int32 if i == 2 else np.int64)) for i, x in enumerate(out)], names=[c.split()[0] for c in SHARED.split(", ")])
 
 
-def cells(ids: np.ndarray) -> np.ndarray:
-    """Three cells of the filter for each id."""
-    x = mix(ids.astype(np.int64).view(np.uint64))
-    return np.stack([(x >> np.uint64(i * 21)) & np.uint64((1 << BLOOM_BITS) - 1) for i in range(3)]).astype(np.int64)
+class Bloom:
+    """A Bloom filter of integers, packed."""
 
+    def __init__(self, size: int) -> None:
+        self.size = min(BLOOM_BITS[1], max(BLOOM_BITS[0], (10 * size).bit_length()))
+        self.bits = np.zeros(1 << (self.size - 3), np.uint8)
 
-def filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(1 << BLOOM_BITS, bool)
-    for batch in batches:
-        bits[cells(batch.column(0).to_numpy()).reshape(-1)] = True
-    yield pa.record_batch([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
+    def cells(self, ids: np.ndarray) -> np.ndarray:
+        """Three cells for each id."""
+        x = mix(ids.astype(np.int64).view(np.uint64))
+        y = mix(x + np.uint64(1)) | np.uint64(1)
+        with np.errstate(over="ignore"):
+            return np.stack([(x + np.uint64(i) * y) >> np.uint64(64 - self.size) for i in range(3)]).astype(np.int64)
 
+    def has(self, ids: np.ndarray) -> np.ndarray:
+        at = self.cells(ids)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(0)
 
-def bloom(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter of keys: 2**BLOOM_BITS bits, however many there are."""
-    out = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
-    for r in keys.coalesce(8).mapInArrow(filter_bits, "bits binary").toLocalIterator():
-        out |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
-    return np.unpackbits(out).astype(bool)
+    def packed(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's part of the filter."""
+        bits = np.zeros(1 << self.size, bool)
+        for batch in batches:
+            bits[self.cells(batch.column(0).to_numpy()).reshape(-1)] = True
+        yield pa.record_batch([pa.array([zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)], pa.binary())], names=["bits"])
+
+
+def bloom(keys: DataFrame) -> Bloom:
+    """A filter of one column of integers: about ten bits for each, up to 2**27 bits, beyond which more others pass it."""
+    keys = keys.checkpoint()
+    out, empty = Bloom(keys.count()), Bloom(0)
+    empty.size = out.size
+    for r in keys.coalesce(8).mapInArrow(empty.packed, "bits binary").toLocalIterator():
+        out.bits |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
+    return out
 
 
 def texts_of(wanted, k: int):
@@ -240,7 +260,7 @@ def texts_of(wanted, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard")
         for batch in batches:
-            batch = batch.filter(pa.array(wanted.value[cells(batch.column(0).to_numpy())].all(0)))
+            batch = batch.filter(pa.array(wanted.value.has(batch.column(0).to_numpy())))
             yield pa.record_batch([pa.array(signatures(*shingle_sets(batch.column(1).to_pylist(), k))), batch.column(1)], names=["s", "text"])
 
     return run
@@ -283,14 +303,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     small_batches(spark)
     docs = id_text(docs, id_col, text_col)
-    first = written(docs.mapInArrow(first_pass(k), FIRST), "sets")
+    bits = sketch_bits(docs.count())
+    first = written(docs.mapInArrow(first_pass(k, bits), FIRST), "sets")
     rows = first.filter("chunk is null").select("doc_id", "n", "s")
-    counts = sketch(first)
+    counts = sketch(first, bits)
     level = levels(counts)
     usual = float(np.median(counts))
     cost = np.maximum(1.0, 2 ** (np.arange(256) / 6) - 2 * usual)
     ranks = spark.sparkContext.broadcast((level, cost))
-    postings = docs.mapInArrow(index(ranks, k, percent, most), INDEX)
+    postings = docs.mapInArrow(index(ranks, k, percent, most, bits), INDEX)
     shared = postings.repartition(partitions(spark), "token").sortWithinPartitions("token", "s").mapInArrow(shared_only, SHARED)
     shared = written(shared, "postings")
     no_id = F.lit(-(1 << 63))
