@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import claim, documents, id_text, mix, partitions, small_batches, word_hashes, written
+from corpusmill.llm.common import claim, documents, drop, id_text, mix, partitions, small_batches, word_hashes, written
 from corpusmill.operators.graph import components
 
 CELL_BITS = 20, 24  # of the sketch: 2**20 counters, more from four million documents on
@@ -292,7 +292,7 @@ def linked(k: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, most: int = 4, contractions: int = 3, partners: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, most: int = 4, contractions: int = 3, partners: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id per row of docs.
 
     Links: 100 * |intersection| >= percent * |union| of the sets of k-word shingles (a text of fewer words is one shingle).
@@ -323,13 +323,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return pairs.select("a", "b").join(a, "a").join(b, "b").filter(possible(percent)).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs that link, written; pairs: (a, b), written too.  Of each pair one text is shuffled, next to one of each set."""
         # texts of the pairs' sets, found by the id of one row of each; the filter keeps other texts out of the shuffle
         ends = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s"))).distinct()
         keys = sets.join(ends, "s").select("key")
         texts = docs.select(F.coalesce("doc_id", no_id).alias("key"), "text").mapInArrow(texts_of(spark.sparkContext.broadcast(bloom(keys)), k), "s long, text string")
         texts = written(texts.join(ends, "s").dropDuplicates(["s"]), "texts")
         a, b = (texts.select(F.col("s").alias(x), F.col("text").alias("text" + x)) for x in "ab")
-        return pairs.join(b, "b").join(a, "a").select("a", "b", "texta", "textb").mapInArrow(linked(k, percent), "u long, v long")
+        out = written(pairs.join(b, "b").join(a, "a").select("a", "b", "texta", "textb").mapInArrow(linked(k, percent), "u long, v long"), "links")
+        drop(texts)
+        return out
 
     def by_component(roots: DataFrame | None, turn: int = 0) -> tuple[DataFrame, DataFrame]:
         """Postings with their component, and the lists that hold several with a set that leads them, another for each list and turn."""
@@ -347,7 +350,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         pick = pick.select(F.least("s", "lead").alias("a"), F.greatest("s", "lead").alias("b")).distinct()
         pick = bounded(pick if tried is None else pick.join(tried, ["a", "b"], "left_anti")).checkpoint()
         tried = pick if tried is None else tried.union(pick)
-        found = written(verified(pick), "links")
+        found = verified(pick)
         links = found if links is None else links.union(found)
         roots = components(links).withColumnRenamed("node", "s")
         if 50 * found.count() <= pick.count():
