@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from corpusmill.llm import common, decontaminate, jaccard, packing, pii, toxicity
 
 
+MOST_BROADCAST = 1_000_000
+
+
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose score is 0.7 or more."""
     model = toxicity.fit(docs, toxicity.train_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -24,23 +27,27 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the least doc_id of each group of near duplicates.
 
-    Rows of one id are kept or dropped together; rows with a null id stay.
-    Documents that a filter of bounded size clears stay where they are; only the others are shuffled."""
+    Rows of one id are kept or dropped together; rows with a null id stay.  Documents that a filter of the dropped ids clears
+    stay where they are.  Of the others the ids are looked up; what the filter held wrongly, a document in a hundred, is
+    brought back by a join with their ids, which are broadcast up to MOST_BROADCAST of them."""
     found = common.written(jaccard.near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct(), "copies")
     wanted = spark.sparkContext.broadcast(jaccard.bloom(found))
-    place, schema = docs.columns.index("doc_id"), docs.schema
 
-    def part(hit: bool):
+    def part(hit: bool, place: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids = batch.column(place).fill_null(-(1 << 63)).to_numpy()
-                yield batch.filter(pa.array(wanted.value.has(ids) == hit))
+                ids = batch.column(place)
+                held = wanted.value.has(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(held == hit))
 
         return run
 
-    clear = docs.mapInArrow(part(False), schema)
-    rest = docs.mapInArrow(part(True), schema).join(found, "doc_id", "left_anti").select(*docs.columns)
-    return clear.union(rest)
+    place = docs.columns.index("doc_id")
+    ids = docs.select(F.col("doc_id").cast("long"))
+    back = ids.mapInArrow(part(True, 0), ids.schema).distinct().join(found, "doc_id", "left_anti").checkpoint()
+    back = F.broadcast(back) if back.count() <= MOST_BROADCAST else back
+    rest = docs.mapInArrow(part(True, place), docs.schema).join(back, "doc_id", "left_semi").select(*docs.columns)
+    return docs.mapInArrow(part(False, place), docs.schema).union(rest)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
