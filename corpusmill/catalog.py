@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import clean, compare, crawl, dedup, jobs, metrics, registry, semantic  # noqa: F401  (they register)
+from corpusmill.plans import clean, compare, crawl, dedup, files, jobs, metrics, registry, semantic  # noqa: F401  (they register)
 
 
 def queries() -> dict:

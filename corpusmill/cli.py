@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpusmill import config as C
 from corpusmill import logs
 from corpusmill.operators import compare, crawl, dedup, process, semantic
-from corpusmill.operators.graph import cut
+from corpusmill.scratch import cut
 from corpusmill.sources import files
 
 logger = logging.getLogger("corpusmill.cli")

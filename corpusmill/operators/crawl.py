@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
-from corpusmill.operators.graph import cut
+from corpusmill.scratch import cut
 
 # fixed values
 EXCLUDE = [

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import text as T
-from corpusmill.operators.graph import components, cut
+from corpusmill.operators.graph import components
+from corpusmill.scratch import cut
 
 
 #: A text of more rows than this is common; there is at most one for so many rows of the corpus, so all of them are broadcast.

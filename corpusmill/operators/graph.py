@@ -2,30 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by checkpoint() in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.  Where it is unset, a local session gets a
-    temporary one; on a cluster that is an error, as executors could not read each other's files."""
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not path:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        path = tempfile.mkdtemp(prefix="corpusmill-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
+from corpusmill.scratch import cut, shared_dir  # noqa: F401
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.functions import text as T
-from corpusmill.operators.graph import cut
+from corpusmill.scratch import cut
 
 # fixed values
 SPANISH_STOPWORDS = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as T
 from corpusmill.operators import crawl, dedup, markup
 from corpusmill.operators.clean import clean
-from corpusmill.operators.graph import cut
+from corpusmill.scratch import cut
 from corpusmill.operators.semantic import EmbeddingProvider, TokenHashes, semantic_from_text
 
 

@@ -59,7 +59,7 @@ def next_jobs(jobs: DataFrame, n: int) -> DataFrame:
 
 
 def finished_jobs(jobs: DataFrame) -> DataFrame:
-    return jobs.filter("finished_at is not null").orderBy("finished_at", "created_at")
+    return jobs.filter("finished_at is not null").orderBy("finished_at", "created_at", "id")
 
 
 def status_counts(jobs: DataFrame, mode: str = "single_urls") -> DataFrame:

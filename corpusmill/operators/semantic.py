@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.operators import dedup as D
-from corpusmill.operators.graph import cut
+from corpusmill.scratch import cut
 
 
 class EmbeddingProvider(Protocol):
