@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,53 +13,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.operators.graph import shared_dir
+from corpusmill.scratch import drop, new_path, shared_dir, written  # noqa: F401  (used by the operators)
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Lower-casing touches A-Z only.
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
-_tables: list[tuple[SparkSession, str]] = []
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    path = f"{shared_dir(spark)}/corpusmill-{tag}-{uuid.uuid4().hex}"
-    _tables.append((spark, path))
-    return path
-
-
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder and read it again.  A lost executor loses none of it."""
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_at = path
-    return out
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def drop(df: DataFrame) -> None:
-    """Remove a table of written() that nothing reads any more."""
-    here = (df.sparkSession, df.written_at)
-    if here in _tables:
-        _tables.remove(here)
-        remove(*here)
-
-
-@atexit.register
-def drop_tables() -> None:
-    """Remove what written() left; called when the driver ends."""
-    while _tables:
-        remove(*_tables.pop())
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of an Arrow batch by bytes, where texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
