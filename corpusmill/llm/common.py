@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.scratch import drop, new_path, shared_dir, written  # noqa: F401  (used by the operators)
+from corpusmill.sources.tables import read_table
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Lower-casing touches A-Z only.
-ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+
 
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of an Arrow batch by bytes, where texts can be long."""
@@ -32,24 +32,24 @@ def partitions(spark: SparkSession) -> int:
 _caches: dict[str, Callable[[], None]] = {}
 
 
-def cache(owner: str, drop: Callable[[], None]) -> None:
-    """Register how to drop what an operator keeps in a Python worker between its tasks."""
-    _caches[owner] = drop
+def cache(owner: str, clear: Callable[[], None]) -> None:
+    """Register how to clear what an operator keeps in a Python worker between its tasks."""
+    _caches[owner] = clear
 
 
 def claim(owner: str) -> None:
     """At the start of a task: other operators' caches go, and freed memory goes back to the system, as workers serve one
     operator after another and an executor's memory holds all of its workers."""
-    for name, drop in _caches.items():
+    for name, clear in _caches.items():
         if name != owner:
-            drop()
+            clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(AttributeError, OSError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_table(spark, f"{sf_dir}/documents.parquet")
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,14 +150,3 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
         if m < k:
             h = mix(h + np.uint64(m))
     return h
-
-
-def batches_of(it: Iterator, rows: int) -> Iterator[list]:
-    out = []
-    for x in it:
-        out.append(x)
-        if len(out) >= rows:
-            yield out
-            out = []
-    if out:
-        yield out
