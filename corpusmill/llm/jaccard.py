@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.bloom import bloom
 from corpusmill.llm.common import claim, documents, drop, id_text, mix, partitions, small_batches, word_hashes, written
 from corpusmill.operators.graph import components
 
@@ -36,7 +37,6 @@ BITMAP = 128  # bytes
 FIRST = "doc_id long, n long, s long, bits array<long>, chunk int, payload binary"
 INDEX = "token long, s long, need int"
 SHARED = "token long, s long, need int, least long"
-BLOOM_BITS = 20, 27  # about ten for each key
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 def shingle_sets(texts: list[str | None], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -218,42 +218,6 @@ def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(x.astype(np.int32 if i == 2 else np.int64)) for i, x in enumerate(out)], names=[c.split()[0] for c in SHARED.split(", ")])
 
 
-class Bloom:
-    """A Bloom filter of integers, packed."""
-
-    def __init__(self, size: int) -> None:
-        self.size = min(BLOOM_BITS[1], max(BLOOM_BITS[0], (10 * size).bit_length()))
-        self.bits = np.zeros(1 << (self.size - 3), np.uint8)
-
-    def cells(self, ids: np.ndarray) -> np.ndarray:
-        """Three cells for each id."""
-        x = mix(ids.astype(np.int64).view(np.uint64))
-        y = mix(x + np.uint64(1)) | np.uint64(1)
-        with np.errstate(over="ignore"):
-            return np.stack([(x + np.uint64(i) * y) >> np.uint64(64 - self.size) for i in range(3)]).astype(np.int64)
-
-    def has(self, ids: np.ndarray) -> np.ndarray:
-        at = self.cells(ids)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(0)
-
-    def packed(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A task's part of the filter."""
-        bits = np.zeros(1 << self.size, bool)
-        for batch in batches:
-            bits[self.cells(batch.column(0).to_numpy()).reshape(-1)] = True
-        yield pa.record_batch([pa.array([zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)], pa.binary())], names=["bits"])
-
-
-def bloom(keys: DataFrame) -> Bloom:
-    """A filter of one column of integers: about ten bits for each, up to 2**27 bits, beyond which more others pass it."""
-    keys = keys.checkpoint()
-    out, empty = Bloom(keys.count()), Bloom(0)
-    empty.size = out.size
-    for r in keys.coalesce(8).mapInArrow(empty.packed, "bits binary").toLocalIterator():
-        out.bits |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
-    return out
-
-
 def texts_of(wanted, k: int):
     """s, text of the rows whose key may be wanted."""
 

@@ -11,19 +11,20 @@ alone, so a passage that repeats is cut into the same pieces wherever it stands,
 4. the source coordinates (document, word position) of all repeated edges become spans, laid over the words again.
 
 Minimizer and content hash make a key of 128 bits, by which edges are told apart.  About one row for fifteen words is
-shuffled, and texts twice: those with open pieces, and all of them with their spans."""
+shuffled, and of the texts those with open pieces and those that lose words; a filter clears the others."""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD, WordHashes, cache, claim, documents, mix, small_batches, written
+from corpusmill.llm.bloom import bloom
+from corpusmill.llm.common import WORD, WordHashes, cache, claim, documents, drop, mix, small_batches, written
 
 PIECES = "mh long, sk long, k1 long, k2 long, at long"
 EDGES = "mh long, wh long, k1 long, k2 long, pos long"
@@ -120,30 +121,56 @@ def emit_edges(window: int):
     return run
 
 
+def laid_out(rows: Iterable[tuple[int | None, str | None, list[int] | None, list[int] | None]], window: int, with_text: bool) -> pa.RecordBatch:
+    """RESULT of rows (doc_id, text, pieces, edges) that are repeated."""
+    out = []
+    for doc_id, text, pieces, edges in rows:
+        words = WORD.findall(text) if text else []
+        if pieces or edges:
+            steps = np.zeros(len(words) + 1, np.int64)
+            if pieces:
+                at = np.array(pieces, np.int64)
+                np.add.at(steps, at >> 6, 1)
+                np.add.at(steps, (at >> 6) + (at & 63) + window - 1, -1)
+            if edges:
+                pos = np.array(edges, np.int64)
+                np.add.at(steps, pos, 1)
+                np.add.at(steps, pos + window, -1)
+            keep = np.cumsum(steps[:-1]) == 0
+            kept = " ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k])
+            removed = len(words) - int(keep.sum())
+        else:
+            kept, removed = " ".join(words), 0
+        out.append((doc_id, len(words), removed, hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest(), kept if with_text else None))
+    cols = list(zip(*out, strict=True)) or [[]] * 5
+    return pa.record_batch([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.string()] * 2, strict=True)], names=[c.split()[0] for c in RESULT.split(", ")])
+
+
 def lay_out(window: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc_id, text, pieces, edges in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                words = WORD.findall(text) if text else []
-                if pieces or edges:
-                    steps = np.zeros(len(words) + 1, np.int64)
-                    if pieces:
-                        at = np.array(pieces, np.int64)
-                        np.add.at(steps, at >> 6, 1)
-                        np.add.at(steps, (at >> 6) + (at & 63) + window - 1, -1)
-                    if edges:
-                        pos = np.array(edges, np.int64)
-                        np.add.at(steps, pos, 1)
-                        np.add.at(steps, pos + window, -1)
-                    keep = np.cumsum(steps[:-1]) == 0
-                    kept = " ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k])
-                    removed = len(words) - int(keep.sum())
-                else:
-                    kept, removed = " ".join(words), 0
-                rows.append((doc_id, len(words), removed, hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest(), kept if with_text else None))
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.string()] * 2, strict=True)], names=[c.split()[0] for c in RESULT.split(", ")])
+            yield laid_out(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True), window, with_text)
+
+    return run
+
+
+def lay_out_clear(wanted, window: int, with_text: bool):
+    """RESULT of the rows (doc_id, text, k1, k2, doc) that the filter clears: they lose nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(~wanted.value.has(batch.column(4).to_numpy())))
+            yield laid_out(((d, t, None, None) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)), window, with_text)
+
+    return run
+
+
+def held(wanted):
+    """The rows that the filter holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted.value.has(batch.column(4).to_numpy())))
 
     return run
 
@@ -154,10 +181,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     A word goes if a window that covers it also starts anywhere else, in the same document or in another one.  Null and
     empty texts have no words; texts shorter than a window lose nothing.  Rows that repeat are occurrences like any
     other, so both lose their windows.  Rows with a null id are kept apart by their text.  Other columns are ignored."""
-    small_batches(docs.sparkSession)
-    keyed = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("text").alias("k2"))
+    spark = docs.sparkSession
+    small_batches(spark)
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("text").alias("k2"))
+    keyed = keyed.withColumn("doc", F.xxhash64("k1", "k2"))
+
+    def rows_of(keys: DataFrame):
+        """A filter of documents (k1, k2), and the rows that it holds."""
+        wanted = spark.sparkContext.broadcast(bloom(keys.select(F.xxhash64("k1", "k2").alias("doc"))))
+        return wanted, keyed.mapInArrow(held(wanted), keyed.schema)
+
     pieces = written(keyed.select("k1", "k2", "text").mapInArrow(emit_pieces(window, m), PIECES), "pieces")
     compact = pieces.groupBy("mh", "sk").agg(F.count("*").alias("n"))
     branches = compact.groupBy("mh").agg(F.count("*").alias("paths")).filter("paths > 1").select("mh", F.lit(True).alias("branch"))
@@ -165,15 +198,20 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     # written, so that what it is joined with can be split where a key is hot
     marked = written(marked, "paths")
     found = written(pieces.join(marked, ["mh", "sk"]).select("k1", "k2", "at", "mh", "twice", "branch"), "found")
+    drop(pieces)
+    drop(marked)
     open_ = found.filter("branch").groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "mh")).alias("listed"))
     # counts come from all rows: repeated rows share k1 and k2 and are one row in open_
-    copies = keyed.select("k1", "k2", "text")
+    copies = rows_of(found.filter("branch").select("k1", "k2").distinct())[1].select("k1", "k2", "text")
     edges = written(copies.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "listed").mapInArrow(emit_edges(window), EDGES), "edges")
     repeated = written(edges.groupBy("mh", "wh").agg(F.count("*").alias("n")).filter("n > 1").select("mh", "wh"), "repeated")
     single = edges.join(repeated, ["mh", "wh"]).groupBy("k1", "k2").agg(F.collect_set("pos").alias("edges"))
     whole = found.filter("twice").groupBy("k1", "k2").agg(F.collect_set("at").alias("pieces"))
-    spans = whole.join(single, ["k1", "k2"], "full")
-    return keyed.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "pieces", "edges").mapInArrow(lay_out(window, with_text), RESULT)
+    spans = written(whole.join(single, ["k1", "k2"], "full"), "spans")
+    drop(edges)
+    wanted, rest = rows_of(spans)
+    rest = rest.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "pieces", "edges").mapInArrow(lay_out(window, with_text), RESULT)
+    return keyed.mapInArrow(lay_out_clear(wanted, window, with_text), RESULT).union(rest)
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
