@@ -7,10 +7,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill import cli, logs, schemas
+from corpusmill import cli, logs, schemas, scratch
 from corpusmill.functions import text as T
 from corpusmill.operators import compare, crawl, dedup, metrics, process, semantic
-from corpusmill.sources import files
+from corpusmill.sources import files, tables
 
 
 def docs(spark, texts):
@@ -286,3 +286,37 @@ def test_metrics_of_odd_tables(spark):
 def test_schemas():
     assert schemas.QUEUE_JOB["id"].nullable is False and schemas.QUEUE_JOB["lock"].nullable and schemas.QUEUE_GROUP["ttl"].dataType == schemas.L
     assert schemas.QUEUE_BACKLOG.fieldNames()[-1] == "times_out_at" and schemas.QUEUE_FINISHED == schemas.QUEUE_JOB
+
+
+def test_small_tables_are_dealt_out(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t.parquet")
+    spark.range(100).coalesce(1).write.parquet(path)
+    assert tables.read_table(spark, path).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(tables, "SMALL", 0)
+    assert tables.read_table(spark, path).rdd.getNumPartitions() == 1 and tables.read_table(spark, path).count() == 100
+
+
+def test_vector_store(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "doc_id string, doc_pos long, vector array<double>")
+    store = tables.VectorStore(spark, str(tmp_path / "v")).create().add(make([("a", 1, [1.0, 0.0]), ("b", 2, [0.9, 0.1])]))
+    assert [(r.src, r.dst) for r in store.add(make([("c", 3, [0.0, 1.0])])).nearest(1).orderBy("src").collect()] == [("a", "b"), ("b", "a"), ("c", "b")]
+    for bad in ([1.0], [], None):
+        with pytest.raises(ValueError):
+            store.add(make([("d", 4, bad)]))
+    assert store.vectors().count() == 3 and store.create().vectors().count() == 0
+
+
+def test_scratch_needs_a_shared_folder():
+    class Conf:
+        def get(self, key):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+        getConf, getCheckpointDir = Conf, lambda self: None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch.shared_dir(Session())
