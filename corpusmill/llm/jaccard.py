@@ -279,8 +279,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     shared = postings.repartition(partitions(spark), "token").sortWithinPartitions("token", "s").mapInArrow(shared_only, SHARED)
     shared = written(shared, "postings")
     no_id = F.lit(-(1 << 63))
-    sets = first.filter("n > 0").join(shared.select("s").distinct(), "s").groupBy("s").agg(F.min(F.coalesce("doc_id", no_id)).alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    sets = written(sets, "bitmaps")
+    # copies meet in partial aggregations, before anything is dealt by their signature
+    sets = first.filter("n > 0").groupBy("s").agg(F.min(F.coalesce("doc_id", no_id)).alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    sets = written(sets.join(shared.select("s").distinct(), "s", "left_semi"), "bitmaps")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         a, b = (sets.select(F.col("s").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("bits" + x)) for x in "ab")
@@ -326,9 +327,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     crossing = crossing.groupBy(F.col("sa").alias("a"), F.col("sb").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("needa", "needb")).alias("need")).filter("c >= need")
     roots = components(links.union(verified(crossing.select("a", "b").checkpoint()))).withColumnRenamed("node", "s")
 
-    known = rows.filter("n > 0").join(roots, "s", "left").select("s", "doc_id", F.coalesce("root", "s").alias("root"))
-    least = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_set = known.select("s", "root").distinct().join(least, "root").select("s", "component_id")
+    known = rows.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("least")).join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
+    least = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_set = written(known.join(least, "root").select("s", "component_id"), "components")
     return rows.join(by_set, "s", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

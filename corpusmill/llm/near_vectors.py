@@ -206,6 +206,8 @@ def near_vectors(
     full = nodes.select("rid", "mult", "least").join(counts, "rid", "left").join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     least = full.groupBy("root").agg(F.min("least").alias("component_id"))
     out = full.join(least, "root").select("rid", (F.coalesce("linked", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
+    # written, so that the rows of a vector that very many repeat can be split
+    out = written(out, "components")
     return rows.join(out, "rid", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
