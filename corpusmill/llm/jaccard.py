@@ -330,6 +330,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     known = rows.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("least")).join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     by_set = written(known.join(least, "root").select("s", "component_id"), "components")
+    for done in (shared, sets, mixed):
+        drop(done)
     return rows.join(by_set, "s", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
