@@ -9,7 +9,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,26 +56,6 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, kept between batches and bounded in size."""
-
-    limit = 200_000
-
-    def __init__(self, seed: int = 0) -> None:
-        super().__init__()
-        self.seed = seed
-
-    def __missing__(self, word: str) -> int:
-        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed)
-        self[word] = h
-        return h
-
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer (xor-shift and multiply)."""
     with np.errstate(over="ignore"):

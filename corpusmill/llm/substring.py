@@ -20,21 +20,21 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.bloom import bloom
-from corpusmill.llm.common import WORD, WordHashes, cache, claim, documents, drop, mix, small_batches, written
+from corpusmill.llm.common import WORD, claim, documents, drop, mix, small_batches, word_hashes, written
 
 PIECES = "mh long, sk long, k1 long, k2 long, at long"
 EDGES = "mh long, wh long, k1 long, k2 long, pos long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 _B = 0xD6E8FEB86659FD93  # odd: it has an inverse modulo 2**64
 _INDEX_BITS = 28
+_STRETCH = 2 << 20  # bytes of texts whose words are held at once
 
 _powers: list[np.ndarray] = []
-_hashes = WordHashes(9)
-cache("substring", _hashes.clear)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,29 +94,47 @@ def emit_pieces(window: int, m: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         for batch in batches:
-            found = [WORD.findall(t) if t else [] for t in batch.column(2).to_pylist()]
-            ends = np.cumsum([len(x) for x in found])
-            words = _hashes.of([w for x in found for w in x])
-            mh, sk, doc, start, edges = pieces_of(words, ends, window, m)
-            k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            begins = np.r_[0, ends[:-1]] if len(ends) else ends
-            yield pa.record_batch([pa.array(v) for v in (mh, sk, k1[doc], k2[doc], ((start - begins[doc]) << 6) | edges)] if len(mh) else [pa.array([], pa.int64())] * 5, names=[c.split()[0] for c in PIECES.split(", ")])
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy())
+            for part in range(0, int(size[-1] if len(size) else 0) + 1, _STRETCH):
+                # stretches of rows, so that little more than the texts is held
+                a, b = np.searchsorted(size, [part, part + _STRETCH])
+                if a < b:
+                    yield pieces_batch(batch.slice(a, b - a), window, m)
 
     return run
 
 
+def pieces_batch(batch: pa.RecordBatch, window: int, m: int) -> pa.RecordBatch:
+    words, ends = word_hashes(batch.column(2).to_pylist())
+    mh, sk, doc, start, edges = pieces_of(words, ends, window, m)
+    k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    begins = np.r_[0, ends[:-1]] if len(ends) else ends
+    return pa.record_batch([pa.array(v, pa.int64()) for v in (mh, sk, k1[doc], k2[doc], ((start - begins[doc]) << 6) | edges)], names=[c.split()[0] for c in PIECES.split(", ")])
+
+
 def emit_edges(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
+        held: list[list[np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            cols = [pa.array(np.concatenate([x[i] for x in held]), pa.int64()) for i in range(5)]
+            held.clear()
+            return pa.record_batch(cols, names=[c.split()[0] for c in EDGES.split(", ")])
+
         for batch in batches:
-            out: list[list[np.ndarray]] = []
-            for k1, k2, text, listed in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                rolling = Rolling(_hashes.of(WORD.findall(text)))
+            for k1, k2, text, listed in zip(*(batch.column(i) for i in range(4)), strict=True):
+                k1, k2, listed = k1.as_py(), k2.as_py(), listed.as_py()
+                rolling = Rolling(word_hashes([text.as_py()])[0])
                 at = np.array([x["at"] for x in listed], np.int64)
                 start, n = at >> 6, at & 63
                 pos = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 mh = np.repeat(np.array([x["mh"] for x in listed], np.int64), n)
-                out.append([mh, rolling(pos, window).view(np.int64), np.full(len(pos), k1), np.full(len(pos), k2), pos])
-            yield pa.record_batch([pa.array(np.concatenate([x[i] for x in out]) if out else [], pa.int64()) for i in range(5)], names=[c.split()[0] for c in EDGES.split(", ")])
+                held.append([mh, rolling(pos, window).view(np.int64), np.full(len(pos), k1), np.full(len(pos), k2), pos])
+                if sum(len(x[0]) for x in held[-64:]) >= 1 << 16 or len(held) >= 64:
+                    yield flush()
+        if held:
+            yield flush()
 
     return run
 
