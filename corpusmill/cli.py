@@ -94,7 +94,7 @@ def scrape(spark: SparkSession, args: argparse.Namespace, provider=None) -> int:
 
 def process_command(spark: SparkSession, args: argparse.Namespace) -> int:
     articles = table(spark, args.input, ARTICLES, "run scrape first")
-    done = process.process(articles, min_chars=args.min_chars)
+    done = process.process(articles, min_chars=args.min_chars, neighbours=dedup.nearest_bucketed if args.neighbours == "bucketed" else dedup.nearest)
     save(done.metadata, args.output, PROCESSED)
     files.write_texts(done.metadata.select("filename", "text"), f"{args.output}/texts")
     for name, stage, summary in ((EXACT, done.exact, done.exact_summary), (NEAR, done.near, done.near_summary), (SEMANTIC, done.semantic, done.semantic_summary)):
@@ -128,7 +128,8 @@ def dedup_near(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def dedup_semantic(spark: SparkSession, args: argparse.Namespace) -> int:
     provider = semantic.HttpEmbeddings(args.model, args.address) if args.address else semantic.TokenHashes()
-    found, summary = semantic.semantic_from_text(left_by(spark, args.input, EXACT, NEAR), provider)
+    neighbours = dedup.nearest_bucketed if args.neighbours == "bucketed" else dedup.nearest
+    found, summary = semantic.semantic_from_text(left_by(spark, args.input, EXACT, NEAR), provider, neighbours=neighbours)
     save(found, args.input, SEMANTIC)
     report(files.write_summary(summary, f"{args.input}/{SEMANTIC}_summary.json"), "Stage 3, semantic duplicates:")
     return 0
@@ -174,10 +175,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--force", action="store_true")
     p.add_argument("--no-update", action="store_true")
     p.set_defaults(config=None)
-    command("process", process_command, input="data/raw", output="data/processed", min_chars=100)
+    command("process", process_command, input="data/raw", output="data/processed", min_chars=100, neighbours="exact")
     for name, run in (("dedup-exact", dedup_exact), ("dedup-near", dedup_near)):
         command(name, run, input="data/processed")
-    command("dedup-semantic", dedup_semantic, input="data/processed", model="", address="")
+    command("dedup-semantic", dedup_semantic, input="data/processed", model="", address="", neighbours="exact")
     command("compare", compare_command, raw="data/raw", processed="data/processed/texts", output="reports/comparison").add_argument("--ids", required=True)
     command("remove-frontmatter", frontmatter, path="data/raw", limit=0).add_argument("--dry-run", action="store_true")
     return top

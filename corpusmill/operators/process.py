@@ -54,7 +54,7 @@ class Processed:
         return self.metadata.join(kept, "doc_id", "left_semi")
 
 
-def process(articles: DataFrame, provider: EmbeddingProvider | None = None, *, min_chars: int = 100, near_threshold: float = 0.85, min_near_tokens: int = 30, semantic_threshold: float = 0.92, min_semantic_tokens: int = 50, text_of=cleaned_text) -> Processed:
+def process(articles: DataFrame, provider: EmbeddingProvider | None = None, *, min_chars: int = 100, near_threshold: float = 0.85, min_near_tokens: int = 30, semantic_threshold: float = 0.92, min_semantic_tokens: int = 50, text_of=cleaned_text, neighbours=dedup.nearest) -> Processed:
     """Articles through cleaning and all duplicate stages; each stage sees what the one before it leaves.
 
     Every stage is written out before the next reads it, so none is computed twice."""
@@ -65,5 +65,5 @@ def process(articles: DataFrame, provider: EmbeddingProvider | None = None, *, m
     unique = docs.join(exact.filter(~F.col("is_duplicate")).select("doc_id"), "doc_id", "left_semi")
     near, near_summary = dedup.near_stage(unique, threshold=near_threshold, min_tokens=min_near_tokens)
     left = unique.join(near.filter(~F.col("is_duplicate")).select("doc_id"), "doc_id", "left_semi")
-    semantic, semantic_summary = semantic_from_text(left, provider or TokenHashes(), threshold=semantic_threshold, min_tokens=min_semantic_tokens)
+    semantic, semantic_summary = semantic_from_text(left, provider or TokenHashes(), threshold=semantic_threshold, min_tokens=min_semantic_tokens, neighbours=neighbours)
     return Processed(counts, docs, exact, dedup.exact_summary(exact), near, near_summary, semantic, semantic_summary)

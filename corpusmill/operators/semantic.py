@@ -100,14 +100,14 @@ def document_vectors(docs: DataFrame, provider: EmbeddingProvider, *, min_tokens
 
 
 def semantic_from_text(
-    survivors: DataFrame, provider: EmbeddingProvider, *, top_k: int = 10, threshold: float = 0.92, min_tokens: int = 50, chunk_tokens: int = 200, length_ratio: float = 0.7
+    survivors: DataFrame, provider: EmbeddingProvider, *, top_k: int = 10, threshold: float = 0.92, min_tokens: int = 50, chunk_tokens: int = 200, length_ratio: float = 0.7, neighbours=D.nearest
 ) -> tuple[DataFrame, DataFrame]:
     """Report and summary of the third stage over what the first two leave (doc_id, doc_pos, text).
 
-    candidate_pairs_evaluated counts mutual neighbours before lengths and similarities are looked at."""
+    neighbours: nearest, which is exact and quadratic, or nearest_bucketed for many documents.  candidate_pairs_evaluated counts mutual neighbours before lengths and similarities are looked at."""
     counts, vectors = document_vectors(survivors, provider, min_tokens=min_tokens, chunk_tokens=chunk_tokens)
     full = cut(counts.join(vectors, "doc_id"))
-    candidates = cut(D.mutual(D.nearest(full, top_k)))
+    candidates = cut(D.mutual(neighbours(full, top_k)))
     pairs = D.semantic_pairs(full, candidates=candidates, threshold=threshold, length_ratio=length_ratio)
     report = cut(D.pair_report(counts, F.col("n_tokens") < min_tokens, pairs, "semantic_embedding_cosine", "semantic_similarity", threshold))
     return report, semantic_summary(report, candidates, model=provider.name, top_k=top_k, threshold=threshold)

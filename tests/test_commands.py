@@ -258,6 +258,7 @@ def test_commands(spark, tmp_path, capsys):
     assert json.loads((tmp_path / "done" / "dedup_stage_03_semantic_summary.json").read_text())["model_name"] == "token-hashes-256"
     for name in ("dedup-exact", "dedup-near", "dedup-semantic"):
         assert run(name, "--input", f"{root}/done") == 0
+    assert run("dedup-semantic", "--input", f"{root}/done", "--neighbours", "bucketed") == 0
     assert json.loads((tmp_path / "done" / "dedup_stage_01_exact_summary.json").read_text())["documents_scanned"] == files.read_text_folders(spark, f"{root}/done/texts").count()
     assert run("process", "--input", f"{root}/nowhere") == 1 and run() == 1 and run("scrape", "--registry", f"{root}/none.yml", "--pages", f"{root}/pages") == 1
     (tmp_path / "md").mkdir()
