@@ -142,6 +142,18 @@ def test_streaming_counts(spark, tmp_path):
     assert sorted((r.s, r["rows"]) for r in spark.table("counts").collect()) == [("a", 2), ("b", 1)]
 
 
+def test_streams_see_rows_once_and_clean_them(spark, tmp_path):
+    rows = [("a", "2026-01-01 00:00:00", "x  y"), ("a", "2026-01-01 00:01:00", "z"), ("b", "2026-01-01 00:02:00", "In English\nq")]
+    for i, r in enumerate(rows):
+        spark.createDataFrame([r], "k string, t string, text string").coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k string, t timestamp, text string").json(str(tmp_path / "in"))
+    for name, out in (("firsts", jobs.first_seen(stream, "k", "t")), ("texts", jobs.cleaned(stream))):
+        q = out.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    assert sorted(r.k for r in spark.table("firsts").collect()) == ["a", "b"]
+    assert sorted(r.text for r in spark.table("texts").collect()) == ["q", "x y", "z"]
+
+
 def test_text_helpers(spark):
     d = spark.createDataFrame([("https://www.a.com:80/x/y?q=1",)], "u string")
     u = F.col("u")
