@@ -50,7 +50,9 @@ def test_semantic_mutual_neighbours(spark):
     assert r["0004"].match_type == "skipped_short_document"
 
 
-def test_components_equal_union_find(spark):
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_components_equal_union_find(spark, monkeypatch, small):
+    monkeypatch.setattr(graph, "SMALL", small)
     rng = random.Random(5)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]
     parent = list(range(60))
@@ -66,6 +68,9 @@ def test_components_equal_union_find(spark):
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(find(n) == root for n, root in got.items())
     assert {n for e in edges if e[0] != e[1] for n in e} == set(got)
+    path = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(50)] + [("x", None)]
+    assert {r.root for r in graph.components(spark.createDataFrame(path, "u string, v string")).collect()} == {"n000"}
+    assert graph.components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
 def test_clean_examples(spark):
