@@ -36,7 +36,6 @@ CHUNKS = 16
 BITMAP = 128  # bytes
 FIRST = "doc_id long, n long, s long, bits array<long>, chunk int, payload binary"
 INDEX = "token long, s long, need int"
-SHARED = "token long, s long, need int, least long"
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 def shingle_sets(texts: list[str | None], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -185,11 +184,11 @@ def index(ranks, k: int, percent: int, most: int, cell_bits: int):
 
 
 def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings, sorted by token and set, of tokens that several sets have, once each, with the least set of the list.
+    """Postings, sorted by token and set, of tokens that several sets have, once each.
 
     Lists stream by: one row is held back, however long a list is."""
     held: tuple[int, int, int] | None = None  # the last row, if it is the first of its list
-    token, least, last = None, None, None
+    token, last = None, None
     for batch in batches:
         t, s, need = (batch.column(i).to_numpy() for i in range(3))
         if not len(t):
@@ -199,23 +198,16 @@ def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, s, need, new = t[~repeat], s[~repeat], need[~repeat], new[~repeat]
         if not len(t):
             continue
-        starts = np.flatnonzero(new)
-        leasts = np.empty(len(t), np.int64)
-        before = starts[0] if len(starts) else len(t)
-        leasts[:before] = least if least is not None else 0
-        if len(starts):
-            leasts[before:] = np.repeat(s[starts], np.diff(np.r_[starts, len(t)]))
-        alone = new & np.r_[new[1:], False]
-        rows = [t, s, need, leasts]
-        keep = ~alone
+        goes_on = not new[0]
+        keep = ~(new & np.r_[new[1:], False])
         if new[-1]:  # whether its list goes on is not known yet
             keep[-1] = False
-        out = [x[keep] for x in rows]
-        if held and before:
-            out = [np.r_[np.int64(h), x] for h, x in zip((*held, held[1]), out, strict=True)]
-        held = (int(t[-1]), int(s[-1]), int(need[-1])) if new[-1] else None if before or len(starts) else held
-        token, last, least = t[-1], s[-1], leasts[-1]
-        yield pa.record_batch([pa.array(x.astype(np.int32 if i == 2 else np.int64)) for i, x in enumerate(out)], names=[c.split()[0] for c in SHARED.split(", ")])
+        out = [x[keep] for x in (t, s, need)]
+        if held and goes_on:
+            out = [np.r_[np.int64(h), x] for h, x in zip(held, out, strict=True)]
+        held = (int(t[-1]), int(s[-1]), int(need[-1])) if new[-1] else None
+        token, last = t[-1], s[-1]
+        yield pa.record_batch([pa.array(x.astype(np.int32 if i == 2 else np.int64)) for i, x in enumerate(out)], names=[c.split()[0] for c in INDEX.split(", ")])
 
 
 def texts_of(wanted, k: int):
@@ -276,7 +268,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     cost = np.maximum(1.0, 2 ** (np.arange(256) / 6) - 2 * usual)
     ranks = spark.sparkContext.broadcast((level, cost))
     postings = docs.mapInArrow(index(ranks, k, percent, most, bits), INDEX)
-    shared = postings.repartition(partitions(spark), "token").sortWithinPartitions("token", "s").mapInArrow(shared_only, SHARED)
+    shared = postings.repartition(partitions(spark), "token").sortWithinPartitions("token", "s").mapInArrow(shared_only, INDEX)
     shared = written(shared, "postings")
     no_id = F.lit(-(1 << 63))
     # copies meet in partial aggregations, before anything is dealt by their signature
@@ -299,17 +291,25 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         drop(texts)
         return out
 
-    def by_component(roots: DataFrame | None, turn: int = 0) -> tuple[DataFrame, DataFrame]:
+    def by_component(lists: DataFrame, roots: DataFrame | None, turn: int = 0) -> tuple[DataFrame, DataFrame]:
         """Postings with their component, and the lists that hold several with a set that leads them, another for each list and turn."""
-        root = shared.withColumn("root", F.col("s")) if roots is None else shared.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
+        root = lists.withColumn("root", F.col("s")) if roots is None else lists.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
         lead = F.min(F.struct(F.xxhash64("token", "s", F.lit(turn)), "root", "s")).alias("lead")
         several = root.groupBy("token").agg(lead, F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
         return root, several.select("token", F.col("lead.root").alias("lead_root"), F.col("lead.s").alias("lead"))
 
-    links = tried = roots = None
+    lists, links, tried, roots = shared, None, None, None
     for turn in range(contractions):
-        grouped, several = by_component(roots, turn)
-        led = grouped.join(several, "token").filter("root != lead_root").groupBy("s", "lead").agg(F.count("*").alias("c"))
+        grouped, several = by_component(lists, roots, turn)
+        led = grouped.join(several, "token")
+        if roots is not None:
+            # components only grow, so lists of one component are done with
+            led = written(led, "lists")
+            if lists is not shared:
+                drop(lists)
+            lists = led.select("token", "s", "need")
+            lists.written_at = led.written_at
+        led = led.filter("root != lead_root").groupBy("s", "lead").agg(F.count("*").alias("c"))
         # of the leads of its lists, those that share most, one of each class
         pick = led.groupBy("s", F.pmod(F.xxhash64("lead", F.lit(turn)), F.lit(partners)).alias("class")).agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
         pick = pick.select(F.least("s", "lead").alias("a"), F.greatest("s", "lead").alias("b")).distinct()
@@ -320,7 +320,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         roots = components(links).withColumnRenamed("node", "s")
         if 50 * found.count() <= pick.count():
             break  # few of the pairs that are left will link
-    grouped, several = by_component(roots)
+    grouped, several = by_component(lists, roots)
     mixed = written(grouped.join(several.select("token"), "token").select("token", "s", "need", "root").join(sets.select("s", "n", "bits"), "s"), "mixed")
     left, right = (mixed.select("token", *(F.col(c).alias(c + x) for c in ("s", "n", "bits", "need", "root"))) for x in "ab")
     crossing = left.join(right, (left.token == right.token) & (F.col("roota") != F.col("rootb")) & (F.col("sa") < F.col("sb")) & possible(percent))
@@ -330,7 +330,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     known = rows.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("least")).join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     by_set = written(known.join(least, "root").select("s", "component_id"), "components")
-    for done in (shared, sets, mixed):
+    for done in {id(x): x for x in (shared, lists, sets, mixed)}.values():
         drop(done)
     return rows.join(by_set, "s", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
