@@ -49,7 +49,7 @@ _PLAIN = bytes(np.flatnonzero((_KINDS != ODD) & (_KINDS != SPACE)).tolist())
 class WordBpe(dict):
     """part or odd word, in UTF-8 -> its ids as little-endian unsigned 32-bit integers."""
 
-    limit, stretch = 200_000, 4 << 20  # parts held, bytes of texts that are cut at once
+    limit, stretch = 400_000, 8 << 20  # parts held, bytes of texts that are cut at once
 
     def __init__(self, path: str) -> None:
         super().__init__()
