@@ -219,7 +219,7 @@ class Shard:
 
 def shard_writer(path: str, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = word_bpe(path)
+        bpe = word_bpe(path, 800_000, 8 << 20)
         part, number, start = TaskContext.get().partitionId() if TaskContext.get() else 0, 0, 0
         ids, lengths, names = np.empty(0, "<u4"), np.empty(0, np.int64), []
 

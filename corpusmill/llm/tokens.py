@@ -49,7 +49,7 @@ _PLAIN = bytes(np.flatnonzero((_KINDS != ODD) & (_KINDS != SPACE)).tolist())
 class WordBpe(dict):
     """part or odd word, in UTF-8 -> its ids as little-endian unsigned 32-bit integers."""
 
-    limit, stretch = 400_000, 8 << 20  # parts held, bytes of texts that are cut at once
+    limit, stretch = 200_000, 4 << 20  # parts held, bytes of texts that are cut at once
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -174,11 +174,12 @@ _held: dict[str, WordBpe] = {}
 cache("tokens", _held.clear)
 
 
-def word_bpe(path: str) -> WordBpe:
-    """One per Python worker; tasks that come later find the parts already known."""
+def word_bpe(path: str, limit: int = WordBpe.limit, stretch: int = WordBpe.stretch) -> WordBpe:
+    """One per Python worker; tasks that come later find the parts already known.  More of either is faster and takes more memory."""
     claim("tokens")
     if path not in _held:
         _held[path] = WordBpe(path)
+    _held[path].limit, _held[path].stretch = limit, stretch
     return _held[path]
 
 
