@@ -13,7 +13,8 @@ lesser of its two Ls.
    components is led by one of its sets, another in each round; each set is verified against `partners` of the leads of its
    lists, and what links joins components.  Where most pairs of a group link, such random partners join nearly all of it;
 4. pairs of sets that share prefix shingles and are in different components are filtered, counted and verified, all of
-   them.
+   them.  Lists of a group of near copies hold much the same sets, so a pair would be met in each of them: lists led by the
+   same set make one block where that leaves fewer pairs, and a block's pairs are met once, in tiles of bounded size.
 
 Verification is exact, over the shingle sets of the whole texts (64-bit hashes of shingles)."""
 
@@ -36,6 +37,9 @@ CHUNKS = 16
 BITMAP = 128  # bytes
 FIRST = "doc_id long, n long, s long, bits array<long>, chunk int, payload binary"
 INDEX = "token long, s long, need int"
+TILE = 64, 1024  # sets in a piece of a block: a sixteenth of the block within these bounds; a tile is a pair of pieces
+TILED = ("kind", "block", "tile", "alone", "piece", "s", "root", "need", "n", "bits")
+MET = "a long, b long, c int, need int"
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 def shingle_sets(texts: list[str | None], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -230,6 +234,62 @@ def possible(percent: int) -> Column:
     return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (100 * (total - d) >= percent * (total + d))
 
 
+def tiles(rows: DataFrame, parts: int) -> DataFrame:
+    """TILED, a tile's rows one behind the other by component; rows: kind, block, size (sets in the block), s, root, need, n, bits.
+
+    A block's sets are dealt over pieces, and any two pieces, or one alone, make a tile: two sets meet in one tile."""
+    pieces = F.ceil(F.col("size") / F.greatest(F.lit(TILE[0]), F.least(F.lit(TILE[1]), F.col("size") / 16))).cast("long")
+    rows = rows.withColumn("pieces", pieces).withColumn("piece", F.pmod(F.xxhash64("s", "block"), "pieces"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    rows = rows.withColumn("tile", F.least("piece", "other") * F.col("pieces") + F.greatest("piece", "other")).withColumn("alone", F.col("piece") == F.col("other"))
+    # a set is in its own piece's tile once, alone; in a tile of two pieces, sets of one piece don't meet
+    return rows.select(*TILED).repartition(parts, "kind", "block", "tile").sortWithinPartitions("kind", "block", "tile", "root")
+
+
+def meeting(percent: int, most: int):
+    """MET: pairs of a tile's sets that are in different components and may link; c: the lists they meet in, or most for a
+    block of several lists, which doesn't tell them apart."""
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        kind, block, tile, alone, piece, s, root, need, n = (rows.column(c).to_numpy() for c in TILED[:-1])
+        bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(s), -1)  # counted without a sign
+        new = np.r_[True, (block[1:] != block[:-1]) | (tile[1:] != tile[:-1]) | (kind[1:] != kind[:-1])]
+        other = new | np.r_[True, root[1:] != root[:-1]]
+        end, own = (np.r_[np.flatnonzero(x)[1:], len(s)][np.cumsum(x) - 1] for x in (new, other))
+        i, step = np.arange(len(s)), 0
+        while True:  # each set with the first behind its component, then with the second, ...
+            i = i[own[i] + step < end[i]]
+            if not len(i):
+                return
+            j = own[i] + step
+            step += 1
+            ok = ((piece[i] != piece[j]) | alone[i]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            u, v = i[ok], j[ok]
+            d, total = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1, dtype=np.int64), n[u] + n[v]
+            ok = 100 * (total - d) >= percent * (total + d)
+            if ok.any():
+                u, v = u[ok], v[ok]
+                cols = [np.minimum(s[u], s[v]), np.maximum(s[u], s[v]), np.where(kind[u] == 1, most, 1).astype(np.int32), np.minimum(need[u], need[v])]
+                yield pa.record_batch([pa.array(c) for c in cols], names=[c.split()[0] for c in MET.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard")
+        held: list[pa.RecordBatch] = []  # the last tile, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            same = np.logical_and.reduce([x == x[-1] for x in (rows.column(c).to_numpy() for c in ("kind", "block", "tile"))])
+            last = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+            if last:
+                yield from pairs(rows.slice(0, last))
+            held = rows.slice(last).to_batches()
+        if held:
+            yield from pairs(pa.Table.from_batches(held))
+
+    return run
+
+
 def linked(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,12 +351,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         drop(texts)
         return out
 
-    def by_component(lists: DataFrame, roots: DataFrame | None, turn: int = 0) -> tuple[DataFrame, DataFrame]:
-        """Postings with their component, and the lists that hold several with a set that leads them, another for each list and turn."""
+    def by_component(lists: DataFrame, roots: DataFrame | None, turn: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """Postings with their component, and the lists that hold several with a set that leads them: another for each list and
+        turn, or without turn the same for lists of much the same sets."""
         root = lists.withColumn("root", F.col("s")) if roots is None else lists.join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
-        lead = F.min(F.struct(F.xxhash64("token", "s", F.lit(turn)), "root", "s")).alias("lead")
-        several = root.groupBy("token").agg(lead, F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-        return root, several.select("token", F.col("lead.root").alias("lead_root"), F.col("lead.s").alias("lead"))
+        lead = F.min(F.struct(F.xxhash64("s") if turn is None else F.xxhash64("token", "s", F.lit(turn)), "root", "s")).alias("lead")
+        several = root.groupBy("token").agg(lead, F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
+        return root, several.select("token", F.col("lead.root").alias("lead_root"), F.col("lead.s").alias("lead"), "size")
 
     lists, links, tried, roots = shared, None, None, None
     for turn in range(contractions):
@@ -321,10 +382,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if 50 * found.count() <= pick.count():
             break  # few of the pairs that are left will link
     grouped, several = by_component(lists, roots)
-    mixed = written(grouped.join(several.select("token"), "token").select("token", "s", "need", "root").join(sets.select("s", "n", "bits"), "s"), "mixed")
-    left, right = (mixed.select("token", *(F.col(c).alias(c + x) for c in ("s", "n", "bits", "need", "root"))) for x in "ab")
-    crossing = left.join(right, (left.token == right.token) & (F.col("roota") != F.col("rootb")) & (F.col("sa") < F.col("sb")) & possible(percent))
-    crossing = crossing.groupBy(F.col("sa").alias("a"), F.col("sb").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("needa", "needb")).alias("need")).filter("c >= need")
+    mixed = written(grouped.join(several, "token").select("token", "s", "need", "root", "lead", "size"), "mixed")
+    members = mixed.groupBy("lead", "s").agg(F.min("need").alias("need"), F.first("root").alias("root"))
+    listed = mixed.groupBy("lead").agg(F.sum("size").alias("listed"))  # of each list the square of its size
+    whole = members.groupBy("lead").agg(F.count("*").alias("size")).join(listed, "lead").filter("2 * size * size <= listed").select("lead", "size").checkpoint()
+    blocks = members.join(whole, "lead").select(F.lit(1).alias("kind"), F.col("lead").alias("block"), "size", "s", "root", "need")
+    blocks = blocks.union(mixed.join(whole, "lead", "left_anti").select(F.lit(0).alias("kind"), F.col("token").alias("block"), "size", "s", "root", "need"))
+    crossing = tiles(blocks.join(sets.select("s", "n", "bits"), "s"), partitions(spark)).mapInArrow(meeting(percent, most), MET)
+    crossing = crossing.groupBy("a", "b").agg(F.sum("c").alias("c"), F.min("need").alias("need")).filter("c >= need")
     roots = components(links.union(verified(crossing.select("a", "b").checkpoint()))).withColumnRenamed("node", "s")
 
     known = rows.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("least")).join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))

@@ -192,6 +192,48 @@ def test_ngram_jaccard(spark):
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def rows_made(spark, after=-1):
+    """The most rows that a join or Python node of the queries after one has made, and the last query's number."""
+    store, most, last = spark._jsparkSession.sharedState().statusStore(), 0, after
+    runs = store.executionsList()
+    for run in (runs.apply(i) for i in range(runs.size())):
+        if run.executionId() > after:
+            last = max(last, run.executionId())
+            values, nodes = store.executionMetrics(run.executionId()), store.planGraph(run.executionId()).allNodes()
+            for node in (nodes.apply(i) for i in range(nodes.size())):
+                if re.search("Join|Arrow|Generate", node.name()):
+                    metrics = node.metrics()
+                    for m in (metrics.apply(i) for i in range(metrics.size())):
+                        if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                            most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most, last
+
+
+@pytest.mark.parametrize("tile", [(64, 1024), (5, 8)])
+def test_ngram_jaccard_meets_pairs_of_a_group_once(spark, monkeypatch, tile):
+    """Copies with so many edits that about half of the pairs link: not each pair again in each of the lists that it shares."""
+    monkeypatch.setattr(jaccard, "TILE", tile, raising=False)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    texts = []
+    for copies in (150, 12, 2):
+        base = [word() for _ in range(300)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(rng.randint(3, 6)):
+                w[rng.randrange(len(w))] = word()
+            texts.append(" ".join(w))
+    sets, root = brute_jaccard(texts)
+    assert len(set(root)) > 20
+    _, before = rows_made(spark)
+    got = jaccard.near_duplicates(frame(spark, texts, clash=False)).collect()
+    most, _ = rows_made(spark, before)
+    ids = [i if i % 17 else None for i in range(1, len(texts) + 1)]
+    least = {r: min((i for i, x in zip(ids, root, strict=True) if x == r and i is not None), default=None) for r in set(root)}
+    assert keyed((r.doc_id, r.n_shingles, r.component_id) for r in got) == keyed((i, len(s), least[r]) for i, s, r in zip(ids, sets, root, strict=True))
+    assert most < len(texts) * (len(texts) - 1) // 2, most  # all pairs
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 16))
