@@ -50,6 +50,25 @@ def test_semantic_mutual_neighbours(spark):
     assert r["0004"].match_type == "skipped_short_document"
 
 
+def test_neighbours_of_many_blocks_equal_brute_force_with_ties(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    x = np.vstack([np.round(rng.standard_normal((240, 3)), 1), np.ones((50, 3)), np.zeros((5, 3))])
+    pos = rng.permutation(len(x))
+    v = spark.createDataFrame([(f"d{i}", int(p), r.tolist()) for i, (p, r) in enumerate(zip(pos, x, strict=True))], "doc_id string, doc_pos long, vector array<double>")
+    monkeypatch.setattr(dedup, "BLOCK_BYTES", 900)  # eight blocks
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    u = x / np.where(norm == 0, 1, norm)
+    sim = np.round(u @ u.T, 9)
+    np.fill_diagonal(sim, -np.inf)
+    want = {(f"d{i}", f"d{j}", r) for i, s in enumerate(sim) for r, j in enumerate(np.lexsort((pos, -s))[:10], 1)}
+    found = dedup.nearest(v, 10).cache()
+    assert {(r.src, r.dst, r["rank"]) for r in found.collect()} == want
+    listed = {w[:2] for w in want}
+    assert {(r.a, r.b) for r in dedup.mutual(found).collect()} == {(a, b) for a, b in listed if a < b and (b, a) in listed}
+
+
 @pytest.mark.parametrize("small", [0, 1_000_000])
 def test_components_equal_union_find(spark, monkeypatch, small):
     monkeypatch.setattr(graph, "SMALL", small)
