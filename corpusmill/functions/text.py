@@ -3,29 +3,44 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values: Unicode white space as str.isspace() has it
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NOT_SPACE = SPACE.replace("[", "[^", 1)
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+#: Rows that a function in Python turns into objects at once.
+SLICE = 64
 # fixed values: ends of lines as str.splitlines() has them
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 WORD = r"[\p{L}\p{N}_]+"
 
 
 def fold_newlines(c: Column) -> Column:
-    return F.regexp_replace(c, r"\r\n?", "\n")
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def rstrip(c: Column) -> Column:
-    # possessive, and only from a run's first character: linear in runs that end elsewhere
-    return F.regexp_replace(c, rf"(?<!{SPACE}){SPACE}++\z", "")
+    return F.rtrim(c, F.lit(SPACES))
+
+
+def sliced(f, kind: pa.DataType):
+    """f of each text of Arrow batches, SLICE rows as objects at once; null stays null."""
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            parts = [pa.array([None if t is None else f(t) for t in batch.slice(a, SLICE).to_pylist()], kind) for a in range(0, len(batch), SLICE)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    return run
 
 
 def lines(c: Column) -> Column:
@@ -43,7 +58,8 @@ def split_lines(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(F.regexp_extract_all(c, F.lit(f"({NOT_SPACE}+)"), F.lit(1)))
+    """Runs of anything but white space, as str.split() has them; -1 for null, as size() has it."""
+    return F.coalesce(F.arrow_udf(sliced(lambda t: len(t.split()), pa.int32()), "int")(c), F.lit(-1))
 
 
 def exact_form(c: Column) -> Column:
@@ -67,8 +83,12 @@ def preview(c: Column, n: int = 12) -> Column:
     return F.concat(F.array_join(F.slice(all_, 1, n), "\n"), F.when(F.size(all_) > n, "\n").otherwise(""))
 
 
+#: All runs of WORD in a text, in order: \w of re is letters, numbers and _ as well.
+words = re.compile(r"\w+").findall
+
+
 def tokens(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(f"({WORD})"), F.lit(1))
+    return F.arrow_udf(sliced(words, pa.list_(pa.string())), "array<string>")(c)
 
 
 def let(c: Column, f) -> Column:

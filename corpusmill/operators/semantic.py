@@ -75,45 +75,34 @@ class HttpEmbeddings:
         return vectors
 
 
-def semantic_tokens(docs: DataFrame) -> DataFrame:
-    """doc_id, doc_pos, tokens: lower-cased words; white space, which is in none, needn't be folded."""
-    return docs.select("doc_id", "doc_pos", T.tokens(F.lower("text")).alias("tokens"))
-
-
-def averaged(chunked: DataFrame, provider: EmbeddingProvider, batch: int = 256) -> DataFrame:
-    """chunked (doc_id, doc_pos, n_tokens, chunks) with a vector in place of the chunks, an array of texts: the mean of their
-    vectors, in the task that has them; null for null.  One call for `batch` texts.  Raises where vectors differ in length."""
-    names = ["doc_id", "doc_pos", "n_tokens"]
-    kinds = dict(chunked.dtypes)
+def vector_table(docs: DataFrame, provider: EmbeddingProvider, *, min_tokens: int = 50, chunk_tokens: int = 200, batch: int = 256) -> DataFrame:
+    """doc_id, doc_pos, n_tokens, vector: the mean of the vectors of a document's chunks of chunk_tokens tokens (lower-cased
+    words), null below min_tokens.  Written once; a text is read once, and its chunks are embedded and averaged where it is,
+    `batch` of them in one call.  Raises where vectors are empty or differ in length."""
+    names = ["doc_id", "doc_pos", "n_tokens", "vector"]
+    kinds = dict(docs.dtypes)
+
+    def mean(vectors: list[list[float]]) -> list[float]:
+        if not vectors[0]:
+            raise ValueError("no vectors to average")
+        if len({len(v) for v in vectors}) > 1:
+            raise ValueError("vectors of different lengths")
+        return (np.sum(np.array(vectors, float), axis=0) / len(vectors)).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for a in range(0, b.num_rows, 64):
-                part = b.slice(a, 64)
-                chunks = part.column(3).to_pylist()
-                flat = [t for c in chunks for t in c or ()]
-                vectors = [v for k in range(0, len(flat), batch) for v in provider.embed(flat[k : k + batch])]
-                means, at = [], 0
-                for c in chunks:
-                    if c is None:
-                        means.append(None)
-                        continue
-                    mine, at = vectors[at : at + len(c)], at + len(c)
-                    if not mine or not len(mine[0]):
-                        raise ValueError("no vectors to average")
-                    if len({len(v) for v in mine}) > 1:
-                        raise ValueError("vectors of different lengths")
-                    means.append((np.sum(np.array(mine, float), axis=0) / len(mine)).tolist())
-                yield pa.record_batch([*(part.column(i) for i in range(3)), pa.array(means, pa.list_(pa.float64()))], names=[*names, "vector"])
-
-    return chunked.select(*names, "chunks").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names) + ", vector array<double>")
-
-
-def vector_table(docs: DataFrame, provider: EmbeddingProvider, *, min_tokens: int = 50, chunk_tokens: int = 200) -> DataFrame:
-    """doc_id, doc_pos, n_tokens, vector: the mean of the vectors of a document's chunks of chunk_tokens tokens, null below
-    min_tokens.  Written once; texts are read once, and a document's chunks are embedded and averaged where it is."""
-    tokens = semantic_tokens(docs).select("doc_id", "doc_pos", F.size("tokens").alias("n_tokens"), "tokens")
-    return cut(averaged(tokens.withColumn("chunks", F.when(F.col("n_tokens") >= min_tokens, T.chunks(F.col("tokens"), chunk_tokens))), provider))
+            for a in range(0, b.num_rows, T.SLICE):
+                part = b.slice(a, T.SLICE)
+                tokens = [None if t is None else T.words(t) for t in part.column(2).to_pylist()]
+                counts = [-1 if t is None else len(t) for t in tokens]
+                chunks = [[" ".join(t[k : k + chunk_tokens]) for k in range(0, n, chunk_tokens)] if n >= max(1, min_tokens) else [] for t, n in zip(tokens, counts, strict=True)]
+                flat = [c for mine in chunks for c in mine]
+                vectors = iter([v for k in range(0, len(flat), batch) for v in provider.embed(flat[k : k + batch])])
+                means = [mean([next(vectors) for _ in mine]) if mine else None for mine in chunks]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(counts, pa.int32()), pa.array(means, pa.list_(pa.float64()))], names=names)
+
+    rows = docs.select("doc_id", "doc_pos", F.lower("text").alias("text"))
+    return cut(rows.mapInArrow(run, f"doc_id {kinds['doc_id']}, doc_pos {kinds['doc_pos']}, n_tokens int, vector array<double>"))
 
 
 def document_vectors(docs: DataFrame, provider: EmbeddingProvider, *, min_tokens: int = 50, chunk_tokens: int = 200) -> tuple[DataFrame, DataFrame]:

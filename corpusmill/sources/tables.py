@@ -14,6 +14,7 @@ SMALL = 256 << 20
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table.  Rows of a small one in fewer files than there are cores are dealt out, as a file may be one row
     group, which is one task's; larger ones stay as they lie."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))  # texts can be long
     df, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= cores:
         return df

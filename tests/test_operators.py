@@ -182,3 +182,17 @@ def test_text_helpers(spark):
     d = spark.createDataFrame([("https://www.a.com:80/x/y?q=1",)], "u string")
     u = F.col("u")
     assert tuple(d.select(T.domain(u), T.base_url(u), T.url_slug(u), T.category(u), T.safe_label(F.lit("__A b!"))).first()) == ("a.com:80", "https://www.a.com:80", "x_y?q=1", "x_y", "a_b")
+
+
+def test_words_and_tokens_are_counted_in_arrow_slices(spark):
+    odd = [None, "", " \u2003x\x1cy\x85\r\n\rz \u3000", "a_1 Ñandú½x—٣", "w " * 500, "\r\r\n", "\x1f"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, t string").coalesce(1)
+    out = d.select("t", T.word_count(F.col("t")).alias("n"), T.tokens(F.lower("t")).alias("k"), T.strip(F.col("t")).alias("s"), T.rstrip(F.col("t")).alias("r"), T.fold_newlines(F.col("t")).alias("f"))
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        if r.t is None:
+            assert (r.n, r.k, r.s, r.r, r.f) == (-1, None, None, None, None)
+        else:
+            assert (r.n, r.s, r.r, r.f) == (len(r.t.split()), r.t.strip(), r.t.rstrip(), r.t.replace("\r\n", "\n").replace("\r", "\n"))
+            assert r.k == "".join(c if c.isalnum() or c == "_" else " " for c in r.t.lower()).split()
+    assert max(len(b) for b in T.sliced(len, T.pa.int32())(iter([T.pa.array(["ab"] * 200)]))) == 200
