@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as T
 from corpusmill.operators import dedup as D
 from corpusmill.plans.registry import COMPONENTS, EXACT, EXACT_CTE, TOKENS, docs, query, table
+from corpusmill.scratch import cut
 
 T_NEAR = 0.5
 
@@ -72,13 +73,13 @@ BEST = "best AS (SELECT doc_id, arg_max(other, sim) AS x, max(sim) AS sim FROM (
 @query(f"WITH {pairs_sql(T_NEAR)}, {BEST} SELECT doc_id, candidate_doc_id, round_even(sim, 6) AS jaccard FROM best2")
 def near_best_match(spark, sf_dir):
     sets = near_sets(spark, sf_dir)
-    return D.best_matches(long_pairs(sets), sets.select("doc_id", "doc_pos")).select("doc_id", "candidate_doc_id", T.half_even(F.col("similarity"), 6).alias("jaccard"))
+    return D.best_matches(cut(long_pairs(sets)), sets.select("doc_id", "doc_pos")).select("doc_id", "candidate_doc_id", T.half_even(F.col("similarity"), 6).alias("jaccard"))
 
 
 @query(f"WITH RECURSIVE {pairs_sql(T_NEAR)}, {COMPONENTS} SELECT t.doc_id, coalesce(canonical, t.doc_id) AS canonical_doc_id FROM t LEFT JOIN roots USING (doc_id)")
 def near_components(spark, sf_dir):
     sets = near_sets(spark, sf_dir)
-    return D.near_components(sets, long_pairs(sets))
+    return D.near_components(sets, cut(long_pairs(sets)))
 
 
 def near_report_sql(t: float) -> str:
@@ -102,8 +103,7 @@ def near_dedup_report_085(spark, sf_dir):
 count(*) FILTER (is_duplicate) AS duplicate_documents, count(DISTINCT CASE WHEN is_duplicate THEN canonical_doc_id END) AS duplicate_groups,
 (SELECT count(*) FROM pairs) AS candidate_pairs_evaluated, 5 AS shingle_size, 128 AS num_perm, 0.5::DOUBLE AS threshold FROM report""")
 def near_dedup_summary(spark, sf_dir):
-    sets = near_sets(spark, sf_dir)
-    return D.near_summary(D.near_report(docs(spark, sf_dir), threshold=T_NEAR), long_pairs(sets), shingle_size=5, num_perm=128, threshold=T_NEAR)
+    return D.near_stage(D.exact_survivors(docs(spark, sf_dir)), threshold=T_NEAR)[1]
 
 
 @query()

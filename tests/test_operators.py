@@ -196,3 +196,14 @@ def test_words_and_tokens_are_counted_in_arrow_slices(spark):
             assert (r.n, r.s, r.r, r.f) == (len(r.t.split()), r.t.strip(), r.t.rstrip(), r.t.replace("\r\n", "\n").replace("\r", "\n"))
             assert r.k == "".join(c if c.isalnum() or c == "_" else " " for c in r.t.lower()).split()
     assert max(len(b) for b in T.sliced(len, T.pa.int32())(iter([T.pa.array(["ab"] * 200)]))) == 200
+
+
+def test_pairs_of_many_parts_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    sets = [set(rng.sample(range(40), rng.randrange(1, 12))) | ({97, 98, 99} if i % 2 else set()) for i in range(90)] + [set()]
+    rows = [(f"d{i}", 1000 - i, len(s), sorted(x * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for x in s)) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "doc_id string, doc_pos long, n_tokens int, shingles array<long>")
+    monkeypatch.setattr(dedup, "MEMBERS", 100)  # a part for so many members
+    for t in (0.5, 0.85):
+        want = {(f"d{j}", f"d{i}"): len(a & sets[j]) / len(a | sets[j]) for i, a in enumerate(sets) for j in range(i + 1, len(sets)) if a and len(a & sets[j]) / len(a | sets[j]) >= t}
+        assert {(r.left_id, r.right_id): r.similarity for r in dedup.jaccard_pairs(df, t).collect()} == pytest.approx(want)
