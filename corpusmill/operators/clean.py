@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -85,30 +86,56 @@ def clean(c: Column) -> Column:
     return tidy_punctuation(join_wrapped(normalize_space(drop_noise(c))))
 
 
+# fixed values: white space is ASCII here, and the three patterns
+_TOKEN = re.compile(r"\w+|[^\w \t-\r]")
+_ACCENT = re.compile("[áéíóúñüÁÉÍÓÚÑÜ]")
+_TIGHT = [(re.compile(r"[ \t-\r]+([.,;:!?)])"), r"\1"), (re.compile(r"([¿¡(])[ \t-\r]+"), r"\1"), (re.compile(" {2,}"), " ")]
+
+
+def without_english(line: str, english: frozenset[str]) -> str | None:
+    """line without its English words; None if that leaves nothing of it."""
+    if not line.strip():
+        return line
+
+    def keep(t: str) -> bool:
+        if not (t[0] == "_" or t[0].isalnum()):
+            return True
+        word = t.lower()
+        if word in _STOPWORDS:
+            return False
+        return len(t) <= 2 or word not in english or unicodedata.category(t[0]) == "Lu" or bool(_ACCENT.search(t))
+
+    out = " ".join(t for t in _TOKEN.findall(line) if keep(t))
+    if not out.strip():
+        return None
+    for pattern, to in _TIGHT:
+        out = pattern.sub(to, out)
+    return out
+
+
+_STOPWORDS = frozenset(ENGLISH_STOPWORDS)
+
+
+def english_words(lexicon: DataFrame) -> DataFrame:
+    """word: those of lexicon (word, lang en/es, zipf) much more frequent in English; missing ones have 0.
+
+    A zipf of 2.5 is 316 in a billion words, so a language has 3.2 million of them at most, whatever the corpus's size."""
+    zipf = lambda lang: F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("zipf"))), F.lit(0.0)).alias(lang)
+    wide = lexicon.filter("lang in ('en', 'es')").groupBy("word").agg(zipf("en"), zipf("es"))
+    return wide.filter((F.col("es") < 3.5) & (F.col("en") >= 2.5) & (F.col("en") - F.col("es") >= 1.0)).select("word")
+
+
 def drop_english(docs: DataFrame, lexicon: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, text without the words that are English rather than Spanish; off by default in clean().
 
     lexicon (word, lang en/es, zipf): missing words have 0.  Stopwords go; words of two letters, capitalised and accented
     ones stay; the rest goes if it is much more frequent in English.  Punctuation stays, spacing is tightened, lines that lose
-    all their tokens disappear."""
-    rows = docs.select(F.col(id_col).alias("id"), F.posexplode(T.lines(F.col(text_col))).alias("row", "line"))
-    found = F.regexp_extract_all("line", F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_\s])"), F.lit(1))
-    rows = rows.withColumn("blank", T.strip(F.col("line")) == "")
-    parts = rows.select("id", "row", "line", "blank", F.posexplode_outer(F.when(~F.col("blank"), found)).alias("at", "token"))
-    wide = lexicon.groupBy("word").agg(F.max(F.when(F.col("lang") == "en", F.col("zipf"))).alias("en"), F.max(F.when(F.col("lang") == "es", F.col("zipf"))).alias("es"))
-    parts = parts.withColumn("word", F.lower("token")).join(wide, "word", "left").fillna(0.0, ["en", "es"])
-    t = F.col("token")
-    keep = (
-        F.when(~t.rlike(r"\A[\p{L}\p{N}_]"), True)
-        .when(F.col("word").isin(ENGLISH_STOPWORDS), False)
-        .when(F.length(t) <= 2, True)
-        .when(t.rlike(r"\A\p{Lu}") | t.rlike("[áéíóúñüÁÉÍÓÚÑÜ]") | (F.col("es") >= 3.5), True)
-        .otherwise(~((F.col("en") >= 2.5) & (F.col("en") - F.col("es") >= 1.0)))
-    )
-    kept = parts.groupBy("id", "row", "line", "blank").agg(F.sort_array(F.collect_list(F.when(keep, F.struct("at", "token")))).alias("k"))
-    joined = F.array_join(F.transform("k", lambda x: x["token"]), " ")
-    # fixed values: the three patterns
-    joined = F.regexp_replace(F.regexp_replace(F.regexp_replace(joined, r"\s+([.,;:!?)])", "$1"), r"([¿¡(])\s+", "$1"), " {2,}", " ")
-    kept = kept.withColumn("out", F.when(F.col("blank"), F.col("line")).when(T.strip(joined) != "", joined))
-    kept = kept.groupBy("id").agg(F.sort_array(F.collect_list(F.when(F.col("out").isNotNull(), F.struct("row", "out")))).alias("r"))
-    return kept.select(F.col("id").alias(id_col), F.array_join(F.transform("r", lambda x: x["out"]), "\n").alias(text_col))
+    all their tokens disappear.  The English words are broadcast, and texts stay where they are; null ones give no row."""
+    english = docs.sparkSession.sparkContext.broadcast(frozenset(r.word for r in english_words(lexicon).toLocalIterator()))
+
+    def filtered(text: str) -> str:
+        lines = (without_english(line, english.value) for line in text.split("\n"))
+        return "\n".join(x for x in lines if x is not None)
+
+    text = F.arrow_udf(T.sliced(filtered, pa.string()), "string")(F.col(text_col))
+    return docs.filter(F.col(text_col).isNotNull()).select(id_col, text.alias(text_col))

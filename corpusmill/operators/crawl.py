@@ -117,23 +117,25 @@ def skip_existing(urls: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def articles(pages: DataFrame, start: int = 0) -> DataFrame:
-    """Records of scraped pages (url, content and, if there, title and description); ids of four digits or more go on from start."""
+    """Records of scraped pages (url, content and, if there, title, description and doc_pos); ids of four digits or more go on
+    from start in url order, pages of one url in that of doc_pos."""
     url = F.col("url")
     title = F.coalesce("title", F.lit("Unknown Title")) if "title" in pages.columns else F.lit("Unknown Title")
     text = F.coalesce("description", F.lit("")) if "description" in pages.columns else F.lit("")
     out = pages.select(
         title.alias("title"), text.alias("description"), "url", T.url_slug(url).alias("url_slug"), T.domain(url).alias("domain"),
         T.word_count(F.col("content")).alias("word_count"), F.length("content").alias("char_count"), "content",
+        *(["doc_pos"] if "doc_pos" in pages.columns else []),
     )
-    return with_ids(out, start)
+    return with_ids(out, start, ties=["doc_pos"]).drop("doc_pos") if "doc_pos" in out.columns else with_ids(out, start)
 
 
-def with_ids(df: DataFrame, start: int = 0, order: str = "url") -> DataFrame:
-    """doc_id in the order of a column, equal ones by a hash of the row; without one task for all rows.
+def with_ids(df: DataFrame, start: int = 0, order: str = "url", ties: list[str] | None = None) -> DataFrame:
+    """doc_id in the order of a column, equal ones by `ties`, then by a hash of the row; without one task for all rows.
 
     The sorted rows are written first, so that partitions are the same when they are counted and when they are numbered."""
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    sorted_ = cut(df.orderBy(order, tie).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
+    sorted_ = cut(df.orderBy(order, *(ties or []), tie).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
     sizes = sorted_.groupBy("_p").agg(F.count("*").alias("n"), F.min("_m").alias("_lo"))
     # a row for each partition
     first = sizes.selectExpr("_p", "_lo", "coalesce(sum(n) over (order by _p rows between unbounded preceding and 1 preceding), 0) as _f")

@@ -78,7 +78,7 @@ def crawl_counters(spark, sf_dir):
 
 @query(f"""SELECT printf('%04d', row_number() OVER (ORDER BY url)) AS doc_id, 'Unknown Title' AS title, url, {DOMAIN} AS domain, {SLUG} AS url_slug, length(html)::INT AS char_count FROM pages""")
 def article_records(spark, sf_dir):
-    return C.articles(pages(spark, sf_dir).select("url", F.col("html").alias("content"))).select("doc_id", "title", "url", "domain", "url_slug", "char_count")
+    return C.articles(pages(spark, sf_dir).select("url", F.col("html").alias("content"), F.col("page_id").alias("doc_pos"))).select("doc_id", "title", "url", "domain", "url_slug", "char_count")
 
 
 BROKEN = "'[a](' || b || '/x/' || b || '/again) [b](' || b || '/fine) ]' || b || '/p' || page_id || '/' || d || ') tail'"

@@ -207,3 +207,17 @@ def test_pairs_of_many_parts_equal_brute_force(spark, monkeypatch):
     for t in (0.5, 0.85):
         want = {(f"d{j}", f"d{i}"): len(a & sets[j]) / len(a | sets[j]) for i, a in enumerate(sets) for j in range(i + 1, len(sets)) if a and len(a & sets[j]) / len(a | sets[j]) >= t}
         assert {(r.left_id, r.right_id): r.similarity for r in dedup.jaccard_pairs(df, t).collect()} == pytest.approx(want)
+
+
+def test_pages_of_one_url_are_numbered_by_position(spark):
+    p = spark.createDataFrame([("http://a.com/x", f"text {i}", i) for i in range(40, 0, -1)] + [("http://a.com/a", "", 99)], "url string, content string, doc_pos long").repartition(6)
+    got = [(r.doc_id, r.content) for r in crawl.articles(p).orderBy("doc_id").collect()]
+    assert got == [("0001", "")] + [(f"{i + 1:04d}", f"text {i}") for i in range(1, 41)]
+
+
+def test_english_words_are_dropped_without_a_shuffle_of_texts(spark):
+    d = spark.createDataFrame([(1, "la Rice rice, ( the ) x\x1crice ñrice\n \t\nthe and"), (2, None), (3, "")], "doc_id int, text string")
+    lex = spark.createDataFrame([("rice", "en", 4.5), ("rice", "es", 3.4), ("la", "en", 6.0), ("la", "es", 7.0)], "word string, lang string, zipf double")
+    out = clean.drop_english(d, lex)
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "la Rice, () x \x1c ñrice\n \t", 3: ""}
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
